@@ -21,8 +21,8 @@ def rate(part: Column, whole: Column) -> Column:
 
 
 def sorted_text(values: Column) -> Column:
-    """Join an array of strings in binary string order."""
-    return F.array_join(F.sort_array(values), LIST_SEPARATOR)
+    """Join an array of strings in binary string order; null when it is empty."""
+    return F.when(F.size(values) > 0, F.array_join(F.sort_array(values), LIST_SEPARATOR))
 
 
 def distinct_when(condition: Column, value: Column) -> Column:

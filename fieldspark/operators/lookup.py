@@ -25,16 +25,11 @@ _HOT, _SALT, _REF_SALT = "_hot_key", "_salt", "_ref_salt"
 
 def fits_broadcast(frames: Sequence[DataFrame]) -> bool:
     """Whether the frames together are estimated under the session's broadcast limit."""
-    try:
-        session = frames[0].sparkSession._jsparkSession
-        limit = session.sessionState().conf().autoBroadcastJoinThreshold()
-        sizes = [
-            int(f._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-            for f in frames
-        ]
-    except AttributeError:  # no JVM handle in this client: let the shuffle join decide
+    if not hasattr(frames[0], "_jdf"):  # a client without the optimizer's estimates
         return False
-    return sum(sizes) <= limit
+    conf = frames[0].sparkSession._jsparkSession.sessionState().conf()
+    plans = [f._jdf.queryExecution().optimizedPlan() for f in frames]
+    return sum(int(p.stats().sizeInBytes()) for p in plans) <= conf.autoBroadcastJoinThreshold()
 
 
 def frequent_keys(keys: DataFrame, column: str, limit: int = HOT_KEYS) -> DataFrame:
@@ -54,7 +49,7 @@ def _spread(
         .withColumn(_SALT, F.when(F.col(fk).isNull() | F.col(_HOT).isNotNull(), salt).otherwise(0))
         .drop(_HOT)
     )
-    every_salt = F.array(*[F.lit(i) for i in range(SALTS)])
+    every_salt = F.sequence(F.lit(0), F.lit(SALTS - 1))
     repeated = (
         right.join(hot, F.col(key) == F.col(_HOT), "left")
         .withColumn(

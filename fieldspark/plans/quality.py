@@ -90,25 +90,28 @@ def share_checks(max_share: float) -> list[Check]:
     ]
 
 
-def quality_report(tables: Mapping[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
-    """One long table ``(model, column_name, measure, value)``: check failures, and rows, nulls and
-    distinct values of every column of the given tables."""
+def quality_report(
+    tables: Mapping[str, DataFrame], checks: Iterable[Check], profiled: Iterable[str] | None = None
+) -> DataFrame:
+    """One long table ``(model, column_name, measure, value)``: the failures of each check, and
+    rows, nulls and distinct values per column of the ``profiled`` models (default: all)."""
     found = run_checks(tables, checks).select(
         "model", "column_name",
         F.concat(F.lit("failures_"), F.col("check_name")).alias("measure"),
         F.col("failures").alias("value"),
     )
 
-    def profile(model: str, df: DataFrame) -> DataFrame:
-        nulls = null_counts(df).select(
+    def profile(model: str) -> DataFrame:
+        df = tables[model]
+        counts = null_counts(df).join(cardinalities(df, df.columns), "column_name", "left").select(
             "column_name",
             F.explode(F.create_map(
-                F.lit("rows"), F.col("row_count"), F.lit("nulls"), F.col("null_count"),
+                F.lit("rows"), F.col("row_count"),
+                F.lit("nulls"), F.col("null_count"),
+                F.lit("distinct_values"), F.coalesce("distinct_count", F.lit(0)),
             )).alias("measure", "value"),
         )
-        distinct = cardinalities(df, df.columns).select(
-            "column_name", F.lit("distinct_values").alias("measure"), F.col("distinct_count").alias("value")
-        )
-        return nulls.unionByName(distinct).select(F.lit(model).alias("model"), "column_name", "measure", "value")
+        return counts.select(F.lit(model).alias("model"), "column_name", "measure", "value")
 
-    return reduce(DataFrame.unionByName, [found, *[profile(m, df) for m, df in tables.items()]])
+    models = list(tables if profiled is None else profiled)
+    return reduce(DataFrame.unionByName, [found, *[profile(m) for m in models]])

@@ -8,7 +8,7 @@ with no distinct and no second scan of the raw file.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,10 +25,15 @@ _VERSION = "_version"
 
 
 def cleaned_latest(raw: DataFrame, entity: Entity, settings: Settings) -> DataFrame:
-    """Cleaned columns, latest version per key."""
+    """Cleaned columns, latest version per key. The version is parsed once, as a timestamp;
+    the staged date follows from it."""
     version = mixed_timestamp(F.col(entity.version)).alias(_VERSION)
-    typed = raw.select(*[c.build(settings) for c in entity.cleaned], version)
-    return keep_latest(typed, entity.key, _VERSION).drop(_VERSION)
+    columns = [c.build(settings) for c in entity.cleaned if c.name != entity.version]
+    latest = keep_latest(raw.select(*columns, version), entity.key, _VERSION)
+    return latest.select(
+        *[F.col(_VERSION).cast("date").alias(c.name) if c.name == entity.version else c.name
+          for c in entity.cleaned]
+    )
 
 
 def _finish(df: DataFrame, entity: Entity, settings: Settings) -> DataFrame:
@@ -79,10 +84,29 @@ def stage_clients(
     return _finish(coded, CLIENTS, settings)
 
 
-def stage_all(raw: Mapping[str, DataFrame], settings: Settings = Settings()) -> dict[str, DataFrame]:
-    """All staging tables as lazy plans over the raw tables, keyed by entity name."""
-    keys = {name: raw_keys(name, raw[name], settings) for name in ENTITIES}
-    staged = {
-        name: stage(name, raw[name], keys, settings) for name in ENTITIES if name != "clients"
-    }
-    return {"clients": stage_clients(raw["clients"], raw["projects"], settings), **staged}
+class StagedTables(Mapping[str, DataFrame]):
+    """All staging tables as lazy plans over the raw tables; a plan is made when first used."""
+
+    def __init__(self, raw: Mapping[str, DataFrame], settings: Settings = Settings()) -> None:
+        self._raw, self._settings = raw, settings
+        self._made: dict[str, DataFrame] = {}
+
+    def _make(self, name: str) -> DataFrame:
+        if name == "clients":
+            return stage_clients(self._raw["clients"], self._raw["projects"], self._settings)
+        parents = {
+            ref.parent: raw_keys(ref.parent, self._raw[ref.parent], self._settings)
+            for ref in ENTITIES[name].references
+        }
+        return stage(name, self._raw[name], parents, self._settings)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = self._make(name)
+        return self._made[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(ENTITIES)
+
+    def __len__(self) -> int:
+        return len(ENTITIES)
