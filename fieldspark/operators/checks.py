@@ -1,8 +1,10 @@
 """Declarative data checks.
 
-Each check becomes a one-row DataFrame with its number of failures; a run is the union
-of them, so Spark executes all checks of a layer as one job. Child keys and repeated
-values are counted per value before any shuffle or join, so a hot key costs one row.
+Every check yields one result row with its number of failures. All checks of one model that
+look at single rows share one aggregation, hence one scan; the others are one-row DataFrames.
+A run is the union of these, so Spark executes the checks of a layer as one job. Child keys
+and repeated values are counted per value before any shuffle or join, so a hot key costs
+one row.
 """
 
 from __future__ import annotations
@@ -17,16 +19,11 @@ from pyspark.sql import functions as F
 from fieldspark.operators.profile import iqr_fences
 
 ERROR, WARN = "error", "warn"
-RESULT_COLUMNS = ("check_name", "model", "column_name", "severity", "failures", "outcome")
-
-
-def _counted(df: DataFrame, bad: Column) -> DataFrame:
-    return df.agg(F.count_if(bad).alias("failures"))
 
 
 @dataclass(frozen=True, kw_only=True)
 class Check:
-    """A rule on one column of one model. ``failures`` counts what breaks it."""
+    """A rule on one column of one model."""
 
     model: str
     column: str
@@ -34,31 +31,45 @@ class Check:
 
     name = "check"
 
+
+class RowCheck(Check):
+    """A rule that an aggregate over the model's rows can count."""
+
+    def failing(self, table: DataFrame) -> Column:
+        """The number of failures, as an aggregate."""
+        raise NotImplementedError
+
+
+class TableCheck(Check):
+    """A rule that needs grouping or other tables."""
+
     def failures(self, tables: Mapping[str, DataFrame]) -> DataFrame:
+        """One row with the number of ``failures``."""
         raise NotImplementedError
 
 
 @dataclass(frozen=True, kw_only=True)
-class NotNull(Check):
+class NotNull(RowCheck):
     name = "not_null"
 
-    def failures(self, tables):
-        return _counted(tables[self.model], F.col(self.column).isNull())
+    def failing(self, table):
+        return F.count_if(F.col(self.column).isNull())
 
 
 @dataclass(frozen=True, kw_only=True)
-class Unique(Check):
+class Unique(TableCheck):
     """Counts the non-null values that occur more than once."""
 
     name = "unique"
 
     def failures(self, tables):
         counts = tables[self.model].groupBy(self.column).agg(F.count(F.lit(1)).alias("n"))
-        return _counted(counts, F.col(self.column).isNotNull() & (F.col("n") > 1))
+        repeated = F.col(self.column).isNotNull() & (F.col("n") > 1)
+        return counts.agg(F.count_if(repeated).alias("failures"))
 
 
 @dataclass(frozen=True, kw_only=True)
-class Relationships(Check):
+class Relationships(TableCheck):
     """Counts the child rows whose non-null key has no parent row."""
 
     parent: str
@@ -75,11 +86,11 @@ class Relationships(Check):
         )
         parent = tables[self.parent].select(F.col(self.parent_column).alias("_parent"))
         orphans = child.join(parent, F.col("_child") == F.col("_parent"), "left_anti")
-        return orphans.agg(F.coalesce(F.sum("n"), F.lit(0).cast("bigint")).alias("failures"))
+        return orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("failures"))
 
 
 @dataclass(frozen=True, kw_only=True)
-class AcceptedValues(Check):
+class AcceptedValues(TableCheck):
     """Counts the distinct non-null values outside a list."""
 
     values: Sequence[str]
@@ -88,65 +99,78 @@ class AcceptedValues(Check):
 
     def failures(self, tables):
         seen = tables[self.model].select(self.column).distinct()
-        return _counted(seen, ~F.col(self.column).isin(*self.values))
+        return seen.agg(F.count_if(~F.col(self.column).isin(*self.values)).alias("failures"))
 
 
 @dataclass(frozen=True, kw_only=True)
-class MaxInvalidShare(Check):
+class MaxInvalidShare(RowCheck):
     """Fails (with the number of false flags) when too many rows have a false flag."""
 
     max_share: float
 
     name = "max_invalid_share"
 
-    def failures(self, tables):
-        totals = tables[self.model].agg(
-            F.count_if(~F.col(self.column)).alias("bad"), F.count(F.lit(1)).alias("n")
-        )
-        over = F.col("bad") > F.lit(self.max_share) * F.col("n")
-        return totals.select(F.when(over, F.col("bad")).otherwise(0).cast("bigint").alias("failures"))
+    def failing(self, table):
+        invalid = F.count_if(~F.col(self.column))
+        too_many = invalid > F.lit(self.max_share) * F.count(F.lit(1))
+        return F.when(too_many, invalid).otherwise(0)
 
 
 @dataclass(frozen=True, kw_only=True)
-class OrderedDates(Check):
+class OrderedDates(RowCheck):
     """Counts the rows whose interval ends before it starts."""
 
     end_column: str
 
     name = "ordered_dates"
 
-    def failures(self, tables):
-        return _counted(tables[self.model], F.col(self.column) > F.col(self.end_column))
+    def failing(self, table):
+        return F.count_if(F.col(self.column) > F.col(self.end_column))
 
 
 @dataclass(frozen=True, kw_only=True)
-class NoOutliers(Check):
+class NoOutliers(RowCheck):
     """Counts the values outside the quartile fences."""
 
     name = "no_outliers"
 
-    def failures(self, tables):
-        df = tables[self.model]
-        fences = iqr_fences(df, self.column)
+    def failing(self, table):
+        fences = iqr_fences(table, self.column)
         low, high = fences.select("low_fence").scalar(), fences.select("high_fence").scalar()
-        value = F.col(self.column)
-        return _counted(df, (value < low) | (value > high))
+        return F.count_if((F.col(self.column) < low) | (F.col(self.column) > high))
+
+
+def _described(check: Check, failures: Column) -> Column:
+    failures = failures.cast("bigint")
+    return F.struct(
+        F.lit(check.name).alias("check_name"),
+        F.lit(check.model).alias("model"),
+        F.lit(check.column).alias("column_name"),
+        F.lit(check.severity).alias("severity"),
+        failures.alias("failures"),
+        F.when(failures > 0, check.severity).otherwise("pass").alias("outcome"),
+    )
+
+
+def _row_checks(table: DataFrame, checks: Sequence[RowCheck]) -> DataFrame:
+    counts = table.agg(*[c.failing(table).alias(f"n{i}") for i, c in enumerate(checks)])
+    results = F.array(*[_described(c, F.col(f"n{i}")) for i, c in enumerate(checks)])
+    return counts.select(F.explode(results).alias("result")).select("result.*")
 
 
 def run_checks(tables: Mapping[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
     """One row per check: name, model, column, severity, failures and outcome."""
-    def result(check: Check) -> DataFrame:
-        failed = F.col("failures") > 0
-        return check.failures(tables).select(
-            F.lit(check.name).alias("check_name"),
-            F.lit(check.model).alias("model"),
-            F.lit(check.column).alias("column_name"),
-            F.lit(check.severity).alias("severity"),
-            F.col("failures"),
-            F.when(~failed, "pass").otherwise(check.severity).alias("outcome"),
-        )
-
-    return reduce(DataFrame.unionByName, [result(c) for c in checks])
+    by_model: dict[str, list[RowCheck]] = {}
+    parts: list[DataFrame] = []
+    for check in checks:
+        if isinstance(check, RowCheck):
+            by_model.setdefault(check.model, []).append(check)
+        else:
+            failures = check.failures(tables)
+            result = failures.select(_described(check, F.col("failures")).alias("result"))
+            parts.append(result.select("result.*"))
+    parts += [_row_checks(tables[model], group) for model, group in by_model.items()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 class ChecksFailed(Exception):

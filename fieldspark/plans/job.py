@@ -4,13 +4,15 @@
 
 Every table is written as Parquet and read back by what builds on it, so each raw file is
 parsed once, a lost executor only repeats the table being written, and join planning sees
-real table sizes.
+real table sizes. Tables that do not need each other are written at the same time.
 """
 
 from __future__ import annotations
 
 import argparse
-from collections.abc import Mapping
+from collections.abc import Collection, Iterator, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,26 +22,61 @@ from fieldspark.plans.entities import ENTITIES, Settings
 from fieldspark.plans.quality import (
     DOMAIN_CHECKS, MART_CHECKS, STAGING_CHECKS, mart_model, staging_model,
 )
-from fieldspark.plans.staging import stage, stage_clients
+from fieldspark.plans.staging import raw_keys, stage, stage_clients
 from fieldspark.sources.raw_csv import export_csv, read_raw
 from fieldspark.sources.tables import Warehouse
 
 LAYERS = ("staging", "marts", "kpis", "checks")
+PARALLEL_WRITES = 4
 MARTS = {
     "campaign_performance": marts.campaign_performance,
     "visit_responses": marts.visit_responses,
 }
 
 
-def build_staging(spark: SparkSession, raw_dir: str, house: Warehouse, settings: Settings) -> None:
+class RawFiles(Mapping[str, DataFrame]):
+    """The raw CSV tables of a folder, read when first used."""
+
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self._read = cache(lambda name: read_raw(spark, folder, name))
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._read(name)
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(ENTITIES)
+
+    def __len__(self) -> int:
+        return len(ENTITIES)
+
+
+def _write_together(house: Warehouse, layer: str, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Write independent tables at the same time; their Spark jobs share the executors."""
+    with ThreadPoolExecutor(max_workers=PARALLEL_WRITES) as pool:
+        written = pool.map(lambda item: house.write(layer, *item), tables.items())
+        return dict(zip(tables, written))
+
+
+def build_staging(
+    raw: Mapping[str, DataFrame], house: Warehouse, settings: Settings,
+    names: Collection[str] = tuple(ENTITIES), layer: str = "staging",
+) -> dict[str, DataFrame]:
+    """Write staging tables, parents first, and return them by entity name."""
     staged: dict[str, DataFrame] = {}
-    for name in ENTITIES:
-        raw = read_raw(spark, raw_dir, name)
-        if name == "clients":
-            df = stage_clients(raw, read_raw(spark, raw_dir, "projects"), settings)
-        else:
-            df = stage(name, raw, staged, settings)
-        staged[name] = house.write("staging", staging_model(name), df)
+    while waiting := [n for n in ENTITIES if n in names and n not in staged]:
+        ready = {}
+        for name in waiting:
+            parents = {ref.parent for ref in ENTITIES[name].references}
+            if not any(p in waiting for p in parents):
+                keys = {p: staged[p] if p in staged else raw_keys(p, raw[p], settings) for p in parents}
+                ready[name] = (
+                    stage_clients(raw["clients"], raw["projects"], settings)
+                    if name == "clients"
+                    else stage(name, raw[name], keys, settings)
+                )
+        written = _write_together(house, layer, {staging_model(n): df for n, df in ready.items()})
+        staged |= {n: written[staging_model(n)] for n in ready}
+    return staged
 
 
 def read_staging(house: Warehouse) -> dict[str, DataFrame]:
@@ -47,8 +84,7 @@ def read_staging(house: Warehouse) -> dict[str, DataFrame]:
 
 
 def build_marts(house: Warehouse, tables: Mapping[str, DataFrame]) -> None:
-    for name, mart in MARTS.items():
-        house.write("marts", mart_model(name), mart(tables))
+    _write_together(house, "marts", {mart_model(n): mart(tables) for n, mart in MARTS.items()})
 
 
 def build_kpis(house: Warehouse, tables: Mapping[str, DataFrame], settings: Settings) -> None:
@@ -57,7 +93,7 @@ def build_kpis(house: Warehouse, tables: Mapping[str, DataFrame], settings: Sett
         "kpis", "worker_status",
         kpis.worker_status(tables["visits"], tables["route_employee"], tables["workers"]),
     )
-    for name, df in {
+    _write_together(house, "kpis", {
         "portfolio_totals": kpis.portfolio_totals(performance),
         "state_totals": kpis.state_totals(performance, settings.as_of),
         "active_campaigns": kpis.active_campaigns(performance, settings.as_of),
@@ -66,8 +102,7 @@ def build_kpis(house: Warehouse, tables: Mapping[str, DataFrame], settings: Sett
         "active_workers": kpis.active_workers(tables["workers"]),
         "unassigned_visits": kpis.unassigned_visits(status),
         "worker_load": kpis.worker_load(status),
-    }.items():
-        house.write("kpis", name, df)
+    })
 
 
 def check(house: Warehouse, tables: Mapping[str, DataFrame], layer: str = "all") -> DataFrame:
@@ -89,7 +124,7 @@ def run(
     """Build one layer, or all of them followed by the checks."""
     house = Warehouse(spark, warehouse)
     if layer in ("staging", "all"):
-        build_staging(spark, raw_dir, house, settings)
+        build_staging(RawFiles(spark, raw_dir), house, settings)
     if layer == "staging":
         return
     tables = read_staging(house)

@@ -34,21 +34,15 @@ class Warehouse:
         return self.spark.table(table)
 
 
-class Scratch:
-    """Intermediate tables in a fresh folder under the session's ``spark.checkpoint.dir``.
+def scratch_warehouse(spark: SparkSession) -> Warehouse:
+    """A fresh folder under the session's ``spark.checkpoint.dir`` for intermediate tables.
 
     Writing a table there cuts its lineage and survives lost executors. Without the setting a
     temporary folder is used, but only by a local session, whose executors can all read it.
     """
-
-    def __init__(self, spark: SparkSession) -> None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        if not shared:
-            if not spark.conf.get("spark.master", "").startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            shared = tempfile.mkdtemp(prefix="scratch-")
-        self._house = Warehouse(spark, f"{shared.rstrip('/')}/tables-{uuid.uuid4().hex}")
-
-    def written(self, name: str, df: DataFrame) -> DataFrame:
-        """Write the table once and return it as read back."""
-        return self._house.write("scratch", name, df)
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        shared = tempfile.mkdtemp(prefix="scratch-")
+    return Warehouse(spark, f"{shared.rstrip('/')}/tables-{uuid.uuid4().hex}")

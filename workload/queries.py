@@ -15,9 +15,10 @@ from fieldspark.operators.assignment import primary_assignment
 from fieldspark.operators.keys import highest_per_key, key_set
 from fieldspark.plans import kpis, marts, quality
 from fieldspark.plans.entities import ENTITIES, ROUTE_PREFIX, Settings
-from fieldspark.plans.job import MARTS
+from fieldspark.plans.job import MARTS, build_marts, build_staging
+from fieldspark.plans.quality import mart_model
 from fieldspark.plans.staging import StagedTables, cleaned_latest, stage
-from fieldspark.sources.tables import Scratch
+from fieldspark.sources.tables import Warehouse, scratch_warehouse
 from workload.oracle import AS_OF
 from workload.raw_tables import RawTables, given, raw_table
 
@@ -216,48 +217,47 @@ _over_worker_status("kpi_worker_load", kpis.worker_load)
 # --- checks and profiles ----------------------------------------------------------------
 
 
-def _written_models(spark: SparkSession, sf_dir: str, names: Iterable[str]) -> dict[str, DataFrame]:
-    """Staging tables written to the shared scratch folder first: every check reads them."""
-    tables, scratch = _staged(spark, sf_dir), Scratch(spark)
-    return {quality.staging_model(n): scratch.written(n, tables[n]) for n in names}
+def _models(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    return {quality.staging_model(n): tables[n] for n in tables}
 
 
-def _of_type(kind: type) -> list[ck.Check]:
-    return [c for c in quality.STAGING_CHECKS if isinstance(c, kind)]
+def _written(house: Warehouse, spark: SparkSession, sf_dir: str, names: Iterable[str]) -> dict[str, DataFrame]:
+    """Staging tables written to the scratch folder, for checks that read them many times."""
+    return build_staging(RawTables(spark, sf_dir), house, SETTINGS, list(names))
 
 
-def _entities_of(declared: Iterable[ck.Check]) -> list[str]:
-    models = {m for c in declared for m in (c.model, getattr(c, "parent", c.model))}
-    return [n for n in ENTITIES if quality.staging_model(n) in models]
-
+def _of_type(kind: type) -> list[ck.Check]:
+    return [c for c in quality.STAGING_CHECKS if isinstance(c, kind)]
 
-def _register_checks(name: str, declared: list[ck.Check]) -> None:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return ck.run_checks(_written_models(spark, sf_dir, _entities_of(declared)), declared)
 
-    REGISTRY[name] = run
+# One aggregation or one grouping per table: nothing is read twice, so nothing is written.
+_over_staged("check_not_null", lambda t: ck.run_checks(_models(t), _of_type(ck.NotNull)))
+_over_staged("check_unique", lambda t: ck.run_checks(_models(t), _of_type(ck.Unique)))
+_over_staged("check_invalid_shares", lambda t: ck.run_checks(_models(t), quality.share_checks(0.1)))
+_over_staged("check_domains", lambda t: ck.run_checks(
+    _models({n: t[n] for n in ("visits", "questions", "campaigns", "projects", "clients", "routes")}),
+    quality.DOMAIN_CHECKS,
+))
 
 
-_register_checks("check_not_null", _of_type(ck.NotNull))
-_register_checks("check_unique", _of_type(ck.Unique))
-_register_checks("check_relationships", _of_type(ck.Relationships))
-_register_checks("check_domains", quality.DOMAIN_CHECKS)
-_register_checks("check_invalid_shares", quality.share_checks(0.1))
+@_query
+def check_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = _written(scratch_warehouse(spark), spark, sf_dir, ENTITIES)
+    return ck.run_checks(_models(tables), _of_type(ck.Relationships))
 
 
 @_query
 def check_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    models = _written_models(spark, sf_dir, ENTITIES)
-    tables = {n: models[quality.staging_model(n)] for n in ENTITIES}
-    scratch = Scratch(spark)
-    for name, mart in MARTS.items():
-        models[quality.mart_model(name)] = scratch.written(name, mart(tables))
-    return ck.run_checks(models, quality.MART_CHECKS)
+    house = scratch_warehouse(spark)
+    tables = _written(house, spark, sf_dir, ENTITIES)
+    build_marts(house, tables)
+    written = {mart_model(n): house.read("marts", mart_model(n)) for n in MARTS}
+    return ck.run_checks({**_models(tables), **written}, quality.MART_CHECKS)
 
 
 @_query
 def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    models = _written_models(spark, sf_dir, ENTITIES)
+    models = _models(_written(scratch_warehouse(spark), spark, sf_dir, ENTITIES))
     models["stg_routes"] = models["stg_routes"].select(
         "route_id", "campaign_id", "route_code", "route_status", "delegation_code"
     )
