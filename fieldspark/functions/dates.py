@@ -1,8 +1,8 @@
 """Mixed-format dates, times of day and rules that depend on today's date.
 
-Raw dates come as ``yyyy-MM-dd`` (optionally with a clock time) or ``d/M/yyyy``.
-Anything else is null. The common plain ISO date is recognised by its shape and
-cast directly; only other shapes pay for a pattern match.
+Raw dates come as ``yyyy-MM-dd`` (optionally with a clock time) or ``d/M/yyyy``; anything
+else is null. Day-first text is turned round to ISO, then only text of an accepted shape is
+cast, as Spark's own cast also takes bare years and ignores what follows a space.
 """
 
 from __future__ import annotations
@@ -14,59 +14,39 @@ from pyspark.sql import functions as F
 
 # Accepted formats and status labels.
 ISO_DATE_TIME = r"^\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?)?$"
+DAY_FIRST, TO_ISO = r"^(\d{1,2})/(\d{1,2})/(\d{4})$", "$3-$2-$1"
 CLOCK = r"^\d{1,2}:\d{1,2}(:\d{1,2}(\.\d+)?)?$"
-DAY_FIRST = "d/M/yyyy"
 SCHEDULED, CLOSED, ACTIVE = "PROGRAMADA", "CERRADA", "ACTIVA"
 STATE_ACTIVE, STATE_CLOSED = "Activa", "Cerrada"
 
 AsOf = dt.date | str | None
 
 
-def _is_plain_iso(text: Column) -> Column:
-    return (
-        F.length(text).between(8, 10)
-        & (F.substring(text, 5, 1) == "-")
-        & ~F.contains(text, F.lit(" "))
-        & ~F.contains(text, F.lit("T"))
-    )
-
-
-def _parse_other(text: Column) -> Column:
-    iso = F.when(text.rlike(ISO_DATE_TIME), text.try_cast("timestamp_ntz"))
-    day_first = F.when(
-        F.contains(text, F.lit("/")), F.try_to_timestamp(text, F.lit(DAY_FIRST)).cast("timestamp_ntz")
-    )
-    return F.coalesce(iso, day_first)
-
-
 def mixed_timestamp(col: Column) -> Column:
-    text = F.trim(col.cast("string"))
-    return F.when(_is_plain_iso(text), text.try_cast("timestamp_ntz")).otherwise(_parse_other(text))
+    iso = F.regexp_replace(F.trim(col.cast("string")), DAY_FIRST, TO_ISO)
+    return F.regexp_extract(iso, ISO_DATE_TIME, 0).try_cast("timestamp_ntz")
 
 
 def mixed_date(col: Column) -> Column:
-    text = F.trim(col.cast("string"))
-    return F.when(_is_plain_iso(text), text.try_cast("date")).otherwise(_parse_other(text).cast("date"))
+    return mixed_timestamp(col).cast("date")
 
 
 def date_shape(col: Column) -> Column:
     """Which accepted format a raw date uses: iso, day_first, blank or other."""
     text = F.trim(col.cast("string"))
-    parsed = mixed_date(col).isNotNull()
     return (
         F.when(text.isNull() | (text == ""), "blank")
-        .when(parsed & F.contains(text, F.lit("/")), "day_first")
-        .when(parsed, "iso")
-        .otherwise("other")
+        .when(mixed_timestamp(col).isNull(), "other")
+        .when(text.rlike(DAY_FIRST), "day_first")
+        .otherwise("iso")
     )
 
 
 def time_of_day(col: Column) -> Column:
     """``HH:mm:ss`` text, or null when the clock time is invalid. Spark's TIME type
     is off by default, so the value stays a sortable string."""
-    text = F.trim(col.cast("string"))
-    moment = F.concat(F.lit("1970-01-01 "), text).try_cast("timestamp_ntz")
-    return F.when(text.rlike(CLOCK), F.date_format(moment, "HH:mm:ss"))
+    clock = F.nullif(F.regexp_extract(F.trim(col.cast("string")), CLOCK, 0), F.lit(""))
+    return F.date_format(F.concat(F.lit("1970-01-01 "), clock).try_cast("timestamp_ntz"), "HH:mm:ss")
 
 
 def today(as_of: AsOf = None) -> Column:

@@ -17,6 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fieldspark.sources.estimates import UNKNOWN, estimated_bytes
+
 HOT_KEYS = 64
 SALTS = 64
 
@@ -25,11 +27,11 @@ _HOT, _SALT, _REF_SALT = "_hot_key", "_salt", "_ref_salt"
 
 def fits_broadcast(frames: Sequence[DataFrame]) -> bool:
     """Whether the frames together are estimated under the session's broadcast limit."""
-    if not hasattr(frames[0], "_jdf"):  # a client without the optimizer's estimates
+    size = sum(estimated_bytes(f) for f in frames)
+    if size >= UNKNOWN:
         return False
     conf = frames[0].sparkSession._jsparkSession.sessionState().conf()
-    plans = [f._jdf.queryExecution().optimizedPlan() for f in frames]
-    return sum(int(p.stats().sizeInBytes()) for p in plans) <= conf.autoBroadcastJoinThreshold()
+    return size <= conf.autoBroadcastJoinThreshold()
 
 
 def frequent_keys(keys: DataFrame, column: str, limit: int = HOT_KEYS) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldspark.sources.schemas import RAW_COLUMNS
+from fieldspark.sources.tables import balanced
 
 
 def read_raw(spark: SparkSession, folder: str, table: str, multi_line: bool = False) -> DataFrame:
@@ -21,7 +22,7 @@ def read_raw(spark: SparkSession, folder: str, table: str, multi_line: bool = Fa
         .option("multiLine", multi_line)
         .csv(f"{folder.rstrip('/')}/raw_{table}.csv")
     )
-    return df.select(*[F.col(c) for c in RAW_COLUMNS[table]])
+    return balanced(df.select(*[F.col(c) for c in RAW_COLUMNS[table]]))
 
 
 def export_csv(df: DataFrame, path: str) -> None:

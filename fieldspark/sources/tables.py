@@ -8,6 +8,18 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fieldspark.sources.estimates import estimated_bytes
+
+
+def balanced(df: DataFrame, min_bytes: int = 1 << 20) -> DataFrame:
+    """Redistribute a scan that gives fewer tasks than there are cores, as a file that cannot be
+    split does (compressed text, one Parquet row group). Scans with enough splits, the normal
+    case for large data, and scans too small to matter stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if estimated_bytes(df) < min_bytes or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
 
 @dataclass(frozen=True)
 class Warehouse:

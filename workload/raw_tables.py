@@ -15,6 +15,8 @@ from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fieldspark.sources.tables import balanced
+
 GIVEN_TABLES = ("customer", "supplier", "part", "orders", "lineitem", "events")
 ORPHAN = 1_000_000_000  # added to a key to make it point nowhere
 
@@ -305,7 +307,7 @@ RAW_SQL: dict[str, str] = {
 
 
 def given(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
+    return balanced(spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet"))
 
 
 class RawTables(Mapping[str, DataFrame]):
