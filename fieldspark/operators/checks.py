@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldspark.operators.profile import iqr_fences
+from fieldspark.operators.profile import is_outlier
 
 ERROR, WARN = "error", "warn"
 
@@ -135,9 +135,7 @@ class NoOutliers(RowCheck):
     name = "no_outliers"
 
     def failing(self, table):
-        fences = iqr_fences(table, self.column)
-        low, high = fences.select("low_fence").scalar(), fences.select("high_fence").scalar()
-        return F.count_if((F.col(self.column) < low) | (F.col(self.column) > high))
+        return F.count_if(is_outlier(table, self.column))
 
 
 def _described(check: Check, failures: Column) -> Column:

@@ -1,12 +1,13 @@
 """Table profiling: nulls, cardinality, distribution, outliers, date ranges.
 
 Every profile is one pass over the columns it needs, or a count per value that combines
-before the shuffle. Quantiles come from a bounded sketch that is exact for tables smaller
-than its accuracy.
+before the shuffle. Quantiles are exact: histograms of fixed size, refined around the
+wanted ranks, so no task ever holds or sorts all values.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -14,7 +15,8 @@ from pyspark.sql import functions as F
 
 from fieldspark.functions.dates import date_shape, mixed_date
 
-QUANTILE_ACCURACY = 1_000_000
+HISTOGRAM_BUCKETS = 4096
+QUARTILES = (0.25, 0.5, 0.75)
 
 
 def _long_form(one_row: DataFrame, columns: Sequence[str], fields: Sequence[str]) -> DataFrame:
@@ -64,33 +66,72 @@ def top_values(df: DataFrame, column: str, limit: int | None = None) -> DataFram
     return counts.orderBy(F.col("row_count").desc(), F.col("value").asc_nulls_last()).limit(limit)
 
 
-def quantiles(df: DataFrame, column: str, accuracy: int = QUANTILE_ACCURACY) -> DataFrame:
-    """Minimum, quartiles, maximum and mean of a number, one row."""
-    value = F.col(column)
-    at = F.percentile_approx(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.lit(accuracy))
-    return df.agg(
-        F.min(value).alias("minimum"), at.alias("_at"), F.max(value).alias("maximum"),
-        F.avg(value).alias("mean"),
-    ).select(
-        "minimum", F.col("_at")[0].alias("q1"), F.col("_at")[1].alias("median"),
-        F.col("_at")[2].alias("q3"), "maximum", "mean",
+def _numbers(df: DataFrame, column: str) -> DataFrame:
+    value = F.col(column).cast("double").alias("v")
+    return df.select(value).where(F.col("v").isNotNull() & ~F.isnan("v"))
+
+
+def _histogram(values: DataFrame, low: float, high: float) -> DataFrame:
+    """Equal-width buckets between two bounds: rows, least and greatest value of each."""
+    position = (F.col("v") - F.lit(low)) / F.lit(high - low) * HISTOGRAM_BUCKETS
+    bucket = F.least(F.floor(position).cast("int"), F.lit(HISTOGRAM_BUCKETS - 1))
+    return values.where(F.col("v").between(low, high)).groupBy(bucket.alias("bucket")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high")
     )
 
 
-def iqr_fences(df: DataFrame, column: str, factor: float = 1.5) -> DataFrame:
-    """Quartile fences of a number, one row: values outside them count as outliers."""
-    spread = F.lit(factor) * (F.col("q3") - F.col("q1"))
-    return quantiles(df, column).select(
-        "q1", "q3", (F.col("q1") - spread).alias("low_fence"), (F.col("q3") + spread).alias("high_fence")
+def quantile_values(
+    df: DataFrame, column: str, probabilities: Sequence[float] = QUARTILES
+) -> list[float | None]:
+    """Exact quantiles: the smallest values with at least each share of the rows up to them.
+
+    Each round splits the range that holds a wanted rank into buckets and keeps the bucket it
+    falls in; only bucket counts (a fixed number) reach the driver. The least and the greatest
+    value of a range land in different buckets, so every round narrows it.
+    """
+    values = _numbers(df, column)
+    total = values.agg(F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).first()
+    if not total.n:
+        return [None] * len(probabilities)
+    # per quantile: rank within the range still open, and that range
+    state = [(max(1, math.ceil(p * total.n)), total.low, total.high) for p in probabilities]
+    while ranges := sorted({(low, high) for _, low, high in state if low < high}):
+        histograms = {r: _histogram(values, *r).orderBy("bucket").collect() for r in ranges}
+        for i, (rank, low, high) in enumerate(state):
+            for bucket in histograms.get((low, high), ()):
+                if rank <= bucket.n:
+                    state[i] = (rank, bucket.low, bucket.high)
+                    break
+                rank -= bucket.n
+    return [low for _, low, _ in state]
+
+
+def quantiles(df: DataFrame, column: str) -> DataFrame:
+    """Minimum, quartiles, maximum and mean of a number, one row."""
+    q1, median, q3 = (F.lit(q).cast("double") for q in quantile_values(df, column))
+    return _numbers(df, column).agg(
+        F.min("v").alias("minimum"), q1.alias("q1"), median.alias("median"), q3.alias("q3"),
+        F.max("v").alias("maximum"), F.avg("v").alias("mean"),
     )
 
 
+def iqr_fences(df: DataFrame, column: str, factor: float = 1.5) -> tuple[float | None, float | None]:
+    """Quartile fences of a number: values outside them count as outliers."""
+    q1, q3 = quantile_values(df, column, (0.25, 0.75))
+    if q1 is None:
+        return None, None
+    return q1 - factor * (q3 - q1), q3 + factor * (q3 - q1)
+
+
+def is_outlier(df: DataFrame, column: str, factor: float = 1.5) -> Column:
+    """Whether a value lies outside the quartile fences of its column."""
+    low, high = iqr_fences(df, column, factor)
+    return (F.col(column) < F.lit(low)) | (F.col(column) > F.lit(high))
+
+
 def outliers(df: DataFrame, column: str, factor: float = 1.5) -> DataFrame:
     """The rows whose value lies outside the quartile fences."""
-    fences = iqr_fences(df, column, factor)
-    value = F.col(column)
-    low, high = fences.select("low_fence").scalar(), fences.select("high_fence").scalar()
-    return df.where((value < low) | (value > high))
+    return df.where(is_outlier(df, column, factor))
 
 
 def date_profile(df: DataFrame, raw: str) -> DataFrame:

@@ -86,7 +86,7 @@ def visit_counts(visits: DataFrame) -> DataFrame:
 
 def route_counts(routes: DataFrame, visits: DataFrame) -> DataFrame:
     """Routes per campaign, and those visited at least once (by any campaign's visit)."""
-    visited = visits.select(F.col("route_id").alias("visited_id")).dropna().distinct()
+    visited = visits.select(F.col("route_id").alias("visited_id")).where("visited_id IS NOT NULL").distinct()
     return (
         routes.select("campaign_id", "route_id")
         .join(visited, F.col("route_id") == F.col("visited_id"), "left")
@@ -138,14 +138,17 @@ def campaign_performance(t: Tables) -> DataFrame:
         _clients_by_code(t["clients"]), "campaign_client_code", "client_by_code_key",
     )
 
+    # Both uses of the routes ask for the same rows, so a lazy plan shares their shuffle.
+    routes = t["routes"].where(F.col("route_id").isNotNull())
+
     def same_campaign(other: str):
         return F.col("campaign_id") == F.col(other)
 
     joined = (
         owned.join(visit_counts(t["visits"]), same_campaign("visits_of"), "left")
-        .join(route_counts(t["routes"], t["visits"]), same_campaign("routes_of"), "left")
+        .join(route_counts(routes, t["visits"]), same_campaign("routes_of"), "left")
         .join(
-            worker_lists(t["routes"], t["route_employee"], t["workers"]),
+            worker_lists(routes, t["route_employee"], t["workers"]),
             same_campaign("workers_of"), "left",
         )
     )

@@ -1,3 +1,4 @@
+import math
 import random
 from collections import Counter, defaultdict
 
@@ -204,18 +205,35 @@ def test_profiles(spark):
     assert [r.value for r in profile.top_values(df, "s", 1).collect()] == ["a"]
 
 
-def test_quantiles_and_outliers_are_exact_on_small_tables(spark):
+@pytest.mark.parametrize("shape", ["normal", "heavy_tail", "one_value", "few_values", "huge_range"])
+def test_quantiles_and_outliers_are_exact(spark, shape):
     rnd = random.Random(5)
-    values = [round(rnd.gauss(0, 10), 3) for _ in range(1001)] + [500.0, -500.0]
-    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(8)
+    make = {
+        "normal": lambda: round(rnd.gauss(0, 10), 3),
+        "heavy_tail": lambda: rnd.paretovariate(0.3),
+        "one_value": lambda: 4.0,
+        "few_values": lambda: float(rnd.choice([1, 1, 1, 2, 90])),
+        "huge_range": lambda: rnd.choice([-1, 1]) * 10.0 ** rnd.randrange(-200, 200),
+    }[shape]
+    values = [make() for _ in range(1003)]
+    df = spark.createDataFrame([(v,) for v in [*values, None, float("nan")]], "v double").repartition(8)
     ordered = sorted(values)
     def at(p):
-        return ordered[-(-int(p * 100 * len(values)) // 100) - 1]
+        return ordered[math.ceil(p * len(values)) - 1]
     got = profile.quantiles(df, "v").first()
-    assert (got.q1, got.median, got.q3) == (at(0.25), at(0.5), at(0.75))
+    assert (got.minimum, got.q1, got.median, got.q3, got.maximum) == (
+        ordered[0], at(0.25), at(0.5), at(0.75), ordered[-1])
+    assert profile.quantile_values(df, "v", [0, 0.013, 1]) == [ordered[0], at(0.013), ordered[-1]]
     spread = 1.5 * (got.q3 - got.q1)
     want = Counter(v for v in values if v < got.q1 - spread or v > got.q3 + spread)
-    assert Counter(r.v for r in profile.outliers(df, "v").collect()) == want and 500.0 in want
+    found = profile.outliers(df.where("NOT isnan(v)"), "v")
+    assert Counter(r.v for r in found.collect()) == want
+
+
+def test_quantiles_of_an_empty_column(spark):
+    df = spark.createDataFrame([(None,)], "v double")
+    assert profile.quantiles(df, "v").first().q1 is None
+    assert profile.outliers(df, "v").count() == 0
 
 
 def test_date_profile_and_inverted_intervals(spark):
