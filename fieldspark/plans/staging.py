@@ -56,14 +56,12 @@ def stage(
     """Stage one raw table. ``parents`` holds, per entity it refers to, a DataFrame with
     that entity's key column, each key once: the staged table, or ``raw_keys``."""
     entity = ENTITIES[name]
-    cleaned = {c.name: c for c in entity.cleaned}
-    df = cleaned_latest(raw, entity, settings)
+    latest = df = cleaned_latest(raw, entity, settings)
     for ref in entity.references:
+        # Hot keys are looked for in the deduplicated rows: the plan reuses their shuffle.
         df = with_fk_flag(
             df, ref.fk, parents[ref.parent], ENTITIES[ref.parent].key, ref.flag,
-            null_fk=ref.null_fk,
-            hot_from=raw.select(cleaned[ref.fk].build(settings)),
-            spread_by=[entity.key],
+            null_fk=ref.null_fk, hot_from=latest, spread_by=[entity.key],
         )
     return _finish(df, entity, settings)
 

@@ -9,7 +9,7 @@ from fieldspark.plans import kpis, marts, starter
 from fieldspark.plans.entities import ENTITIES, Settings
 from fieldspark.plans.job import RawFiles, check, read_staging, run
 from fieldspark.plans.quality import MART_CHECKS, STAGING_CHECKS, quality_report
-from fieldspark.plans.staging import StagedTables
+from fieldspark.plans.staging import StagedTables, stage
 from fieldspark.sources.raw_csv import read_raw
 from fieldspark.sources.tables import Warehouse, scratch_warehouse
 from tests.raw_fixture import AS_OF, CSV, write_raw
@@ -143,6 +143,14 @@ def test_marts_are_the_same_without_broadcasts(spark, house, no_broadcast):
         assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
 
 
+def test_raw_file_is_read_once_even_when_hot_keys_are_spread(spark, house, tmp_path, no_broadcast):
+    raw = read_raw(spark, write_raw(tmp_path), "visits")
+    df = stage("visits", raw, read_staging(house), SETTINGS)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("FileScan csv") == 1 and "ReusedExchange" in final
+
+
 def test_lazy_staging_equals_written_staging(spark, house, tmp_path):
     lazy = StagedTables(RawFiles(spark, write_raw(tmp_path)), SETTINGS)
     assert set(lazy) == set(ENTITIES) and len(lazy) == 10
