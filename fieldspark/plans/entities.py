@@ -63,6 +63,15 @@ class Entity:
     references: tuple[Reference, ...] = ()
     derived: Callable[[Settings], dict[str, Column]] = field(default=lambda settings: {})
 
+    def comments(self) -> dict[str, str]:
+        """Descriptions of the key, the references and their flags."""
+        described = {self.key: f"Key. {self.about}"}
+        for ref in self.references:
+            optional = "" if ref.required else "; may be missing"
+            described[ref.fk] = f"Reference to {ref.parent}{optional}."
+            described[ref.flag] = f"Whether {ref.fk} occurs in {ref.parent}; missing counts as {ref.null_fk}."
+        return described
+
 
 def _plain(rule: Callable[[Column], Column]) -> Callable[..., Cleaned]:
     return lambda name, raw=None: Cleaned(name, lambda c, s: rule(c), raw)

@@ -10,9 +10,9 @@ real table sizes. Tables that do not need each other are written at the same tim
 from __future__ import annotations
 
 import argparse
-from collections.abc import Collection, Iterator, Mapping
+from collections.abc import Callable, Collection, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from functools import cache
+from functools import cache, partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,10 +50,12 @@ class RawFiles(Mapping[str, DataFrame]):
         return len(ENTITIES)
 
 
-def _write_together(house: Warehouse, layer: str, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Write independent tables at the same time; their Spark jobs share the executors."""
+def _write_together(
+    house: Warehouse, layer: str, tables: Mapping[str, Callable[[], DataFrame]]
+) -> dict[str, DataFrame]:
+    """Plan and write independent tables at the same time; their Spark jobs share the executors."""
     with ThreadPoolExecutor(max_workers=PARALLEL_WRITES) as pool:
-        written = pool.map(lambda item: house.write(layer, *item), tables.items())
+        written = pool.map(lambda name: house.write(layer, name, tables[name]()), tables)
         return dict(zip(tables, written))
 
 
@@ -63,18 +65,17 @@ def build_staging(
 ) -> dict[str, DataFrame]:
     """Write staging tables, parents first, and return them by entity name."""
     staged: dict[str, DataFrame] = {}
+
+    def make(name: str) -> DataFrame:
+        if name == "clients":
+            return stage_clients(raw["clients"], raw["projects"], settings)
+        parents = {ref.parent for ref in ENTITIES[name].references}
+        keys = {p: staged[p] if p in staged else raw_keys(p, raw[p], settings) for p in parents}
+        return stage(name, raw[name], keys, settings)
+
     while waiting := [n for n in ENTITIES if n in names and n not in staged]:
-        ready = {}
-        for name in waiting:
-            parents = {ref.parent for ref in ENTITIES[name].references}
-            if not any(p in waiting for p in parents):
-                keys = {p: staged[p] if p in staged else raw_keys(p, raw[p], settings) for p in parents}
-                ready[name] = (
-                    stage_clients(raw["clients"], raw["projects"], settings)
-                    if name == "clients"
-                    else stage(name, raw[name], keys, settings)
-                )
-        written = _write_together(house, layer, {staging_model(n): df for n, df in ready.items()})
+        ready = [n for n in waiting if not any(ref.parent in waiting for ref in ENTITIES[n].references)]
+        written = _write_together(house, layer, {staging_model(n): partial(make, n) for n in ready})
         staged |= {n: written[staging_model(n)] for n in ready}
     return staged
 
@@ -84,7 +85,7 @@ def read_staging(house: Warehouse) -> dict[str, DataFrame]:
 
 
 def build_marts(house: Warehouse, tables: Mapping[str, DataFrame]) -> None:
-    _write_together(house, "marts", {mart_model(n): mart(tables) for n, mart in MARTS.items()})
+    _write_together(house, "marts", {mart_model(n): partial(mart, tables) for n, mart in MARTS.items()})
 
 
 def build_kpis(house: Warehouse, tables: Mapping[str, DataFrame], settings: Settings) -> None:
@@ -94,14 +95,14 @@ def build_kpis(house: Warehouse, tables: Mapping[str, DataFrame], settings: Sett
         kpis.worker_status(tables["visits"], tables["route_employee"], tables["workers"]),
     )
     _write_together(house, "kpis", {
-        "portfolio_totals": kpis.portfolio_totals(performance),
-        "state_totals": kpis.state_totals(performance, settings.as_of),
-        "active_campaigns": kpis.active_campaigns(performance, settings.as_of),
-        "active_by_start_month": kpis.active_by_start_month(performance, settings.as_of),
-        "portfolio_rollup": kpis.portfolio_rollup(performance),
-        "active_workers": kpis.active_workers(tables["workers"]),
-        "unassigned_visits": kpis.unassigned_visits(status),
-        "worker_load": kpis.worker_load(status),
+        "portfolio_totals": partial(kpis.portfolio_totals, performance),
+        "state_totals": partial(kpis.state_totals, performance, settings.as_of),
+        "active_campaigns": partial(kpis.active_campaigns, performance, settings.as_of),
+        "active_by_start_month": partial(kpis.active_by_start_month, performance, settings.as_of),
+        "portfolio_rollup": partial(kpis.portfolio_rollup, performance),
+        "active_workers": partial(kpis.active_workers, tables["workers"]),
+        "unassigned_visits": partial(kpis.unassigned_visits, status),
+        "worker_load": partial(kpis.worker_load, status),
     })
 
 

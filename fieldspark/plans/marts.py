@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from fieldspark.functions.metrics import DONE_STATUSES, INCIDENT, NOT_VISITED, rate, sorted_text
 from fieldspark.operators.assignment import distinct_assignments, primary_assignment
 from fieldspark.operators.lookup import lookup
+from fieldspark.plans.describe import described
 
 Tables = Mapping[str, DataFrame]
 
@@ -38,6 +39,19 @@ VISIT_RESPONSES = (
     "fk_question_id_valid", "created_at", "updated_at_sys",
 )
 
+CAMPAIGN_COMMENTS = {
+    "campaign_id": "Key: one row per campaign, for business KPIs.",
+    "completion_rate": "Completed visits over recorded visits.",
+    "route_execution_rate": "Routes with a visit over all routes.",
+    "incidence_rate": "Visits with an incidence over recorded visits.",
+}
+RESPONSE_COMMENTS = {
+    "answer_id": "Key: one row per answer, flat for BI.",
+    "visit_id": "Visit of the answer.",
+    "question_id": "Question of the answer; may be missing.",
+    "employee_id": "Primary worker of the visit's route.",
+}
+
 
 def _renamed(df: DataFrame, **names: str) -> DataFrame:
     """Keep some columns under new names, given as ``new=old``."""
@@ -164,7 +178,7 @@ def campaign_performance(t: Tables) -> DataFrame:
             "route_execution_rate": rate(F.col("routes_with_visits"), F.col("routes_total")),
             "incidence_rate": rate(F.col("incid_visits"), F.col("total_visits")),
         }
-    ).select(*CAMPAIGN_PERFORMANCE)
+    ).select(*described(CAMPAIGN_PERFORMANCE, CAMPAIGN_COMMENTS))
 
 
 def _campaign_owners(t: Tables) -> DataFrame:
@@ -257,4 +271,4 @@ def visit_responses(t: Tables) -> DataFrame:
             "question_type": F.coalesce("own_question_type", "master_question_type"),
             "workers_assigned_count": F.coalesce("workers_assigned_count", F.lit(0)),
         }
-    ).select(*VISIT_RESPONSES)
+    ).select(*described(VISIT_RESPONSES, RESPONSE_COMMENTS))

@@ -91,10 +91,12 @@ def share_checks(max_share: float) -> list[Check]:
 
 
 def quality_report(
-    tables: Mapping[str, DataFrame], checks: Iterable[Check], profiled: Iterable[str] | None = None
+    tables: Mapping[str, DataFrame], checks: Iterable[Check],
+    profiled: Iterable[str] | None = None, exact: bool = True,
 ) -> DataFrame:
     """One long table ``(model, column_name, measure, value)``: the failures of each check, and
-    rows, nulls and distinct values per column of the ``profiled`` models (default: all)."""
+    rows, nulls and distinct values per column of the ``profiled`` models (default: all).
+    ``exact=False`` estimates the distinct values from sketches, for very large tables."""
     found = run_checks(tables, checks).select(
         "model", "column_name",
         F.concat(F.lit("failures_"), F.col("check_name")).alias("measure"),
@@ -103,7 +105,7 @@ def quality_report(
 
     def profile(model: str) -> DataFrame:
         df = tables[model]
-        counts = null_counts(df).join(cardinalities(df, df.columns), "column_name", "left").select(
+        counts = null_counts(df).join(cardinalities(df, df.columns, exact), "column_name", "left").select(
             "column_name",
             F.explode(F.create_map(
                 F.lit("rows"), F.col("row_count"),

@@ -19,6 +19,7 @@ from fieldspark.functions.text import category
 from fieldspark.operators.dedup import keep_latest
 from fieldspark.operators.keys import highest_per_key, key_set, with_fk_flag
 from fieldspark.operators.lookup import lookup
+from fieldspark.plans.describe import described
 from fieldspark.plans.entities import CLIENTS, ENTITIES, Entity, Settings
 
 _VERSION = "_version"
@@ -37,8 +38,9 @@ def cleaned_latest(raw: DataFrame, entity: Entity, settings: Settings) -> DataFr
 
 
 def _finish(df: DataFrame, entity: Entity, settings: Settings) -> DataFrame:
-    described = df.withColumns(entity.derived(settings)).select(*entity.output)
-    return described.withMetadata(entity.key, {"comment": f"Key. {entity.about}"})
+    added = entity.derived(settings)
+    complete = df.withColumns(added) if added else df
+    return complete.select(*described(entity.output, entity.comments()))
 
 
 def raw_keys(name: str, raw: DataFrame, settings: Settings = Settings()) -> DataFrame:

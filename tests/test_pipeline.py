@@ -257,6 +257,14 @@ def test_quality_report(spark, house):
     assert found["stg_projects", "client_id", "failures_relationships"] == 1
 
 
+def test_descriptions_travel_with_the_tables(house):
+    visits = house.read("staging", "stg_visits").schema
+    assert visits["visit_id"].metadata["comment"].startswith("Key.")
+    assert "may be missing" in visits["route_id"].metadata["comment"]
+    mart = house.read("marts", "mart_visit_responses").schema
+    assert "one row per answer" in mart["answer_id"].metadata["comment"]
+
+
 def test_starter_tables(spark):
     first = starter.first(spark)
     assert sorted(map(tuple, first.collect()), key=str) == [(1,), (None,)]
