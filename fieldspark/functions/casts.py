@@ -5,18 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from fieldspark.functions.text import text
+from fieldspark.functions.text import text as cleaned_text
 
 
 def ident(col: Column, id_type: str = "int", strict: bool = True) -> Column:
-    """An id or whole number. Strict casts fail on a bad value (ANSI mode, Spark's
+    """An id or whole number; text with a decimal point, as exports of columns with gaps have
+    it, is rounded half away from zero. Strict casts fail on a bad value (ANSI mode, Spark's
     default); otherwise a bad value becomes null. Use ``bigint`` beyond 2^31 rows."""
-    return col.cast(id_type) if strict else col.try_cast(id_type)
+
+    def to(value: Column, kind: str) -> Column:
+        return value.cast(kind) if strict else value.try_cast(kind)
+
+    text = col.cast("string")
+    rounded = to(F.round(to(text, "decimal(38,10)")), id_type)
+    return F.when(F.contains(text, F.lit(".")), rounded).otherwise(to(text, id_type))
 
 
 def optional_ident(col: Column, id_type: str = "int", strict: bool = True) -> Column:
     """An id that may be blank: blank becomes null before the cast."""
-    return ident(text(col), id_type, strict)
+    return ident(cleaned_text(col), id_type, strict)
 
 
 def real(col: Column) -> Column:

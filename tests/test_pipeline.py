@@ -216,6 +216,13 @@ def test_export_is_plain_csv(house):
     assert next(r for r in rows if r["campaign_id"] == "1")["worker_ids"] == "1, 11, 2"
 
 
+def test_codes_shared_by_two_projects_repeat_the_campaign(spark, tmp_path):
+    shared = {"projects": CSV["projects"].replace("4,Cuatro,PRJ4", "4,Cuatro,PRJ3")}
+    tables = StagedTables(RawFiles(spark, write_raw(tmp_path, shared)), SETTINGS)
+    rows = marts.campaign_performance(tables).where("campaign_id = 3").collect()
+    assert sorted(r.project_id for r in rows) == [3, 4]
+
+
 def test_raw_columns_are_matched_by_name(spark, tmp_path):
     (tmp_path / "raw_clients.csv").write_text(
         "sector,client_name,client_id,company_id,country,created_at,updated_at_sys\nFarma,Alfa,01,1,,,\n"
