@@ -1,6 +1,6 @@
 """The batch job: raw CSV to staging, marts, KPI tables and check results.
 
-    python -m fieldspark.plans.job --raw DIR --warehouse DIR --select staging|marts|kpis|checks|all
+    python -m fieldspark.plans.job --raw DIR --warehouse DIR --select LAYER
 
 Every table is written as Parquet and read back by what builds on it, so each raw file is
 parsed once, a lost executor only repeats the table being written, and join planning sees
@@ -26,7 +26,7 @@ from fieldspark.plans.staging import raw_keys, stage, stage_clients
 from fieldspark.sources.raw_csv import export_csv, read_raw
 from fieldspark.sources.tables import Warehouse
 
-LAYERS = ("staging", "marts", "kpis", "checks")
+LAYERS = ("staging", "marts", "kpis", "checks", "checks-staging", "checks-marts", "all")
 PARALLEL_WRITES = 4
 MARTS = {
     "campaign_performance": marts.campaign_performance,
@@ -107,7 +107,7 @@ def build_kpis(house: Warehouse, tables: Mapping[str, DataFrame], settings: Sett
 
 
 def check(house: Warehouse, tables: Mapping[str, DataFrame], layer: str = "all") -> DataFrame:
-    """Run the declared checks of a layer and keep the results; raise on errors."""
+    """Run the declared checks on staging, marts or both and keep the results; raise on errors."""
     models = {staging_model(n): df for n, df in tables.items()}
     checks = [] if layer == "marts" else [*STAGING_CHECKS, *DOMAIN_CHECKS]
     if layer != "staging":
@@ -122,29 +122,34 @@ def run(
     spark: SparkSession, raw_dir: str, warehouse: str, layer: str = "all",
     settings: Settings = Settings(), export_dir: str | None = None,
 ) -> None:
-    """Build one layer, or all of them followed by the checks."""
-    house = Warehouse(spark, warehouse)
-    if layer in ("staging", "all"):
+    """Build one layer, run the checks, or do everything. In a full run the checks of a layer come
+    before what builds on it: errors stop the run there, warnings do not."""
+    house, full = Warehouse(spark, warehouse), layer == "all"
+    if full or layer == "staging":
         build_staging(RawFiles(spark, raw_dir), house, settings)
-    if layer == "staging":
-        return
+        if not full:
+            return
     tables = read_staging(house)
-    if layer in ("marts", "all"):
+    if full:
+        check(house, tables, "staging")
+    if full or layer == "marts":
         build_marts(house, tables)
         if export_dir:
-            for name in MARTS:
-                export_csv(house.read("marts", mart_model(name)), f"{export_dir}/{mart_model(name)}")
-    if layer in ("kpis", "all"):
+            for name in map(mart_model, MARTS):
+                export_csv(house.read("marts", name), f"{export_dir}/{name}")
+    if full:
+        check(house, tables, "marts")
+    if full or layer == "kpis":
         build_kpis(house, tables, settings)
-    if layer in ("checks", "all"):
-        check(house, tables)
+    if layer.startswith("checks"):
+        check(house, tables, layer.removeprefix("checks").lstrip("-") or "all")
 
 
 def main() -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("--raw", required=True, help="folder with the raw_<table>.csv files")
     parser.add_argument("--warehouse", required=True, help="shared folder for the tables")
-    parser.add_argument("--select", choices=[*LAYERS, "all"], default="all")
+    parser.add_argument("--select", choices=LAYERS, default="all")
     parser.add_argument("--as-of", help="day the date rules use, yyyy-MM-dd; default today")
     parser.add_argument("--id-type", choices=["int", "bigint"], default="int")
     parser.add_argument("--export", help="folder for CSV copies of the marts")

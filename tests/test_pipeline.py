@@ -7,7 +7,7 @@ import pytest
 from fieldspark.operators.checks import ChecksFailed
 from fieldspark.plans import kpis, marts, starter
 from fieldspark.plans.entities import ENTITIES, Settings
-from fieldspark.plans.job import RawFiles, check, read_staging, run
+from fieldspark.plans.job import RawFiles, read_staging, run
 from fieldspark.plans.quality import MART_CHECKS, STAGING_CHECKS, quality_report
 from fieldspark.plans.staging import StagedTables, stage
 from fieldspark.sources.raw_csv import read_raw
@@ -22,9 +22,11 @@ D = dt.date
 def house(spark, tmp_path_factory):
     raw = write_raw(tmp_path_factory.mktemp("raw"))
     root = tmp_path_factory.mktemp("house")
-    # The fixture has one orphan project client, question campaign: checks report errors.
-    with pytest.raises(ChecksFailed):
-        run(spark, raw, str(root), "all", SETTINGS, export_dir=str(root / "export"))
+    for layer in ("staging", "marts", "kpis"):
+        run(spark, raw, str(root), layer, SETTINGS, export_dir=str(root / "export"))
+    # The fixture has an orphan project client and an orphan question campaign.
+    with pytest.raises(ChecksFailed, match="relationships stg_projects.client_id: 1"):
+        run(spark, raw, str(root), "checks", SETTINGS)
     return Warehouse(spark, str(root))
 
 
@@ -194,16 +196,23 @@ def test_check_results(house):
     assert [kinds.count(k) for k in ("not_null", "unique", "relationships")] == [21, 12, 14]
 
 
-def test_warnings_do_not_stop_a_clean_run(spark, tmp_path):
+def test_full_run_stops_at_errors_but_not_at_warnings(spark, tmp_path):
     (tmp_path / "raw").mkdir()
+    raw, root = write_raw(tmp_path / "raw"), str(tmp_path / "house")
+    with pytest.raises(ChecksFailed):
+        run(spark, raw, root, "all", SETTINGS)
+    assert not (tmp_path / "house" / "marts").exists()
     clean = {
         "projects": CSV["projects"].replace("4,Cuatro,PRJ4,9", "4,Cuatro,PRJ4,2"),
         "questions": CSV["questions"].replace("3,9,CAM9", "3,1,CAM1"),
     }
-    run(spark, write_raw(tmp_path / "raw", clean), str(tmp_path / "house"), "staging", SETTINGS)
-    house = Warehouse(spark, str(tmp_path / "house"))
-    results = check(house, read_staging(house), "staging")
-    assert {r.outcome for r in results.collect()} == {"pass", "warn"}
+    run(spark, write_raw(tmp_path / "raw", clean), root, "all", SETTINGS)
+    house = Warehouse(spark, root)
+    staging, mart = (house.read("checks", f"results_{n}") for n in ("staging", "marts"))
+    assert {r.outcome for r in staging.collect()} == {"pass", "warn"}
+    assert {r.outcome for r in mart.collect()} == {"pass"}
+    assert house.read("kpis", "portfolio_totals").first().campaigns == 4
+    run(spark, raw, root, "checks-marts", SETTINGS)
 
 
 def test_export_is_plain_csv(house):
