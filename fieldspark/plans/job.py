@@ -14,6 +14,7 @@ from collections.abc import Callable, Collection, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from functools import cache, partial
 
+from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 
 from fieldspark.operators.checks import enforce, run_checks
@@ -154,7 +155,8 @@ def main() -> None:
     parser.add_argument("--id-type", choices=["int", "bigint"], default="int")
     parser.add_argument("--export", help="folder for CSV copies of the marts")
     args = parser.parse_args()
-    spark = SparkSession.builder.appName("fieldspark").getOrCreate()
+    conf = SparkConf().setIfMissing("spark.app.name", "fieldspark").setIfMissing("spark.ui.enabled", "false")
+    spark = SparkSession.builder.config(conf=conf).getOrCreate()
     settings = Settings(as_of=args.as_of, id_type=args.id_type)
     run(spark, args.raw, args.warehouse, args.select, settings, args.export)
 
