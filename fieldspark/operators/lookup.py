@@ -2,12 +2,14 @@
 
 A side is broadcast only when the optimizer's size estimate of the tables it comes
 from is under the session's ``spark.sql.autoBroadcastJoinThreshold``. Beyond that
-the join shuffles on the key. Given a table with the key column, hot keys are spread
-over many partitions: a mergeable sketch finds the most frequent keys (a list of fixed
-length, so broadcasting it is safe), their rows on the left get a salt from a hash, and
-the few matching rows on the right are repeated once per salt. Null keys, which never
-match, are salted as well. The sketch only decides what is salted; the join result is
-exact either way. Without such a table adaptive execution splits skewed partitions.
+the join shuffles on the key. Given a table with the key column, hot keys are split: keys
+are counted (repeats combine before that shuffle), and a key with more than ``HOT_ROWS``
+rows is divided into salts of about that many rows each. Its rows on the left take a salt
+from a hash, its matches on the right are repeated once per salt. A table of n rows has at
+most n / ``HOT_ROWS`` hot keys and twice as many salts, which bounds the broadcast and the
+repetition. Counts are exact, so both sides agree on the salts even if a lost executor makes
+Spark compute them again. Null keys, which never match, are spread as well. Without such a
+table adaptive execution splits skewed partitions.
 """
 
 from __future__ import annotations
@@ -19,10 +21,10 @@ from pyspark.sql import functions as F
 
 from fieldspark.sources.estimates import UNKNOWN, estimated_bytes
 
-HOT_KEYS = 64
-SALTS = 64
+HOT_ROWS = 1_000_000
+NULL_SALTS = 1 << 20
 
-_HOT, _SALT, _REF_SALT = "_hot_key", "_salt", "_ref_salt"
+_HOT, _SALTS, _SALT, _REF_SALT = "_hot_key", "_hot_salts", "_salt", "_ref_salt"
 
 
 def fits_broadcast(frames: Sequence[DataFrame]) -> bool:
@@ -34,31 +36,29 @@ def fits_broadcast(frames: Sequence[DataFrame]) -> bool:
     return size <= conf.autoBroadcastJoinThreshold()
 
 
-def frequent_keys(keys: DataFrame, column: str, limit: int = HOT_KEYS) -> DataFrame:
-    """At most ``limit`` of the most frequent keys, from one mergeable sketch."""
-    top = keys.agg(F.expr(f"approx_top_k(`{column}`, {limit})").alias("top"))
-    return top.select(F.explode("top").alias("t")).select(F.col("t.item").alias(_HOT))
+def hot_keys(keys: DataFrame, column: str) -> DataFrame:
+    """Keys with more than ``HOT_ROWS`` rows, and into how many salts each is divided."""
+    counts = keys.groupBy(F.col(column).alias(_HOT)).agg(F.count(F.lit(1)).alias("n"))
+    hot = counts.where(F.col(_HOT).isNotNull() & (F.col("n") > HOT_ROWS))
+    return hot.select(_HOT, F.ceil(F.col("n") / HOT_ROWS).cast("int").alias(_SALTS))
 
 
 def _spread(
     left: DataFrame, right: DataFrame, fk: str, key: str, how: str, spread_by: Sequence[str],
     hot_from: DataFrame,
 ) -> DataFrame:
-    hot = F.broadcast(frequent_keys(hot_from.select(fk), fk))
-    salt = F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)).cast("int")
+    hot = F.broadcast(hot_keys(hot_from, fk))
+    salts = F.when(F.col(fk).isNull(), NULL_SALTS).otherwise(F.coalesce(F.col(_SALTS), F.lit(1)))
     salted = (
         left.join(hot, F.col(fk) == F.col(_HOT), "left")
-        .withColumn(_SALT, F.when(F.col(fk).isNull() | F.col(_HOT).isNotNull(), salt).otherwise(0))
-        .drop(_HOT)
+        .withColumn(_SALT, F.pmod(F.xxhash64(*spread_by), salts).cast("int"))
+        .drop(_HOT, _SALTS)
     )
-    every_salt = F.sequence(F.lit(0), F.lit(SALTS - 1))
+    every_salt = F.sequence(F.lit(0), F.coalesce(F.col(_SALTS), F.lit(1)) - 1)
     repeated = (
         right.join(hot, F.col(key) == F.col(_HOT), "left")
-        .withColumn(
-            _REF_SALT,
-            F.explode(F.when(F.col(_HOT).isNotNull(), every_salt).otherwise(F.array(F.lit(0)))),
-        )
-        .drop(_HOT)
+        .withColumn(_REF_SALT, F.explode(every_salt))
+        .drop(_HOT, _SALTS)
     )
     on: Column = (F.col(fk) == F.col(key)) & (F.col(_SALT) == F.col(_REF_SALT))
     return salted.join(repeated, on, how).drop(_SALT, _REF_SALT)
@@ -80,8 +80,8 @@ def lookup(
 
     The two sides must not share column names. ``sized_by`` gives the tables ``right`` is
     made of, when it is itself a join and its own estimate would multiply. ``hot_from`` is a
-    stored table (not a long plan) with the values of ``fk``; its hot keys are spread by
-    a hash of the ``spread_by`` columns, which tell the rows of one key apart.
+    table with the values of ``fk`` (stored, or one whose shuffle the plan can reuse); its hot
+    keys are split by a hash of the ``spread_by`` columns, which tell the rows of a key apart.
     """
     bases = [right] if sized_by is None else list(sized_by)
     if fits_broadcast(bases):

@@ -10,7 +10,8 @@ from fieldspark.operators import profile
 from fieldspark.operators.assignment import primary_assignment
 from fieldspark.operators.dedup import keep_latest
 from fieldspark.operators.keys import highest_per_key, key_set, with_fk_flag
-from fieldspark.operators.lookup import fits_broadcast, frequent_keys, lookup
+from fieldspark.operators import lookup as lookups
+from fieldspark.operators.lookup import fits_broadcast, hot_keys, lookup
 
 
 def rows(df):
@@ -61,7 +62,8 @@ def parents(spark):
 
 @pytest.mark.parametrize("how", ["left", "inner"])
 @pytest.mark.parametrize("path", ["broadcast", "shuffle", "spread"])
-def test_lookup_paths_agree(spark, request, how, path):
+def test_lookup_paths_agree(spark, request, monkeypatch, how, path):
+    monkeypatch.setattr(lookups, "HOT_ROWS", 100)
     left, right = skewed(spark), parents(spark)
     want = rows(left.join(right, F.col("fk") == F.col("key"), how).drop("key"))
     if path == "broadcast":
@@ -74,12 +76,13 @@ def test_lookup_paths_agree(spark, request, how, path):
         assert rows(lookup(left, right, "fk", "key", how=how, hot_from=hot, spread_by=["rid"])) == want
 
 
-def test_frequent_keys_finds_the_hot_key_and_stays_bounded(spark):
-    hot = [r[0] for r in frequent_keys(skewed(spark), "fk").collect()]
-    assert 7 in hot and len(hot) <= 64
+def test_hot_keys_are_those_over_the_limit(spark, monkeypatch):
+    monkeypatch.setattr(lookups, "HOT_ROWS", 300)
+    assert rows(hot_keys(skewed(spark), "fk")) == [(7, 7)]  # 2000 rows and a few random ones
 
 
-def test_hot_and_missing_keys_are_spread_over_tasks(spark, no_broadcast):
+def test_hot_and_missing_keys_are_spread_over_tasks(spark, no_broadcast, monkeypatch):
+    monkeypatch.setattr(lookups, "HOT_ROWS", 100)
     left = skewed(spark, 9000)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:

@@ -4,6 +4,7 @@ import glob
 
 import pytest
 
+from fieldspark.operators import lookup as lookups
 from fieldspark.operators.checks import ChecksFailed
 from fieldspark.plans import kpis, marts, starter
 from fieldspark.plans.entities import ENTITIES, Settings
@@ -136,7 +137,8 @@ def test_invariants(house):
     assert house.read("marts", "mart_visit_responses").count() == house.read("staging", "stg_responses").count()
 
 
-def test_marts_are_the_same_without_broadcasts(spark, house, no_broadcast):
+def test_marts_are_the_same_without_broadcasts(spark, house, no_broadcast, monkeypatch):
+    monkeypatch.setattr(lookups, "HOT_ROWS", 1)
     tables = read_staging(house)
     for name, mart in (("campaign_performance", marts.campaign_performance), ("visit_responses", marts.visit_responses)):
         want = house.read("marts", f"mart_{name}")
@@ -145,7 +147,8 @@ def test_marts_are_the_same_without_broadcasts(spark, house, no_broadcast):
         assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
 
 
-def test_raw_file_is_read_once_even_when_hot_keys_are_spread(spark, house, tmp_path, no_broadcast):
+def test_raw_file_is_read_once_even_when_hot_keys_are_split(spark, house, tmp_path, no_broadcast, monkeypatch):
+    monkeypatch.setattr(lookups, "HOT_ROWS", 1)
     raw = read_raw(spark, write_raw(tmp_path), "visits")
     df = stage("visits", raw, read_staging(house), SETTINGS)
     df.collect()

@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry_point
+from fieldspark.operators import lookup as lookups
 from fieldspark.plans.job import RawFiles, build_marts, build_staging
 from fieldspark.sources.tables import Warehouse
 from workload.compare import connect, differences
@@ -34,7 +35,8 @@ def test_query_equals_its_sql(spark, con, name):
 
 
 @pytest.mark.parametrize("name", ["stg_visits", "stg_responses", "mart_visit_responses", "mart_campaign_performance"])
-def test_query_without_broadcasts(spark, con, no_broadcast, name):
+def test_query_without_broadcasts(spark, con, no_broadcast, monkeypatch, name):
+    monkeypatch.setattr(lookups, "HOT_ROWS", 2)
     df = entry_point.queries()[name](spark, SF)
     assert differences(df, con, entry_point.oracle_sql()[name]) == []
 
