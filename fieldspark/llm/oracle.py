@@ -8,11 +8,11 @@ WITH words AS (
     SELECT doc_id, i, md5(array_to_string(w[i:i + 34], ' ')) AS k
     FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM words)
 ), hits AS (
-    SELECT doc_id, list(i) AS at FROM starts
+    SELECT doc_id, list(i) AS places FROM starts
     WHERE k IN (SELECT k FROM starts GROUP BY k HAVING count(*) > 1) GROUP BY doc_id
 ), covered AS (
     SELECT doc_id, list(DISTINCT p) AS p
-    FROM (SELECT doc_id, unnest(range(i, i + 35)) AS p FROM (SELECT doc_id, unnest(at) AS i FROM hits)) GROUP BY doc_id
+    FROM (SELECT doc_id, unnest(range(i, i + 35)) AS p FROM (SELECT doc_id, unnest(places) AS i FROM hits)) GROUP BY doc_id
 ), kept AS (
     SELECT doc_id, list(w[i] ORDER BY i) AS k
     FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM words)

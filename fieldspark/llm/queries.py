@@ -5,10 +5,29 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fieldspark.llm import simhash, substrings
+from fieldspark.llm import language, lines, mixing, simhash, substrings, tiling
 from fieldspark.llm.common import table
 
+#: The fold of documents that language identification doesn't learn from.
+_HELD_OUT = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) == 1
+
+#: Wanted tokens of each domain, as shares of the corpus's tokens.
+TARGETS = {"good": 0.95, "poor": 0.05, "toxic": 0.0}
+
+
+def labelled_domains(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """(text, domain) of the labelled documents: toxic ones, and others by their quality."""
+    domain = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "good").when(F.col("quality") == 0, "poor")
+    return documents.select("doc_id", "text").join(labels.select("doc_id", domain.alias("domain")), "doc_id").select("text", "domain")
+
+
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    labelled = labelled_domains(documents, table(spark, sf_dir, "labels"))
+    return mixing.mix(documents.select("doc_id", "text"), labelled, TARGETS).drop("text")
+
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, sf_dir, "documents"), window=35, digest=True)
@@ -18,7 +37,33 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, max_bits=3)
 
 
+def labelled_languages(documents: DataFrame) -> DataFrame:
+    """(id, lang, text) of the rows that may be learnt from."""
+    return documents.where(~F.coalesce(_HELD_OUT, F.lit(False))).select(F.col("doc_id").alias("id"), "lang", "text")
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    found = language.identify(documents.select("doc_id", "text"), labelled_languages(documents))
+    return found.select("doc_id", F.coalesce(_HELD_OUT, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = lines.remove_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256")
+    return kept.select("doc_id", "n_lines", "n_removed", digest)
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return tiling.contamination(documents.select("doc_id", "text"), benchmark).drop("text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_source_mixing": op2_source_mixing,
     "op3_substring_dedup": op3_substring_dedup,
+    "op7_language_id": op7_language_id,
     "op8_simhash": op8_simhash,
+    "op9_line_dedup": op9_line_dedup,
+    "op10_decontamination": op10_decontamination,
 }

@@ -48,16 +48,17 @@ def fingerprint(text: bytes, words: int = 3) -> int:
     return int.from_bytes(np.packbits(counts * 2 > len(starts)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """The id and the fingerprint of each row, as a signed long; a null text has no words."""
+def fingerprints(docs: DataFrame, words: int) -> DataFrame:
+    """For each row (id, text) the id, ``body`` (the ``xxhash64`` of the text) and ``print``, the
+    fingerprint as a signed long; a null text has no words."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = np.array([fingerprint(t, words) for t in text_bytes(batch.column(1))], dtype=U64)
-            yield pa.record_batch({"id": batch.column(0), "print": pa.array(prints.view(np.int64))})
+            yield pa.record_batch({"id": batch.column(0), "body": batch.column(2), "print": pa.array(prints.view(np.int64))})
 
-    kind = dict(docs.dtypes)[id_col]
-    return docs.select(id_col, text_col).mapInArrow(rows, f"id {kind}, print bigint")
+    kind = dict(docs.dtypes)["id"]
+    return docs.select("id", "text", F.xxhash64("text").alias("body")).mapInArrow(rows, f"id {kind}, body bigint, print bigint")
 
 
 def _distances(points: np.ndarray, to: np.ndarray) -> np.ndarray:
@@ -210,6 +211,17 @@ def similar_edges(prints: DataFrame, reach: int, *, shard_size: int = 20_000, sa
     return dealt.repartition(shards, "shard").groupBy("shard").applyInArrow(joined, "a bigint, b bigint")
 
 
+def _grouped(docs: DataFrame, id_col: str, text_col: str, words: int, max_bits: int, shard_size: int):
+    """Rows (id, body, print), and (print, root) of every distinct fingerprint."""
+    named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    prints = checkpointed(fingerprints(named, words))
+    distinct = checkpointed(prints.select("print").distinct())
+    roots = components(checkpointed(similar_edges(distinct, max_bits, shard_size=shard_size)))
+    return prints, distinct.join(roots, distinct["print"] == roots["node"], "left").select(
+        "print", F.coalesce("root", "print").alias("root")
+    )
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -227,12 +239,9 @@ def near_duplicates(
     their text; it is null only if no id in it is known. Repeated rows give repeated results, an
     empty table an empty one. Other columns are not read.
     """
-    prints = checkpointed(fingerprints(docs, id_col, text_col, words))
-    distinct = checkpointed(prints.groupBy("print").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n")))
-    roots = components(checkpointed(similar_edges(distinct, max_bits, shard_size=shard_size)))
-    grouped = distinct.join(roots, distinct["print"] == roots["node"], "left").select(
-        "print", "id", F.coalesce("root", "print").alias("root")
-    )
+    prints, groups = _grouped(docs, id_col, text_col, words, max_bits, shard_size)
+    least = prints.groupBy("print").agg(F.min("id").alias("id"))
+    grouped = checkpointed(least.join(groups, "print"))
     first = grouped.groupBy("root").agg(F.min("id").alias("component_id"))
     named = checkpointed(grouped.select("print", "root").join(first, "root").select("print", "component_id"))
     return prints.join(named, "print").select(
@@ -240,3 +249,28 @@ def near_duplicates(
         F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"),
         "component_id",
     )
+
+
+def one_of_each(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    *,
+    words: int = 3,
+    max_bits: int = 3,
+    shard_size: int = 20_000,
+) -> DataFrame:
+    """One row, whole, of each component of ``near_duplicates``: that with the smallest id; nulls
+    come last, equal ids go by the ``xxhash64`` of the text, equal rows are one."""
+    prints, groups = _grouped(docs, id_col, text_col, words, max_bits, shard_size)
+    row = F.struct(F.col("id").isNull().alias("unnamed"), "id", "body").alias("row")
+    least = checkpointed(prints.groupBy("print").agg(F.min(row).alias("row")).join(groups, "print"))
+    first = least.groupBy("root").agg(F.min("row").alias("row"))
+
+    def keyed(name, body) -> list:
+        return [F.coalesce(name.cast("string"), F.lit("")).alias("_name"), name.isNull().alias("_unnamed"), body.alias("_body")]
+
+    kept = first.select(*keyed(F.col("row.id"), F.col("row.body")))
+    keys = ["_name", "_unnamed", "_body"]
+    rows = docs.select("*", *keyed(F.col(id_col), F.xxhash64(text_col)))
+    return rows.join(kept, keys, "left_semi").dropDuplicates(keys).select(*docs.columns)
