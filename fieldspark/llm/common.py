@@ -144,18 +144,19 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternates two rounds until nothing changes: every node links its larger neighbours to its
     smallest one, then its smaller neighbours to its smallest one. Both replace an edge by one
-    edge, so a hub adds no rows, and the number of rounds grows as a logarithm. Only the number
-    of edges and a checksum reach the driver.
+    edge, so a hub adds no rows, and the number of rounds grows as a logarithm. Sides of a join
+    are written first, so that Spark can split a hub's partition. Only the number of edges and a
+    checksum reach the driver.
     """
     edges = edges.where(F.col("a") != F.col("b")).select("a", "b")
     state = None
     while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("least"))
+        least = checkpointed(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("least")))
         larger = both.where(F.col("b") > F.col("a")).join(least, "a")
-        linked = larger.select(F.col("b").alias("a"), F.col("least").alias("b")).distinct()
+        linked = checkpointed(larger.select(F.col("b").alias("a"), F.col("least").alias("b")).distinct())
         # Here a > b in every row; a node and its smaller neighbours go to the smallest of them.
-        least = linked.groupBy("a").agg(F.min("b").alias("least"))
+        least = checkpointed(linked.groupBy("a").agg(F.min("b").alias("least")))
         smaller = linked.join(least, "a").where(F.col("b") != F.col("least"))
         edges = (
             least.select("a", F.col("least").alias("b"))

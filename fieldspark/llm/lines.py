@@ -159,10 +159,10 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if named is None:
         return base.select("id", "body", F.array().cast("array<int>").alias("removed")).limit(0)
     named = checkpointed(named)
-    firsts = (
+    firsts = checkpointed(  # so that both sides of the join are plain, and Spark can split a hot block
         named.groupBy("size", "a", "b").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     )
-    copies = named.join(firsts, ["size", "a", "b"]).where("place > first")
+    copies = checkpointed(named.join(firsts, ["size", "a", "b"]).where("place > first").select("place", "start", "size"))
     gone = copies.select("start", F.explode(F.sequence(F.col("place") - F.col("start"), F.col("place") - F.col("start") + F.col("size") - 1)).alias("i"))
     per_doc = gone.groupBy("start").agg(F.array_sort(F.collect_set(F.col("i").cast("int"))).alias("removed"))
     return base.select("id", "body", "start").join(per_doc, "start").select("id", "body", "removed")

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldspark.llm import language, lines, mixing, simhash, substrings, tiling
-from fieldspark.llm.common import table
+from fieldspark.llm import chunking, language, lines, mixing, simhash, substrings, tiling, urls, warc, wrappers
+from fieldspark.llm.common import shared_folder, table
 
 #: The fold of documents that language identification doesn't learn from.
 _HELD_OUT = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) == 1
@@ -23,6 +24,18 @@ def labelled_domains(documents: DataFrame, labels: DataFrame) -> DataFrame:
     return documents.select("doc_id", "text").join(labels.select("doc_id", domain.alias("domain")), "doc_id").select("text", "domain")
 
 
+#: Rules of the url filter: verdict, host and path prefix.
+RULES = [
+    ("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"),
+]
+
+
+def op1_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
+    headers = warc.archived(table(spark, sf_dir, "pages"), folder, min_bytes=0)
+    return headers.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     labelled = labelled_domains(documents, table(spark, sf_dir, "labels"))
@@ -42,6 +55,18 @@ def labelled_languages(documents: DataFrame) -> DataFrame:
     return documents.where(~F.coalesce(_HELD_OUT, F.lit(False))).select(F.col("doc_id").alias("id"), "lang", "text")
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extract(table(spark, sf_dir, "pages"))
+
+
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunking.neighbour_likeness(table(spark, sf_dir, "documents"))
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"), RULES)
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     found = language.identify(documents.select("doc_id", "text"), labelled_languages(documents))
@@ -60,8 +85,12 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc_revisits": op1_warc_revisits,
     "op2_source_mixing": op2_source_mixing,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_html_extraction": op4_html_extraction,
+    "op5_fingerprints": op5_fingerprints,
+    "op6_url_filter": op6_url_filter,
     "op7_language_id": op7_language_id,
     "op8_simhash": op8_simhash,
     "op9_line_dedup": op9_line_dedup,
