@@ -212,13 +212,18 @@ def resolve(headers: DataFrame, min_bytes: int = 0) -> DataFrame:
     return joined.where(other).select("archive", "place", "original")
 
 
-def write_resolved(spark: SparkSession, source: str, revisits: DataFrame, folder: str, *, archive_bytes: int = 16 << 20) -> None:
+def write_resolved(
+    spark: SparkSession, source: str, revisits: DataFrame, folder: str, *, archive_bytes: int = 16 << 20, broadcast_bytes: int = 8 << 20
+) -> None:
     """Write the archives of ``source`` anew, with revisit records in place of the responses named
-    in ``revisits``."""
-    decided = revisits.groupBy("archive").agg(
+    in ``revisits``. The decisions are sent to all tasks if they measure up to ``broadcast_bytes``;
+    otherwise they and the archives are joined by path."""
+    decided = checkpointed(revisits.groupBy("archive").agg(
         F.collect_list(F.struct("place", "original.page_id", "original.record_id", "original.target_uri", "original.date")).alias("revisits")
-    )  # no more than an archive has records
-
+    ))  # no more than an archive has records
+    each = F.aggregate("revisits", F.lit(0), lambda n, r: n + 100 + F.coalesce(F.length(r["target_uri"]), F.lit(0)))
+    size = decided.agg(F.sum(each + F.length("archive"))).first()[0] or 0
+    decided = F.broadcast(decided) if size <= broadcast_bytes else decided
     joined = _files(spark, source).join(decided, F.col("path") == F.col("archive"), "left").select("content", "revisits")
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
