@@ -139,7 +139,7 @@ def _position(bounds: list[float]):
     return F.pandas_udf(reached, "long")
 
 
-def neighbour_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, block_bytes: int = 32 << 20) -> DataFrame:
+def neighbour_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, block_bytes: int = 8 << 20) -> DataFrame:
     """Fingerprints of every text and of its edited form, and how like they are.
 
     The next document is the one with the next smaller id, after the last the first; the edited text
