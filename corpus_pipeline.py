@@ -22,8 +22,9 @@ LEAST_SCORE = 0.5
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known: not those without a letter, or of no clear language."""
-    found = language.identify(docs.select(F.struct(*docs.columns).alias("row"), F.col("text").alias("body")), labelled_languages(docs), text_col="body")
-    clear = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE)
+    predict = language.predictor(labelled_languages(docs))
+    found = docs.select(F.struct(*docs.columns).alias("row"), predict(F.col("text")).alias("judged"))
+    clear = (F.col("judged.lang_pred") != language.UNKNOWN) & (F.col("judged.score") >= LEAST_SCORE)
     return found.where(clear).select("row.*")
 
 

@@ -11,12 +11,11 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 UNKNOWN = "und"
@@ -37,43 +36,59 @@ def words_of(text: str | None) -> list[str]:
     return found if any(c.isalpha() for w in found for c in w) else []
 
 
-@dataclass
 class Model:
     """Log frequencies of words and of n-grams, a row for each and a column for each language."""
 
-    languages: list[str]
-    words: dict[str, int]
-    grams: list[dict[str, int]]
-    weights: np.ndarray
-    _seen: dict[str, np.ndarray] = field(default_factory=dict)
+    def __init__(self, languages: list[str], words: dict[str, int], grams: list[dict[str, int]], weights: np.ndarray):
+        self.languages, self.words, self.grams, self.weights = languages, words, grams, weights
+        self._rows: list[list[float]] | None = None
+        self._seen: dict[str, int] = {}
 
-    def weight(self, word: str) -> np.ndarray:
+    def __getstate__(self) -> tuple:
+        return self.languages, self.words, self.grams, self.weights
+
+    def __setstate__(self, state: tuple) -> None:
+        self.__init__(*state)
+
+    def weight(self, word: str) -> list[float]:
         """The evidence of one word for each language."""
+        if self._rows is None:
+            self._rows = self.weights.tolist()
+        rows = self._rows
         at = self.words.get(word)
         if at is not None:
-            return self.weights[at]
+            return rows[at]
         for n in range(min(LONGEST, len(word) + 2), 0, -1):
-            known = [at for g in _grams(word, n) if (at := self.grams[n].get(g)) is not None]
+            of_size = self.grams[n]
+            known = [rows[of_size[g]] for g in _grams(word, n) if g in of_size]
             if known:
-                return self.weights[known].mean(axis=0)
-        return np.zeros(len(self.languages))
-
-    def scores(self, text: str | None) -> tuple[str, float]:
-        """The most likely language and its probability; ties go to the first by name."""
-        words = words_of(text)
-        if not words or not self.languages:
-            return UNKNOWN, 0.0
-        total = np.zeros(len(self.languages))
-        seen = self._seen
-        for word, count in Counter(words).items():
-            weight = seen.get(word)
-            if weight is None:
-                if len(seen) >= _REMEMBERED:
-                    seen.clear()
-                weight = seen[word] = self.weight(word)
-            total += count * weight
-        best = int(np.argmax(total))
-        return self.languages[best], float(1 / np.exp(total - total[best]).sum())
+                return [sum(column) / len(known) for column in zip(*known)]
+        return [0.0] * len(self.languages)
+
+    def judged(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
+        """The most likely language of each text and its probability; ties go to the first by name.
+        Weights of words are remembered from text to text, and forgotten when they are too many."""
+        languages, scores = [], []
+        for text in texts:
+            words = words_of(text)
+            if not words or not self.languages:
+                languages.append(UNKNOWN)
+                scores.append(0.0)
+                continue
+            counts = Counter(words)
+            if not self._seen or len(self._seen) + len(counts) > _REMEMBERED:
+                self._seen = {}
+                self._kept = np.empty((max(_REMEMBERED, len(counts)), len(self.languages)))
+            seen = self._seen
+            for word in counts.keys() - seen.keys():
+                self._kept[len(seen)] = self.weight(word)
+                seen[word] = len(seen)
+            at = np.fromiter((seen[w] for w in counts), dtype=np.int64, count=len(counts))
+            total = np.fromiter(counts.values(), dtype=float, count=len(counts)) @ self._kept[at]
+            best = int(np.argmax(total))
+            languages.append(self.languages[best])
+            scores.append(float(1 / np.exp(total - total[best]).sum()))
+        return languages, scores
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,34 +150,34 @@ def fit(labelled: DataFrame, *, per_language: int = 500, least_count: int = 2) -
     return Model(languages, parts[0], parts, weights)
 
 
+def predictor(labelled: DataFrame, *, per_language: int = 500) -> Callable[[Column], Column]:
+    """A column function from a text to (``lang_pred``, ``score``), learnt from (id, lang, text)."""
+    model = fit(labelled.where("lang IS NOT NULL AND text IS NOT NULL"), per_language=per_language)
+    shared = labelled.sparkSession.sparkContext.broadcast(model)
+
+    def predicted(texts: pa.Array) -> pa.Array:
+        languages, scores = shared.value.judged(texts.to_pylist())
+        return pa.StructArray.from_arrays([pa.array(languages, pa.string()), pa.array(scores, pa.float64())], names=["lang_pred", "score"])
+
+    return F.arrow_udf(predicted, "lang_pred string, score double")
+
+
 def identify(
     docs: DataFrame,
     labelled: DataFrame,
-    id_col: str = "doc_id",
     text_col: str = "text",
     *,
     per_language: int = 500,
 ) -> DataFrame:
-    """All columns of ``docs`` with ``lang_pred`` and ``score`` (its probability, 0 to 1).
+    """All columns of ``docs`` with ``lang_pred`` and ``score`` (its probability, 0 to 1); columns of
+    those names are replaced.
 
     ``labelled`` has (id, lang, text); rows without a language or text are not learnt from. A text
     that is null, empty or without a letter gets ``und`` and 0, and so does every text if nothing
     was learnt. Texts without a known part are ties: the first language by name, equal scores.
     Repeated rows get equal results; predictions read the text alone.
     """
-    model = fit(labelled.where("lang IS NOT NULL AND text IS NOT NULL"), per_language=per_language)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    predict = predictor(labelled, per_language=per_language)
     names = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    at = names.index(text_col)
-
-    def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        for batch in batches:
-            found = [model.scores(t) for t in batch.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
-                names=[*names, "lang_pred", "score"],
-            )
-
-    schema = docs.select(*names).schema.add("lang_pred", "string").add("score", "double")
-    return docs.select(*names).mapInArrow(predicted, schema)
+    found = docs.select(*names, predict(F.col(text_col)).alias("_predicted"))
+    return found.select(*names, "_predicted.lang_pred", "_predicted.score")

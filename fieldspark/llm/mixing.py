@@ -20,7 +20,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from fieldspark.llm.common import U64, checkpointed, passes, range_hashes, text_bytes, word_spans
 from fieldspark.llm.tiling import token_bytes
@@ -142,14 +141,15 @@ def fit_classifier(
     )
     labels = np.array([domains.index(d) for d in sample["domain"].to_pylist()], dtype=np.int64)
     n = len(labels)
-    sets = [np.array(f, dtype=np.int64).view(U64) for f in sample["features"].to_pylist()]
-    every, counts = np.unique(np.concatenate(sets) if sets else np.zeros(0, U64), return_counts=True)
+    features_of = sample["features"].combine_chunks()
+    hashes = pc.list_flatten(features_of).to_numpy(zero_copy_only=False).astype(np.int64).view(U64)
+    every, counts = np.unique(hashes, return_counts=True)
     known = every[counts >= least_texts]
     shape = (len(known), len(domains))
     model = Classifier(domains, known, np.zeros(shape), np.zeros(len(domains)))
     if not n:
         return model
-    owner, at = model.pairs(np.repeat(np.arange(n), [len(s) for s in sets]), np.concatenate(sets))
+    owner, at = model.pairs(np.repeat(np.arange(n), pc.list_value_length(features_of).to_numpy(zero_copy_only=False)), hashes)
     truth = np.eye(len(domains))[labels]
     moved = [np.zeros(shape), np.zeros(len(domains))]
     scale = [np.zeros(shape), np.zeros(len(domains))]
@@ -170,24 +170,19 @@ def posteriors(docs: DataFrame, classifier: Classifier, text_col: str = "text")
     """All columns of ``docs`` with ``n_tokens`` (words between white space) and ``posterior``, an array with the
     probability of each domain. A null text has no words and gets the probabilities of an empty one."""
     shared = docs.sparkSession.sparkContext.broadcast(classifier)
-    names = [c for c in docs.columns if c not in ("n_tokens", "posterior")]
-    at, width = names.index(text_col), len(classifier.domains)
+    width = len(classifier.domains)
 
-    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        for batch in batches:
-            texts = text_bytes(batch.column(at))
-            parts = [model.probabilities(texts[a:b]) for a, b in passes([len(t) + 1 for t in texts])]
-            if parts:
-                share = pa.array(np.concatenate([p[0] for p in parts]).ravel())
-                limits = pa.array(np.arange(len(texts) + 1, dtype=np.int32) * width)
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, pa.array(np.concatenate([p[1] for p in parts]), pa.int64()), pa.ListArray.from_arrays(limits, share)],
-                    names=[*names, "n_tokens", "posterior"],
-                )
+    def judged(column: pa.Array) -> pa.Array:
+        texts = text_bytes(column)
+        parts = [shared.value.probabilities(texts[a:b]) for a, b in passes([len(t) + 1 for t in texts])]
+        share = np.concatenate([p[0].ravel() for p in parts]) if parts else np.zeros(0)
+        counts = np.concatenate([p[1] for p in parts]) if parts else np.zeros(0)
+        limits = pa.array(np.arange(len(texts) + 1, dtype=np.int32) * width)
+        return pa.StructArray.from_arrays([pa.array(counts, pa.int64()), pa.ListArray.from_arrays(limits, pa.array(share))], names=["n", "p"])
 
-    schema = docs.select(*names).schema.add("n_tokens", "long").add("posterior", T.ArrayType(T.DoubleType()))
-    return docs.select(*names).mapInArrow(judged, schema)
+    names = [c for c in docs.columns if c not in ("n_tokens", "posterior")]
+    found = docs.select(*names, F.arrow_udf(judged, "n bigint, p array<double>")(F.col(text_col)).alias("_judged"))
+    return found.select(*names, F.col("_judged.n").alias("n_tokens"), F.col("_judged.p").alias("posterior"))
 
 
 @dataclass
@@ -283,14 +278,11 @@ def mix(
     classifier = fit_classifier(labelled, domains)
     judged = posteriors(docs, classifier, text_col)
     rates = fit_rates(judged.select("n_tokens", "posterior"), [targets[d] for d in domains], **fitting)
-    at = judged.columns.index("posterior")
 
-    def rated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rate = rates.of(_shares(batch.column(at), len(domains)))[0]
-            yield batch.append_column("rate", pa.array(rate))
+    def rated(column: pa.Array) -> pa.Array:
+        return pa.array(rates.of(_shares(column, len(domains)))[0])
 
-    found = judged.mapInArrow(rated, T.StructType([*judged.schema, T.StructField("rate", T.DoubleType())]))
+    found = judged.withColumn("rate", F.arrow_udf(rated, "double")(F.col("posterior")))
     even = F.pmod(F.xxhash64(id_col, text_col), F.lit(1 << 30)) / (1 << 30)
     own = [c for c in docs.columns if c not in {"n_tokens", "rate", "copies", *(f"p_{d}" for d in domains)}]
     return found.select(

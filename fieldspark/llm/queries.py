@@ -5,14 +5,18 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldspark.llm import chunking, language, lines, mixing, simhash, substrings, tiling, urls, warc, wrappers
 from fieldspark.llm.common import shared_folder, table
 
-#: The fold of documents that language identification doesn't learn from.
-_HELD_OUT = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) == 1
+
+
+def _held_out() -> Column:
+    """Whether a document is of the fold that language identification doesn't learn from."""
+    fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3))
+    return F.coalesce(fold == 1, F.lit(False))
 
 #: Wanted tokens of each domain, as shares of the corpus's tokens.
 TARGETS = {"good": 0.95, "poor": 0.05, "toxic": 0.0}
@@ -52,7 +56,7 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def labelled_languages(documents: DataFrame) -> DataFrame:
     """(id, lang, text) of the rows that may be learnt from."""
-    return documents.where(~F.coalesce(_HELD_OUT, F.lit(False))).select(F.col("doc_id").alias("id"), "lang", "text")
+    return documents.where(~_held_out()).select(F.col("doc_id").alias("id"), "lang", "text")
 
 
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,7 +74,7 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     found = language.identify(documents.select("doc_id", "text"), labelled_languages(documents))
-    return found.select("doc_id", F.coalesce(_HELD_OUT, F.lit(False)).alias("held_out"), "lang_pred", "score")
+    return found.select("doc_id", _held_out().alias("held_out"), "lang_pred", "score")
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -168,26 +168,28 @@ def contamination(
     meets all documents, so a benchmark of any size is held against them whole.
     """
     names = [c for c in docs.columns if c not in ("max_coverage", "item_ids", "contaminated")]
-    found = docs.select(*names).withColumns({"max_coverage": F.lit(0.0), "item_ids": F.array().cast("array<bigint>")})
-    at, width = names.index(doc_text), len(names)
-    schema = found.schema
+    blocks = [F.struct(F.lit(0.0).alias("most"), F.array().cast("array<bigint>").alias("items"))]
     for block in item_blocks(benchmark.where(F.col(id_col).isNotNull()), id_col, text_col, block_bytes):
         index = Index(block["id"].to_pylist(), _lower(block["text"]), min_match)
-        shared = docs.sparkSession.sparkContext.broadcast(index)
-
-        def covered(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index = shared.value
-            for batch in batches:
-                texts = _lower(batch.column(at))
-                most, items = batch.column(width).to_pylist(), batch.column(width + 1).to_pylist()
-                for a, b in passes([len(t) + 1 for t in texts]):
-                    for i, shares in enumerate(index.coverage(texts[a:b]), a):
-                        most[i] = max([most[i], *shares.values()])
-                        items[i] = sorted({*items[i], *(index.ids[k] for k, s in shares.items() if s >= threshold)})
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns[:width], pa.array(most, pa.float64()), pa.array(items, pa.list_(pa.int64()))],
-                    names=batch.schema.names,
-                )
-
-        found = found.mapInArrow(covered, schema)
-    return found.withColumn("contaminated", F.size("item_ids") > 0)
+        blocks.append(_cover(docs.sparkSession.sparkContext.broadcast(index), threshold)(F.col(doc_text)))
+    found = docs.select(*names, F.array(*blocks).alias("_found"))
+    return found.select(
+        *names,
+        F.array_max(F.transform("_found", lambda b: b["most"])).alias("max_coverage"),
+        F.array_sort(F.array_distinct(F.flatten(F.transform("_found", lambda b: b["items"])))).alias("item_ids"),
+    ).withColumn("contaminated", F.size("item_ids") > 0)
+
+
+def _cover(shared, threshold: float):
+    """A column function from a text to the largest coverage of an item and the items covered."""
+
+    def covered(column: pa.Array) -> pa.Array:
+        index, texts = shared.value, _lower(column)
+        most, items = [], []
+        for a, b in passes([len(t) + 1 for t in texts]):
+            for shares in index.coverage(texts[a:b]):
+                most.append(max(shares.values(), default=0.0))
+                items.append(sorted({index.ids[k] for k, s in shares.items() if s >= threshold}))
+        return pa.StructArray.from_arrays([pa.array(most, pa.float64()), pa.array(items, pa.list_(pa.int64()))], names=["most", "items"])
+
+    return F.arrow_udf(covered, "most double, items array<bigint>")
