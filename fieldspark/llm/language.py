@@ -80,7 +80,7 @@ class Model:
                 self._seen = {}
                 self._kept = np.empty((max(_REMEMBERED, len(counts)), len(self.languages)))
             seen = self._seen
-            for word in counts.keys() - seen.keys():
+            for word in [w for w in counts if w not in seen]:
                 self._kept[len(seen)] = self.weight(word)
                 seen[word] = len(seen)
             at = np.fromiter((seen[w] for w in counts), dtype=np.int64, count=len(counts))
