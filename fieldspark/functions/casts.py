@@ -10,15 +10,15 @@ from fieldspark.functions.text import text as cleaned_text
 
 def ident(col: Column, id_type: str = "int", strict: bool = True) -> Column:
     """An id or whole number; text with a decimal point, as exports of columns with gaps have
-    it, is rounded half away from zero. Strict casts fail on a bad value (ANSI mode, Spark's
-    default); otherwise a bad value becomes null. Use ``bigint`` beyond 2^31 rows."""
-
-    def to(value: Column, kind: str) -> Column:
-        return value.cast(kind) if strict else value.try_cast(kind)
-
+    it, is rounded, halves to the even neighbour. Strict casts fail on a bad value in every session
+    mode; otherwise a bad value becomes null. Use ``bigint`` beyond 2^31 rows."""
     text = col.cast("string")
-    rounded = to(F.round(to(text, "decimal(38,10)")), id_type)
-    return F.when(F.contains(text, F.lit(".")), rounded).otherwise(to(text, id_type))
+    rounded = F.bround(text.try_cast("decimal(38,10)")).try_cast(id_type)
+    number = F.when(F.contains(text, F.lit(".")), rounded).otherwise(text.try_cast(id_type))
+    if not strict:
+        return number
+    bad = F.raise_error(F.concat(F.lit("not a whole number: "), text)).cast(id_type)
+    return F.when(text.isNotNull() & number.isNull(), bad).otherwise(number)
 
 
 def optional_ident(col: Column, id_type: str = "int", strict: bool = True) -> Column:

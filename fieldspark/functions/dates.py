@@ -1,9 +1,9 @@
 """Mixed-format dates, times of day and rules that depend on today's date.
 
-Raw dates come as ``yyyy-MM-dd`` (optionally with a clock time) or ``d/M/yyyy``; anything
-else is null. Only text of an accepted shape is cast, as Spark's own cast also takes bare
+Raw dates come as ``yyyy-MM-dd`` or ``yyyy/M/d`` (optionally with a clock time) or ``d/M/yyyy``;
+anything else is null. Only text of an accepted shape is cast, as Spark's own cast also takes bare
 years and ignores what follows a space. The common plain ISO date is tried first, as it is the
-cheapest; day-first text is turned round to ISO.
+cheapest; day-first text is turned round to ISO, and slashes after a year become dashes.
 """
 
 from __future__ import annotations
@@ -17,16 +17,18 @@ from pyspark.sql import functions as F
 ISO_DATE = r"^\d{4}-\d{1,2}-\d{1,2}$"
 ISO_DATE_TIME = r"^\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?)?$"
 DAY_FIRST, TO_ISO = r"^(\d{1,2})/(\d{1,2})/(\d{4})$", "$3-$2-$1"
+YEAR_FIRST, DASHED = r"^(\d{4})/(\d{1,2})/(\d{1,2})", "$1-$2-$3"
 CLOCK = r"^\d{1,2}:\d{1,2}(:\d{1,2}(\.\d+)?)?$"
 SCHEDULED, CLOSED, ACTIVE = "PROGRAMADA", "CERRADA", "ACTIVA"
 STATE_ACTIVE, STATE_CLOSED = "Activa", "Cerrada"
+CAMPAIGN_STATES = (STATE_ACTIVE, STATE_CLOSED, "En preparación", "Pausada")
 
 AsOf = dt.date | str | None
 
 
 def _mixed(col: Column, kind: str) -> Column:
     text = F.trim(col.cast("string"))
-    iso = F.regexp_replace(text, DAY_FIRST, TO_ISO)
+    iso = F.regexp_replace(F.regexp_replace(text, DAY_FIRST, TO_ISO), YEAR_FIRST, DASHED)
     other = F.regexp_extract(iso, ISO_DATE_TIME, 0).try_cast("timestamp_ntz").cast(kind)
     return F.when(text.rlike(ISO_DATE), text.try_cast(kind)).otherwise(other)
 

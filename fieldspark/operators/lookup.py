@@ -1,12 +1,13 @@
 """Equi-join lookups that hold when the looked-up side is large and keys are skewed.
 
-A side is broadcast only when the optimizer's size estimate of the tables it comes
-from is under the session's ``spark.sql.autoBroadcastJoinThreshold``. Beyond that
-the join shuffles on the key. Given a table with the key column, hot keys are split: keys
-are counted (repeats combine before that shuffle), and a key with more than ``HOT_ROWS``
-rows is divided into salts of about that many rows each. Its rows on the left take a salt
-from a hash, its matches on the right are repeated once per salt. A table of n rows has at
-most n / ``HOT_ROWS`` hot keys and twice as many salts, which bounds the broadcast and the
+A side is broadcast only when the optimizer's size estimate of it is under the session's
+``spark.sql.autoBroadcastJoinThreshold``. A side that is itself a join may hold more than the tables
+it is made of: if those are small it is left to adaptive execution, which broadcasts it once its
+size is known. Beyond that the join shuffles on the key. Given a table with the key column, hot
+keys are split: keys are counted (repeats combine before that shuffle), and a key with more rows
+than an even share of a shuffle partition is divided into salts of about that many rows each. Its
+rows on the left take a salt from a hash, its matches on the right are repeated once per salt. There are no more
+hot keys than shuffle partitions and twice as many salts, which bounds the broadcast and the
 repetition. Counts are exact, so both sides agree on the salts even if a lost executor makes
 Spark compute them again. Null keys, which never match, are spread as well. Without such a
 table adaptive execution splits skewed partitions.
@@ -21,7 +22,8 @@ from pyspark.sql import functions as F
 
 from fieldspark.sources.estimates import UNKNOWN, estimated_bytes
 
-HOT_ROWS = 1_000_000
+#: Rows beyond which a key is split; by default the rows divided by the shuffle partitions.
+HOT_ROWS: int | None = None
 NULL_SALTS = 1 << 20
 
 _HOT, _SALTS, _SALT, _REF_SALT = "_hot_key", "_hot_salts", "_salt", "_ref_salt"
@@ -37,10 +39,15 @@ def fits_broadcast(frames: Sequence[DataFrame]) -> bool:
 
 
 def hot_keys(keys: DataFrame, column: str) -> DataFrame:
-    """Keys with more than ``HOT_ROWS`` rows, and into how many salts each is divided."""
+    """Keys with more than their share of rows, and into how many salts each is divided."""
     counts = keys.groupBy(F.col(column).alias(_HOT)).agg(F.count(F.lit(1)).alias("n"))
-    hot = counts.where(F.col(_HOT).isNotNull() & (F.col("n") > HOT_ROWS))
-    return hot.select(_HOT, F.ceil(F.col("n") / HOT_ROWS).cast("int").alias(_SALTS))
+    if HOT_ROWS is None:
+        parts = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        limit = F.ceil(counts.select(F.sum("n")).scalar() / parts)
+    else:
+        limit = F.lit(HOT_ROWS)
+    hot = counts.where(F.col(_HOT).isNotNull() & (F.col("n") > limit))
+    return hot.select(_HOT, F.ceil(F.col("n") / limit).cast("int").alias(_SALTS))
 
 
 def _spread(
@@ -79,14 +86,14 @@ def lookup(
     """Join ``right`` to ``left`` on ``left.fk = right.key``.
 
     The two sides must not share column names. ``sized_by`` gives the tables ``right`` is
-    made of, when it is itself a join and its own estimate would multiply. ``hot_from`` is a
+    made of, when it is itself a join. ``hot_from`` is a
     table with the values of ``fk`` (stored, or one whose shuffle the plan can reuse); its hot
     keys are split by a hash of the ``spread_by`` columns, which tell the rows of a key apart.
     """
-    bases = [right] if sized_by is None else list(sized_by)
-    if fits_broadcast(bases):
+    small = fits_broadcast([right] if sized_by is None else sized_by)
+    if small and sized_by is None:
         joined = left.join(F.broadcast(right), F.col(fk) == F.col(key), how)
-    elif hot_from is None:
+    elif small or hot_from is None:
         joined = left.join(right, F.col(fk) == F.col(key), how)
     else:
         joined = _spread(left, right, fk, key, how, spread_by, hot_from)

@@ -1,21 +1,24 @@
 """Table profiling: nulls, cardinality, distribution, outliers, date ranges.
 
 Every profile is one pass over the columns it needs, or a count per value that combines
-before the shuffle. Quantiles are exact: histograms of fixed size, refined around the
-wanted ranks, so no task ever holds or sorts all values.
+before the shuffle. Quantiles are exact: sketches bracket the wanted ranks, counts at the
+brackets' ends say where in them the ranks lie, and so on until an end is the quantile. Two
+aggregations over all columns together leave about one row in 2,500 in a bracket, so the number
+of passes follows from the number of rows, not from the values.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldspark.functions.dates import date_shape, mixed_date
 
-HISTOGRAM_BUCKETS = 4096
+SKETCH_ACCURACY = 10_000
 QUARTILES = (0.25, 0.5, 0.75)
 
 
@@ -58,12 +61,11 @@ def cardinalities(df: DataFrame, columns: Sequence[str], exact: bool = True) ->
     return _long_form(wide, columns, ["distinct_count"])
 
 
-def top_values(df: DataFrame, column: str, limit: int | None = None) -> DataFrame:
-    """Rows per value; ``limit`` keeps the most frequent ones (ties by value)."""
-    counts = df.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("row_count"))
-    if limit is None:
-        return counts
-    return counts.orderBy(F.col("row_count").desc(), F.col("value").asc_nulls_last()).limit(limit)
+def top_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """All values of the columns with their rows and their rank in the column, the most frequent
+    first, ties by value (nulls last). Ranks are made of counts, not of rows."""
+    order = Window.partitionBy("column_name").orderBy(F.desc("row_count"), F.asc_nulls_last("value"))
+    return value_counts(df, columns).withColumn("value_rank", F.row_number().over(order))
 
 
 def _numbers(df: DataFrame, column: str) -> DataFrame:
@@ -71,39 +73,81 @@ def _numbers(df: DataFrame, column: str) -> DataFrame:
     return df.select(value).where(F.col("v").isNotNull() & ~F.isnan("v"))
 
 
-def _histogram(values: DataFrame, low: float, high: float) -> DataFrame:
-    """Equal-width buckets between two bounds: rows, least and greatest value of each."""
-    position = (F.col("v") - F.lit(low)) / F.lit(high - low) * HISTOGRAM_BUCKETS
-    bucket = F.least(F.floor(position).cast("int"), F.lit(HISTOGRAM_BUCKETS - 1))
-    return values.where(F.col("v").between(low, high)).groupBy(bucket.alias("bucket")).agg(
-        F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high")
-    )
+@dataclass
+class _Wanted:
+    """A quantile under way: its rank among all values, and the open range that holds it, with the
+    number of values up to the range and within it."""
+
+    column: int
+    rank: int
+    below: int
+    within: int
+    low: float | None = None
+    high: float | None = None
+    found: float | None = None
+
+    def inside(self) -> Column:
+        value = F.col(f"v{self.column}")
+        ok = value.isNotNull()
+        if self.low is not None:
+            ok = ok & (value > F.lit(self.low))
+        return ok if self.high is None else ok & (value < F.lit(self.high))
+
+    def bracket(self) -> list[float]:
+        """Shares of the range within which a sketch surely has the rank."""
+        at, slack = (self.rank - self.below) / self.within, 2 / SKETCH_ACCURACY
+        return [max(0.0, at - slack), min(1.0, at + slack)]
+
+    def narrow(self, ends: list[tuple[float, int, int]]) -> None:
+        """Take in (value, rows below it, rows up to it) of values of the range."""
+        for value, less, upto in ends:
+            if less < self.rank <= upto:
+                self.found = value
+                return
+            if upto < self.rank and (self.low is None or value > self.low):
+                self.low, self.below = value, upto
+        for value, less, _ in reversed(ends):
+            if self.rank <= less and (self.high is None or value < self.high):
+                self.high, self.within = value, less - self.below
+
+
+def exact_quantiles(
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float] = QUARTILES
+) -> dict[str, list[float | None]]:
+    """Exact quantiles of several columns: the smallest values with at least each share of the rows
+    up to them; null for a column without numbers. Infinities are values like any other, NaN is not.
+    """
+    numbers = df.select(*[
+        F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(f"v{i}") for i, c in enumerate(columns)
+    ])
+    counts = numbers.agg(*[F.count(f"v{i}").alias(f"n{i}") for i in range(len(columns))]).first()
+    wanted = [
+        [_Wanted(i, max(1, math.ceil(p * n)), 0, n) if n else None for p in probabilities] for i, n in enumerate(counts)
+    ]
+    every = [w for per_column in wanted for w in per_column if w]
+    while open_ones := [w for w in every if w.found is None]:
+        sketches = [
+            F.percentile_approx(F.when(w.inside(), F.col(f"v{w.column}")), w.bracket(), SKETCH_ACCURACY) for w in open_ones
+        ]
+        found = numbers.agg(*[s.alias(f"s{k}") for k, s in enumerate(sketches)]).first()
+        ends = sorted({(w.column, value) for w, sketch in zip(open_ones, found) for value in sketch})
+        sums = [
+            c.alias(f"{name}{k}")
+            for k, (i, value) in enumerate(ends)
+            for name, c in (("less", F.count_if(F.col(f"v{i}") < F.lit(value))), ("upto", F.count_if(F.col(f"v{i}") <= F.lit(value))))
+        ]
+        ranks = numbers.agg(*sums).first()
+        placed = [(i, value, ranks[f"less{k}"], ranks[f"upto{k}"]) for k, (i, value) in enumerate(ends)]
+        for w in open_ones:
+            w.narrow([p[1:] for p in placed if p[0] == w.column])
+    return {c: [w and w.found for w in per_column] for c, per_column in zip(columns, wanted)}
 
 
 def quantile_values(
     df: DataFrame, column: str, probabilities: Sequence[float] = QUARTILES
 ) -> list[float | None]:
-    """Exact quantiles: the smallest values with at least each share of the rows up to them.
-
-    Each round splits the range that holds a wanted rank into buckets and keeps the bucket it
-    falls in; only bucket counts (a fixed number) reach the driver. The least and the greatest
-    value of a range land in different buckets, so every round narrows it.
-    """
-    values = _numbers(df, column)
-    total = values.agg(F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).first()
-    if not total.n:
-        return [None] * len(probabilities)
-    # per quantile: rank within the range still open, and that range
-    state = [(max(1, math.ceil(p * total.n)), total.low, total.high) for p in probabilities]
-    while ranges := sorted({(low, high) for _, low, high in state if low < high}):
-        histograms = {r: _histogram(values, *r).orderBy("bucket").collect() for r in ranges}
-        for i, (rank, low, high) in enumerate(state):
-            for bucket in histograms.get((low, high), ()):
-                if rank <= bucket.n:
-                    state[i] = (rank, bucket.low, bucket.high)
-                    break
-                rank -= bucket.n
-    return [low for _, low, _ in state]
+    """Exact quantiles of one column."""
+    return exact_quantiles(df, [column], probabilities)[column]
 
 
 def quantiles(df: DataFrame, column: str) -> DataFrame:
@@ -115,12 +159,17 @@ def quantiles(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-def iqr_fences(df: DataFrame, column: str, factor: float = 1.5) -> tuple[float | None, float | None]:
-    """Quartile fences of a number: values outside them count as outliers."""
-    q1, q3 = quantile_values(df, column, (0.25, 0.75))
-    if q1 is None:
+def fences(q1: float | None, q3: float | None, factor: float = 1.5) -> tuple[float | None, float | None]:
+    """Quartile fences: values outside them count as outliers."""
+    if q1 is None or q3 is None:
         return None, None
-    return q1 - factor * (q3 - q1), q3 + factor * (q3 - q1)
+    spread = 0.0 if q1 == q3 else q3 - q1  # equal infinities have no spread
+    return q1 - factor * spread, q3 + factor * spread
+
+
+def iqr_fences(df: DataFrame, column: str, factor: float = 1.5) -> tuple[float | None, float | None]:
+    """The quartile fences of a number."""
+    return fences(*quantile_values(df, column, (0.25, 0.75)), factor)
 
 
 def is_outlier(df: DataFrame, column: str, factor: float = 1.5) -> Column:
@@ -134,15 +183,21 @@ def outliers(df: DataFrame, column: str, factor: float = 1.5) -> DataFrame:
     return df.where(is_outlier(df, column, factor))
 
 
-def date_profile(df: DataFrame, raw: str) -> DataFrame:
-    """Range and format mix of a raw date column, one row."""
-    parsed, shape = mixed_date(F.col(raw)), date_shape(F.col(raw))
-    checked = df.select(parsed.alias("d"), shape.alias("s"))
-    return checked.agg(
-        F.min("d").alias("first_date"),
-        F.max("d").alias("last_date"),
-        *[F.count_if(F.col("s") == s).alias(f"{s}_rows") for s in ("iso", "day_first", "blank", "other")],
-    )
+def date_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Range and format mix of raw date columns, a row for each, in one pass."""
+    shapes = ("iso", "day_first", "blank", "other")
+    checked = df.select(*[
+        c for i, raw in enumerate(columns)
+        for c in (mixed_date(F.col(raw)).alias(f"d{i}"), date_shape(F.col(raw)).alias(f"s{i}"))
+    ])
+    wide = checked.agg(*[
+        a for i, c in enumerate(columns)
+        for a in (
+            F.min(f"d{i}").alias(f"first_date__{c}"), F.max(f"d{i}").alias(f"last_date__{c}"),
+            *[F.count_if(F.col(f"s{i}") == s).alias(f"{s}_rows__{c}") for s in shapes],
+        )
+    ])
+    return _long_form(wide, columns, ["first_date", "last_date", *[f"{s}_rows" for s in shapes]])
 
 
 def inverted_intervals(df: DataFrame, start: Column, end: Column) -> DataFrame:

@@ -17,17 +17,19 @@ from functools import cache, partial
 from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldspark.operators.checks import enforce, run_checks
+from fieldspark.operators.checks import Check, enforce, run_checks
 from fieldspark.plans import kpis, marts
 from fieldspark.plans.entities import ENTITIES, Settings
 from fieldspark.plans.quality import (
-    DOMAIN_CHECKS, MART_CHECKS, STAGING_CHECKS, mart_model, staging_model,
+    DOMAIN_CHECKS, MART_CHECKS, OUTLIER_CHECKS, STAGING_CHECKS, mart_model, quality_report, share_checks,
+    staging_model,
 )
 from fieldspark.plans.staging import raw_keys, stage, stage_clients
 from fieldspark.sources.raw_csv import export_csv, read_raw
 from fieldspark.sources.tables import Warehouse
 
-LAYERS = ("staging", "marts", "kpis", "checks", "checks-staging", "checks-marts", "all")
+LAYERS = ("staging", "marts", "kpis", "checks", "checks-staging", "checks-marts", "profile", "all")
+MAX_INVALID_SHARE = 0.1
 PARALLEL_WRITES = 4
 MARTS = {
     "campaign_performance": marts.campaign_performance,
@@ -38,8 +40,8 @@ MARTS = {
 class RawFiles(Mapping[str, DataFrame]):
     """The raw CSV tables of a folder, read when first used."""
 
-    def __init__(self, spark: SparkSession, folder: str) -> None:
-        self._read = cache(lambda name: read_raw(spark, folder, name))
+    def __init__(self, spark: SparkSession, folder: str, multi_line: bool = False) -> None:
+        self._read = cache(lambda name: read_raw(spark, folder, name, multi_line))
 
     def __getitem__(self, name: str) -> DataFrame:
         return self._read(name)
@@ -107,10 +109,21 @@ def build_kpis(house: Warehouse, tables: Mapping[str, DataFrame], settings: Sett
     })
 
 
+def staging_checks() -> list[Check]:
+    """Keys and references, and as warnings domains, shares of invalid references and outliers."""
+    return [*STAGING_CHECKS, *DOMAIN_CHECKS, *share_checks(MAX_INVALID_SHARE), *OUTLIER_CHECKS]
+
+
+def profile(house: Warehouse, tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Write the quality report of all staging tables."""
+    models = {staging_model(n): df for n, df in tables.items()}
+    return house.write("profile", "quality_report", quality_report(models, staging_checks()))
+
+
 def check(house: Warehouse, tables: Mapping[str, DataFrame], layer: str = "all") -> DataFrame:
     """Run the declared checks on staging, marts or both and keep the results; raise on errors."""
     models = {staging_model(n): df for n, df in tables.items()}
-    checks = [] if layer == "marts" else [*STAGING_CHECKS, *DOMAIN_CHECKS]
+    checks = [] if layer == "marts" else staging_checks()
     if layer != "staging":
         models |= {mart_model(n): house.read("marts", mart_model(n)) for n in MARTS}
         checks += MART_CHECKS
@@ -121,13 +134,13 @@ def check(house: Warehouse, tables: Mapping[str, DataFrame], layer: str = "all")
 
 def run(
     spark: SparkSession, raw_dir: str, warehouse: str, layer: str = "all",
-    settings: Settings = Settings(), export_dir: str | None = None,
+    settings: Settings = Settings(), export_dir: str | None = None, multi_line: bool = False,
 ) -> None:
     """Build one layer, run the checks, or do everything. In a full run the checks of a layer come
     before what builds on it: errors stop the run there, warnings do not."""
     house, full = Warehouse(spark, warehouse), layer == "all"
     if full or layer == "staging":
-        build_staging(RawFiles(spark, raw_dir), house, settings)
+        build_staging(RawFiles(spark, raw_dir, multi_line), house, settings)
         if not full:
             return
     tables = read_staging(house)
@@ -142,6 +155,8 @@ def run(
         check(house, tables, "marts")
     if full or layer == "kpis":
         build_kpis(house, tables, settings)
+    if full or layer == "profile":
+        profile(house, tables)
     if layer.startswith("checks"):
         check(house, tables, layer.removeprefix("checks").lstrip("-") or "all")
 
@@ -153,12 +168,14 @@ def main() -> None:
     parser.add_argument("--select", choices=LAYERS, default="all")
     parser.add_argument("--as-of", help="day the date rules use, yyyy-MM-dd; default today")
     parser.add_argument("--id-type", choices=["int", "bigint"], default="int")
+    parser.add_argument("--lenient-ids", action="store_true", help="make bad ids null instead of failing")
+    parser.add_argument("--multi-line", action="store_true", help="fields may hold line breaks")
     parser.add_argument("--export", help="folder for CSV copies of the marts")
     args = parser.parse_args()
     conf = SparkConf().setIfMissing("spark.app.name", "fieldspark").setIfMissing("spark.ui.enabled", "false")
     spark = SparkSession.builder.config(conf=conf).getOrCreate()
-    settings = Settings(as_of=args.as_of, id_type=args.id_type)
-    run(spark, args.raw, args.warehouse, args.select, settings, args.export)
+    settings = Settings(as_of=args.as_of, id_type=args.id_type, strict_ids=not args.lenient_ids)
+    run(spark, args.raw, args.warehouse, args.select, settings, args.export, args.multi_line)
 
 
 if __name__ == "__main__":

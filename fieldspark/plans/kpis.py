@@ -115,8 +115,7 @@ def unassigned_visits(status: DataFrame) -> DataFrame:
 
 
 def worker_load(status: DataFrame) -> DataFrame:
-    """Load, completion and incidence share per assigned worker, highest load first;
-    takes ``worker_status`` rows."""
+    """Load, completion and incidence share per assigned worker; takes ``worker_status`` rows."""
     done = sum((F.col(f"{s.lower()}_visits") for s in DONE_STATUSES[1:]), F.col("ok_visits"))
     incidents = F.col(f"{INCIDENT.lower()}_visits")
     return (
@@ -128,5 +127,4 @@ def worker_load(status: DataFrame) -> DataFrame:
             rate(done, F.col("visits")).alias("completion_rate"),
             rate(incidents, F.col("visits")).alias("incidence_rate"),
         )
-        .orderBy(F.col("visits").desc(), F.col("employee_id"))
     )

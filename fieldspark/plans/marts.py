@@ -136,6 +136,11 @@ def worker_lists(routes: DataFrame, bridge: DataFrame, workers: DataFrame) -> Da
     )
 
 
+def _of_campaigns(routes: DataFrame, campaigns: DataFrame) -> DataFrame:
+    """The routes of known campaigns: lists of others would be made in vain."""
+    return routes.join(campaigns.select("campaign_id"), "campaign_id", "left_semi")
+
+
 def campaign_performance(t: Tables) -> DataFrame:
     """One row per campaign: owner, dates, visit counts, routes, workers and rates."""
     owned = lookup(
@@ -146,10 +151,13 @@ def campaign_performance(t: Tables) -> DataFrame:
         owned, _projects_by_code(t["projects"]), "project_code", "by_code_key",
         hot_from=t["campaigns"], spread_by=["campaign_id"],
     ).withColumn("project_client_id", _project_client_id())
-    owned = lookup(owned, _clients_by_id(t["clients"]), "project_client_id", "client_by_id")
     owned = lookup(
-        owned.withColumnRenamed("client_code", "campaign_client_code"),
-        _clients_by_code(t["clients"]), "campaign_client_code", "client_by_code_key",
+        owned, _clients_by_id(t["clients"]), "project_client_id", "client_by_id",
+        hot_from=owned, spread_by=["campaign_id"],
+    ).withColumnRenamed("client_code", "campaign_client_code")
+    owned = lookup(
+        owned, _clients_by_code(t["clients"]), "campaign_client_code", "client_by_code_key",
+        hot_from=owned, spread_by=["campaign_id"],
     )
 
     # Both uses of the routes ask for the same rows, so a lazy plan shares their shuffle.
@@ -162,7 +170,7 @@ def campaign_performance(t: Tables) -> DataFrame:
         owned.join(visit_counts(t["visits"]), same_campaign("visits_of"), "left")
         .join(route_counts(routes, t["visits"]), same_campaign("routes_of"), "left")
         .join(
-            worker_lists(routes, t["route_employee"], t["workers"]),
+            worker_lists(_of_campaigns(routes, t["campaigns"]), t["route_employee"], t["workers"]),
             same_campaign("workers_of"), "left",
         )
     )
@@ -189,10 +197,12 @@ def _campaign_owners(t: Tables) -> DataFrame:
         campaign_client_code="client_code",
     )
     by_id = lookup(
-        campaigns, _projects_by_id(t["projects"]), "campaign_project_id", "by_id_project_id"
+        campaigns, _projects_by_id(t["projects"]), "campaign_project_id", "by_id_project_id",
+        hot_from=campaigns, spread_by=["owner_campaign_id"],
     )
     return lookup(
-        by_id, _clients_by_code(t["clients"]), "campaign_client_code", "client_by_code_key"
+        by_id, _clients_by_code(t["clients"]), "campaign_client_code", "client_by_code_key",
+        hot_from=campaigns, spread_by=["owner_campaign_id"],
     )
 
 
@@ -209,7 +219,9 @@ def _route_workers(t: Tables) -> DataFrame:
         employee_contract_type="employee_contract_type",
         employee_address_province="employee_address_province",
     )
-    return lookup(primary, workers, "employee_id", "worker_key")
+    return lookup(
+        primary, workers, "employee_id", "worker_key", hot_from=primary, spread_by=["worker_route_id"]
+    )
 
 
 def visit_details(t: Tables) -> DataFrame:
@@ -225,9 +237,13 @@ def visit_details(t: Tables) -> DataFrame:
         sized_by=[t["campaigns"], t["projects"], t["clients"]], **spread,
     ).withColumn("any_project_code", F.coalesce("campaign_project_code", "visit_project_code"))
     df = lookup(
-        df, _projects_by_code(t["projects"]), "any_project_code", "by_code_key"
+        df, _projects_by_code(t["projects"]), "any_project_code", "by_code_key",
+        hot_from=df, spread_by=["detail_visit_id"],
     ).withColumn("project_client_id", _project_client_id())
-    df = lookup(df, _clients_by_id(t["clients"]), "project_client_id", "client_by_id")
+    df = lookup(
+        df, _clients_by_id(t["clients"]), "project_client_id", "client_by_id",
+        hot_from=df, spread_by=["detail_visit_id"],
+    )
     df = lookup(
         df, _route_workers(t), "route_id", "worker_route_id",
         sized_by=[t["route_employee"], t["workers"]], **spread,

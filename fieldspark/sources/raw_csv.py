@@ -2,27 +2,73 @@
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fieldspark.sources.schemas import RAW_COLUMNS
 from fieldspark.sources.tables import balanced
 
 
-def read_raw(spark: SparkSession, folder: str, table: str, multi_line: bool = False) -> DataFrame:
+def _headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """The files of a path (a file or a folder) by their header. One line of each file is read."""
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    system = root.getFileSystem(conf)
+    if not system.exists(root):
+        raise FileNotFoundError(path)
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+    found: dict[tuple[str, ...], list[str]] = {}
+    listed, files = system.listFiles(root, True), []
+    while listed.hasNext():
+        status = listed.next()
+        if status.getLen() and not status.getPath().getName().startswith(("_", ".")):
+            files.append(status.getPath())
+    for file in files:
+        stream = system.open(file)
+        try:
+            codec = codecs.getCodec(file)
+            source = codec.createInputStream(stream) if codec else stream
+            line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(source, "UTF-8")).readLine() or ""
+        finally:
+            stream.close()
+        names = tuple(name.strip() for name in next(csv.reader([line.removeprefix("\ufeff")]), []))
+        found.setdefault(names, []).append(file.toString())
+    return found
+
+
+def read_raw(
+    spark: SparkSession, folder: str, table: str, multi_line: bool = False, min_tasks: int | None = None
+) -> DataFrame:
     """One raw table as strings, from ``raw_<table>.csv`` (a file or a folder of files).
 
-    Columns are matched by header name; an empty field is null; types are never inferred.
-    Quoted line breaks need ``multi_line``, which stops Spark from splitting large files.
+    Columns are matched by the header name of each file, whatever their order; further columns are
+    passed over, a missing or repeated one is an error. An empty field is null; types are never
+    inferred. Quoted line breaks need ``multi_line``, which stops Spark from splitting large files.
+    ``min_tasks`` spreads the rows of files that cannot be split.
     """
-    df = (
-        spark.read.option("header", True)
-        .option("escape", '"')
-        .option("mode", "FAILFAST")
-        .option("multiLine", multi_line)
-        .csv(f"{folder.rstrip('/')}/raw_{table}.csv")
-    )
-    return balanced(df.select(*[F.col(c) for c in RAW_COLUMNS[table]]))
+    wanted = RAW_COLUMNS[table]
+    parts = []
+    for names, files in sorted(_headers(spark, f"{folder.rstrip('/')}/raw_{table}.csv").items()):
+        missing = [c for c in wanted if names.count(c) != 1]
+        if missing:
+            raise ValueError(f"{files[0]}: missing or repeated columns {missing}")
+        df = (
+            spark.read.schema(T.StructType([T.StructField(n or f"_{i}", T.StringType()) for i, n in enumerate(names)]))
+            .option("header", True)
+            .option("enforceSchema", False)
+            .option("escape", '"')
+            .option("mode", "FAILFAST")
+            .option("multiLine", multi_line)
+            .csv(files)
+        )
+        parts.append(df.select(*[F.col(c) for c in wanted]))
+    if not parts:
+        return spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in wanted]))
+    return balanced(reduce(DataFrame.unionByName, parts), min_tasks)
 
 
 def export_csv(df: DataFrame, path: str) -> None:

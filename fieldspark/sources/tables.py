@@ -2,23 +2,31 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldspark.sources.estimates import estimated_bytes
 
-
-def balanced(df: DataFrame, min_bytes: int = 1 << 20) -> DataFrame:
-    """Redistribute a scan that gives fewer tasks than there are cores, as a file that cannot be
-    split does (compressed text, one Parquet row group). Scans with enough splits, the normal
-    case for large data, and scans too small to matter stay as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if estimated_bytes(df) < min_bytes or df.rdd.getNumPartitions() >= cores:
+def balanced(df: DataFrame, min_tasks: int | None = None) -> DataFrame:
+    """Redistribute a scan that gives fewer tasks than ``min_tasks``, as files that cannot be split
+    do (compressed text, one Parquet row group). Without the argument a scan stays as it is."""
+    if min_tasks is None or df.rdd.getNumPartitions() >= min_tasks:
         return df
-    return df.repartition(cores)
+    return df.repartition(min_tasks)
+
+
+def _path(spark: SparkSession, path: str):
+    """A Hadoop path and its file system."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    found, system = _path(spark, path)
+    system.delete(found, True)
 
 
 @dataclass(frozen=True)
@@ -35,8 +43,15 @@ class Warehouse:
         return self.spark.read.parquet(self.path(layer, name))
 
     def write(self, layer: str, name: str, df: DataFrame) -> DataFrame:
-        """Replace a table and return it as read back, with its lineage cut."""
-        df.write.mode("overwrite").parquet(self.path(layer, name))
+        """Replace a table and return it as read back, with its lineage cut. The new table is written
+        beside the old one and takes its place when it is complete; a failed write leaves the old."""
+        beside = self.path(layer, f"_new_{name}_{uuid.uuid4().hex}")
+        df.write.parquet(beside)
+        target, system = _path(self.spark, self.path(layer, name))
+        system.delete(target, True)
+        if not system.rename(_path(self.spark, beside)[0], target):
+            raise OSError(f"could not move {beside} to {target}")
+        self.spark.catalog.refreshByPath(self.path(layer, name))
         return self.read(layer, name)
 
     def save_as_table(self, layer: str, name: str, df: DataFrame) -> DataFrame:
@@ -46,15 +61,22 @@ class Warehouse:
         return self.spark.table(table)
 
 
-def scratch_warehouse(spark: SparkSession) -> Warehouse:
-    """A fresh folder under the session's ``spark.checkpoint.dir`` for intermediate tables.
+@contextmanager
+def scratch_warehouse(spark: SparkSession) -> Iterator[Warehouse]:
+    """A fresh folder for intermediate tables, deleted at the end.
 
-    Writing a table there cuts its lineage and survives lost executors. Without the setting a
-    temporary folder is used, but only by a local session, whose executors can all read it.
+    It lies under ``spark.checkpoint.dir``, or without that under the session's warehouse; all
+    executors share either. Writing a table there cuts its lineage and survives lost executors.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="scratch-")
-    return Warehouse(spark, f"{shared.rstrip('/')}/tables-{uuid.uuid4().hex}")
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    house = Warehouse(spark, f"{shared.rstrip('/')}/tables-{uuid.uuid4().hex}")
+    try:
+        yield house
+    finally:
+        delete_folder(spark, house.root)
+
+
+def kept_rows(df: DataFrame) -> DataFrame:
+    """The same few rows, apart from the tables they came from: for results of checks and reports,
+    which have a row for each declared check or column."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)

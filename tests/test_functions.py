@@ -141,3 +141,27 @@ def test_sorted_text_is_in_string_order_and_null_when_empty(spark):
     df = spark.createDataFrame([(["3", "11", "2"],), ([],), (["Éva", "Ana", "Zoe"],)], "a array<string>")
     out = [r.x for r in df.select(metrics.sorted_text(F.col("a")).alias("x")).collect()]
     assert out == ["11, 2, 3", None, "Ana, Zoe, Éva"]
+
+
+def test_year_first_slashes_are_dates(spark):
+    df = spark.createDataFrame([("2025/1/5",), ("2025/01/05 10:30:00",), ("5/1/2025",), ("2025/13/01",)], "d string")
+    got = [r.t for r in df.select(dates.mixed_timestamp(F.col("d")).alias("t")).collect()]
+    assert [str(t) if t else None for t in got] == ["2025-01-05 00:00:00", "2025-01-05 10:30:00", "2025-01-05 00:00:00", None]
+
+
+def test_strict_ids_fail_in_every_session_mode(spark):
+    df = spark.createDataFrame([("x1",)], "v string")
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        for mode in ("true", "false"):
+            spark.conf.set("spark.sql.ansi.enabled", mode)
+            with pytest.raises(Exception, match="not a whole number: x1"):
+                df.select(casts.ident(F.col("v"))).collect()
+            assert df.select(casts.ident(F.col("v"), strict=False).alias("v")).first().v is None
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_half_ids_go_to_the_even_neighbour(spark):
+    df = spark.createDataFrame([("2.5",), ("3.5",), ("12.0",), (" 7 ",), (None,)], "v string")
+    assert [r.v for r in df.select(casts.ident(F.col("v")).alias("v")).collect()] == [2, 4, 12, 7, None]

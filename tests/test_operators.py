@@ -69,7 +69,9 @@ def test_lookup_paths_agree(spark, request, monkeypatch, how, path):
     if path == "broadcast":
         small = [spark.range(10)]
         assert fits_broadcast(small) and not fits_broadcast([right])
-        assert rows(lookup(left, right, "fk", "key", how=how, sized_by=small)) == want
+        left_to_spark = lookup(left, right, "fk", "key", how=how, sized_by=small)
+        assert "ResolvedHint" not in left_to_spark._jdf.queryExecution().analyzed().toString()
+        assert rows(left_to_spark) == want
     else:
         request.getfixturevalue("no_broadcast")
         hot = left if path == "spread" else None
@@ -81,6 +83,20 @@ def test_hot_keys_are_those_over_the_limit(spark, monkeypatch):
     assert rows(hot_keys(skewed(spark), "fk")) == [(7, 7)]  # 2000 rows and a few random ones
 
 
+def test_hot_keys_have_more_than_an_even_share(spark):
+    df = spark.createDataFrame([(i % 50,) for i in range(500)] + [(7,)] * 300, "fk int")
+    assert rows(hot_keys(df, "fk")) == [(7, 4)]  # 310 of 800 rows; a share is 100
+
+
+def test_a_third_of_the_rows_on_one_key_and_a_code_of_many_projects(spark, no_broadcast):
+    left = spark.createDataFrame([(i, 1 if i % 3 == 0 else i) for i in range(3000)], "rid int, fk int")
+    right = spark.createDataFrame([(1, f"p{i}") for i in range(1000)] + [(i, "x") for i in range(2, 500)], "key int, name string")
+    plain = left.join(right, F.col("fk") == F.col("key"), "left").drop("key")
+    got = lookup(left, right, "fk", "key", hot_from=left, spread_by=["rid"])
+    summed = lambda df: df.agg(F.count("*"), F.sum(F.xxhash64("rid", "fk", "name").cast("decimal(38,0)"))).first()
+    assert summed(got) == summed(plain)
+
+
 def test_hot_and_missing_keys_are_spread_over_tasks(spark, no_broadcast, monkeypatch):
     monkeypatch.setattr(lookups, "HOT_ROWS", 100)
     left = skewed(spark, 9000)
@@ -204,8 +220,7 @@ def test_profiles(spark):
     assert rows(profile.null_counts(df)) == [("n", 4, 1), ("s", 4, 1)]
     assert rows(profile.cardinalities(df, ["n", "s"])) == [("n", 3), ("s", 2)]
     assert rows(profile.cardinalities(df, ["n", "s"], exact=False)) == [("n", 3), ("s", 2)]
-    assert rows(profile.top_values(df, "s")) == rows(spark.createDataFrame([("a", 2), ("b", 1), (None, 1)], "v string, n long"))
-    assert [r.value for r in profile.top_values(df, "s", 1).collect()] == ["a"]
+    assert rows(profile.top_values(df, ["s"])) == [("s", "a", 2, 1), ("s", "b", 1, 2), ("s", None, 1, 3)]
 
 
 @pytest.mark.parametrize("shape", ["normal", "heavy_tail", "one_value", "few_values", "huge_range"])
@@ -239,9 +254,33 @@ def test_quantiles_of_an_empty_column(spark):
     assert profile.outliers(df, "v").count() == 0
 
 
+@pytest.mark.parametrize("shape", ["inf", "-inf", "all_infinite", "far_apart", "huge_range"])
+def test_quantiles_take_few_jobs_whatever_the_values(spark, shape):
+    rnd = random.Random(3)
+    values = {
+        "inf": [1.0, 2.0, 3.0, math.inf], "-inf": [-math.inf, 0.0, 5.0], "all_infinite": [math.inf] * 3 + [-math.inf] * 2,
+        "far_apart": [1e300, -1e300, 1e-300, 0.0], "huge_range": [rnd.choice([-1, 1]) * 10.0 ** rnd.randrange(-200, 200) for _ in range(1003)],
+    }[shape]
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(4)
+    spark.sparkContext.setJobGroup(shape, shape)
+    got = profile.quantile_values(df, "v")
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(shape)
+    spark.sparkContext.setJobGroup("", "")
+    ordered = sorted(values)
+    assert got == [ordered[math.ceil(p * len(values)) - 1] for p in (0.25, 0.5, 0.75)]
+    assert 0 < len(jobs) <= 8
+    assert profile.outliers(df, "v").count() >= 0
+
+
+def test_quantiles_narrow_down_large_columns(spark):
+    df = spark.range(0, 60_000).select((F.col("id") * 7919 % 60_000).cast("double").alias("a"), (F.col("id") % 3).alias("b"))
+    got = profile.exact_quantiles(df, ["a", "b"], (0.001, 0.5, 1.0))
+    assert got == {"a": [59.0, 29_999.0, 59_999.0], "b": [0.0, 1.0, 2.0]}
+
+
 def test_date_profile_and_inverted_intervals(spark):
     df = spark.createDataFrame([("2025-01-02",), ("3/1/2025",), (None,), ("x",), (" ",)], "d string")
-    got = profile.date_profile(df, "d").first()
+    got = profile.date_profile(df, ["d"]).first()
     assert (str(got.first_date), str(got.last_date)) == ("2025-01-02", "2025-01-03")
     assert (got.iso_rows, got.day_first_rows, got.blank_rows, got.other_rows) == (1, 1, 2, 1)
     spans = spark.createDataFrame([(1, 2), (3, 2), (None, 1)], "a int, b int")

@@ -1,8 +1,10 @@
 import csv
 import datetime as dt
 import glob
+import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from fieldspark.operators import lookup as lookups
 from fieldspark.operators.checks import ChecksFailed
@@ -261,16 +263,55 @@ def test_catalog_table_and_scratch_folder(spark, tmp_path):
     house = Warehouse(spark, str(tmp_path))
     house.save_as_table("staging", "demo", spark.range(3))
     assert spark.table("staging_demo").count() == 3
-    scratch = scratch_warehouse(spark)
-    assert scratch.write("any", "t", spark.range(4)).count() == 4
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    assert not shared or scratch.root.startswith(shared)
+    with scratch_warehouse(spark) as scratch:
+        assert scratch.write("any", "t", spark.range(4)).count() == 4
+        shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+        assert scratch.root.startswith(shared)
+        folder = scratch.root.removeprefix("file:")
+        assert os.path.isdir(folder)
+    assert not os.path.exists(folder)
+
+
+def test_a_failed_write_leaves_the_old_table(spark, tmp_path):
+    house = Warehouse(spark, str(tmp_path))
+    house.write("staging", "demo", spark.range(3))
+    with pytest.raises(Exception, match="no rows today"):
+        house.write("staging", "demo", spark.range(3).select(F.raise_error(F.lit("no rows today")).cast("long").alias("id")))
+    assert house.read("staging", "demo").count() == 3
+    assert house.write("staging", "demo", house.read("staging", "demo").where("id > 0")).count() == 2
+
+
+CLIENT_FILES = {
+    "a.csv": "client_id,client_name,company_id,country,sector,created_at,updated_at_sys\n1,Alfa,9,ES,Farma,2024-01-01,2024-01-01\n",
+    "b.csv": "client_name,client_id,company_id,country,sector,created_at,updated_at_sys\nBeta,2,9,ES,Farma,2024-01-01,2024-01-01\n",
+    "c.csv": "client_id,extra,client_name,company_id,country,sector,created_at,updated_at_sys\n3,x,Gama,9,ES,Farma,2024-01-01,2024-01-01\n",
+}
+
+
+def client_folder(tmp_path, files):
+    folder = tmp_path / "raw_clients.csv"
+    folder.mkdir()
+    for name, text in files.items():
+        (folder / name).write_text(text, encoding="utf-8")
+    return str(tmp_path)
+
+
+def test_files_of_a_folder_are_matched_by_their_own_headers(spark, tmp_path):
+    got = read_raw(spark, client_folder(tmp_path, CLIENT_FILES), "clients")
+    assert sorted((r.client_id, r.client_name, r.country) for r in got.collect()) == [("1", "Alfa", "ES"), ("2", "Beta", "ES"), ("3", "Gama", "ES")]
+
+
+def test_a_file_without_a_column_is_named(spark, tmp_path):
+    folder = client_folder(tmp_path, {**CLIENT_FILES, "d.csv": "client_id,client_name\n4,Delta\n"})
+    with pytest.raises(ValueError, match="d.csv: missing or repeated columns"):
+        read_raw(spark, folder, "clients")
 
 
 def test_quality_report(spark, house):
     models = {f"stg_{n}": df for n, df in read_staging(house).items()}
-    report = quality_report(models, STAGING_CHECKS, profiled=["stg_workers"])
+    report = quality_report(models, STAGING_CHECKS, exact=True)
     found = {(r.model, r.column_name, r.measure): r.value for r in report.collect()}
+    assert {(m, c) for m, c, _ in found} >= {(m, c) for m, df in models.items() for c in df.columns}
     assert found["stg_workers", "employee_contract_type", "nulls"] == 1
     assert found["stg_workers", "employee_first_name", "distinct_values"] == 2
     assert found["stg_projects", "client_id", "failures_relationships"] == 1

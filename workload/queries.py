@@ -15,10 +15,10 @@ from fieldspark.operators.assignment import primary_assignment
 from fieldspark.operators.keys import highest_per_key, key_set
 from fieldspark.plans import kpis, marts, quality
 from fieldspark.plans.entities import ENTITIES, ROUTE_PREFIX, Settings
-from fieldspark.plans.job import MARTS, build_marts, build_staging
+from fieldspark.plans.job import MARTS, build_marts, build_staging, staging_checks
 from fieldspark.plans.quality import mart_model
 from fieldspark.plans.staging import StagedTables, cleaned_latest, stage
-from fieldspark.sources.tables import Warehouse, scratch_warehouse
+from fieldspark.sources.tables import Warehouse, kept_rows, scratch_warehouse
 from workload.oracle import AS_OF
 from workload.raw_tables import RawTables, given, raw_table
 
@@ -33,6 +33,10 @@ def _id(name: str):
     return casts.ident(F.col(name), "bigint")
 
 
+def _id_text(value):
+    return casts.ident(value, "bigint")
+
+
 def _query(fn: Query) -> Query:
     REGISTRY[fn.__name__] = fn
     return fn
@@ -65,6 +69,7 @@ _over_raw("strict_casts", "route_employee", lambda raw: raw.select(
     casts.boolean(F.col("main_employee")).alias("main"),
     casts.real(F.col("ip_percentage")).alias("share"),
     casts.float_or_zero(F.col("ip_percentage")).alias("share_or_zero"),
+    _id_text(F.concat(F.trim("employee_id"), F.lit(".5"))).alias("half"),
     _id("route_id").cast("string").alias("route_text"),
 ))
 _over_raw("optional_ids", "responses", lambda raw: raw.select(
@@ -242,26 +247,25 @@ _over_staged("check_domains", lambda t: ck.run_checks(
 
 @_query
 def check_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = _written(scratch_warehouse(spark), spark, sf_dir, ENTITIES)
-    return ck.run_checks(_models(tables), _of_type(ck.Relationships))
+    with scratch_warehouse(spark) as house:
+        tables = _written(house, spark, sf_dir, ENTITIES)
+        return kept_rows(ck.run_checks(_models(tables), _of_type(ck.Relationships)))
 
 
 @_query
 def check_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    house = scratch_warehouse(spark)
-    tables = _written(house, spark, sf_dir, ENTITIES)
-    build_marts(house, tables)
-    written = {mart_model(n): house.read("marts", mart_model(n)) for n in MARTS}
-    return ck.run_checks({**_models(tables), **written}, quality.MART_CHECKS)
+    with scratch_warehouse(spark) as house:
+        tables = _written(house, spark, sf_dir, ENTITIES)
+        build_marts(house, tables)
+        written = {mart_model(n): house.read("marts", mart_model(n)) for n in MARTS}
+        return kept_rows(ck.run_checks({**_models(tables), **written}, quality.MART_CHECKS))
 
 
 @_query
 def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    models = _models(_written(scratch_warehouse(spark), spark, sf_dir, ENTITIES))
-    models["stg_routes"] = models["stg_routes"].select(
-        "route_id", "campaign_id", "route_code", "route_status", "delegation_code"
-    )
-    return quality.quality_report(models, quality.STAGING_CHECKS, profiled=["stg_routes"])
+    with scratch_warehouse(spark) as house:
+        models = _models(_written(house, spark, sf_dir, ENTITIES))
+        return kept_rows(quality.quality_report(models, staging_checks(), exact=True))
 
 
 @_query
@@ -284,12 +288,15 @@ def check_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ck.run_checks({"events": given(spark, sf_dir, "events")}, declared)
 
 
-_PROFILED = ["route_id", "visit_status", "visit_type", "is_client_billable", "visit_time"]
-_over_raw("profile_nulls", "visits", lambda raw: profile.null_counts(raw, _PROFILED))
-_over_raw("profile_cardinality", "visits", lambda raw: profile.cardinalities(raw, _PROFILED))
-_over_raw("profile_distribution", "visits", lambda raw: profile.top_values(raw, "visit_status"))
-_over_raw("profile_top_values", "responses", lambda raw: profile.top_values(raw, "question_id", 10))
-_over_raw("profile_dates", "campaigns", lambda raw: profile.date_profile(raw, "campaign_start_date"))
+def _date_columns(raw: DataFrame) -> list[str]:
+    return [c for c in raw.columns if c.endswith("_date") or c.endswith("_at") or c.endswith("_sys")]
+
+
+_over_raw("profile_nulls", "visits", profile.null_counts)
+_over_raw("profile_cardinality", "visits", lambda raw: profile.cardinalities(raw, raw.columns))
+_over_raw("profile_distribution", "visits", lambda raw: profile.value_counts(raw, raw.columns))
+_over_raw("profile_top_values", "responses", lambda raw: profile.top_values(raw, ["question_id", "question_type"]))
+_over_raw("profile_dates", "campaigns", lambda raw: profile.date_profile(raw, _date_columns(raw)))
 
 
 @_query

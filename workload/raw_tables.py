@@ -30,11 +30,11 @@ def _day_first(date: str) -> str:
     return f"substring({iso}, 9, 2) || '/' || substring({iso}, 6, 2) || '/' || substring({iso}, 1, 4)"
 
 
-def _mixed(date: str, day_first_when: str, junk_when: str = "false") -> str:
-    """A date as text: day-first or junk on some rows, ISO otherwise."""
+def _mixed(date: str, day_first_when: str, junk_when: str = "false", slashes_when: str = "false") -> str:
+    """A date as text: day-first, year-first with slashes or junk on some rows, ISO otherwise."""
     return (
         f"CASE WHEN {junk_when} THEN 'sin fecha' WHEN {day_first_when} THEN {_day_first(date)} "
-        f"ELSE {_iso(date)} END"
+        f"WHEN {slashes_when} THEN replace({_iso(date)}, '-', '/') ELSE {_iso(date)} END"
     )
 
 
@@ -102,7 +102,8 @@ SELECT CAST(c_custkey AS STRING) AS campaign_id,
        CASE WHEN c_acctbal < 0 THEN NULL WHEN c_acctbal < 5000 THEN 'False' ELSE 'True' END AS is_active,
        '1' AS campaign_state_id,
        CASE WHEN c_mktsegment = 'MACHINERY' THEN NULL WHEN c_mktsegment = 'BUILDING' THEN '  '
-            WHEN c_acctbal < 4000 THEN ' Cerrada' ELSE 'Activa ' END AS campaign_state,
+            WHEN c_acctbal > 9800 THEN 'Sin estado' WHEN c_acctbal < 4000 THEN ' Cerrada' ELSE 'Activa ' END
+           AS campaign_state,
        '100' AS total_visits_planned,
        '50' AS total_pos_planned,
        CASE WHEN c_acctbal < 0 THEN NULL ELSE CAST(c_acctbal AS STRING) END AS visit_duration_minutes,
@@ -253,7 +254,7 @@ SELECT CAST(o_orderkey AS STRING) AS visit_id,
             THEN CAST({_ROUTE_ID} + {ORPHAN} AS STRING)
             ELSE ' ' || CAST({_ROUTE_ID} AS STRING) END AS route_id,
        CASE WHEN o_totalprice < 50000 THEN ' ' ELSE ' rut' || CAST({_ROUTE_ID} AS STRING) END AS route_code,
-       {_mixed(_ORDER_DAY, "o_orderstatus = 'O'", "o_totalprice > 480000")} AS visit_date,
+       {_mixed(_ORDER_DAY, "o_orderstatus = 'O'", "o_totalprice > 480000", "o_totalprice < 40000")} AS visit_date,
        CASE WHEN o_totalprice > 450000 THEN 'mediodia' ELSE {clock} END AS visit_time,
        {status} AS visit_status,
        CASE WHEN o_totalprice < 60000 THEN NULL ELSE ' Tipo ' || o_orderpriority END AS visit_type,
@@ -270,7 +271,7 @@ _STATUS = (
     "WHEN o_orderstatus = 'O' THEN 'Incid ' ELSE 'NOVIS' END"
 )
 _VISITS = (
-    _visits(_STATUS, _mixed(f"{_ORDER_DAY} + 10", "o_orderstatus = 'F'"))
+    _visits(_STATUS, _mixed(f"{_ORDER_DAY} + 10", "o_orderstatus = 'F'", slashes_when="o_orderpriority = '1-URGENT'"))
     + "\nUNION ALL"
     + _visits("'NOVIS'", _iso(_ORDER_DAY), " WHERE o_orderstatus = 'P'")
 )
@@ -288,7 +289,7 @@ SELECT CAST(l_orderkey * 10 + l_linenumber AS STRING) AS answer_id,
        CASE WHEN l_quantity > 40 THEN '  ' ELSE ' ' || CAST(l_extendedprice AS STRING) || ' ' END AS answer,
        CASE WHEN l_linestatus = 'F' THEN NULL ELSE CAST(l_quantity AS STRING) END AS expected_answer,
        {_iso(_SHIP_DAY)} AS created_at,
-       {_mixed(_SHIP_DAY, "l_linestatus = 'O'", "l_quantity = 50")} AS updated_at_sys
+       {_mixed(_SHIP_DAY, "l_linestatus = 'O'", "l_quantity = 50", "l_quantity < 10")} AS updated_at_sys
 FROM {{lineitem}}
 """
 
