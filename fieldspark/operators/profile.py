@@ -111,6 +111,16 @@ class _Wanted:
                 self.high, self.within = value, less - self.below
 
 
+def _placed(numbers: DataFrame, ends: list[tuple[int, float]]) -> list[tuple[int, float, int, int]]:
+    """(column, value, rows below it, rows up to it) of each value, in one pass."""
+    sums = []
+    for k, (i, value) in enumerate(ends):
+        sums.append(F.count_if(F.col(f"v{i}") < F.lit(value)).alias(f"less{k}"))
+        sums.append(F.count_if(F.col(f"v{i}") <= F.lit(value)).alias(f"upto{k}"))
+    ranks = numbers.agg(*sums).first()
+    return [(i, value, ranks[f"less{k}"], ranks[f"upto{k}"]) for k, (i, value) in enumerate(ends)]
+
+
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], probabilities: Sequence[float] = QUARTILES
 ) -> dict[str, list[float | None]]:
@@ -120,26 +130,29 @@ def exact_quantiles(
     numbers = df.select(*[
         F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(f"v{i}") for i, c in enumerate(columns)
     ])
-    counts = numbers.agg(*[F.count(f"v{i}").alias(f"n{i}") for i in range(len(columns))]).first()
+    slack = 2 / SKETCH_ACCURACY
+    shares = sorted({min(1.0, max(0.0, p + d)) for p in probabilities for d in (-slack, 0, slack)})
+    first = numbers.agg(
+        *[F.count(f"v{i}").alias(f"n{i}") for i in range(len(columns))],
+        *[F.percentile_approx(f"v{i}", shares, SKETCH_ACCURACY).alias(f"s{i}") for i in range(len(columns))],
+    ).first()
+    counts = [first[f"n{i}"] for i in range(len(columns))]
     wanted = [
         [_Wanted(i, max(1, math.ceil(p * n)), 0, n) if n else None for p in probabilities] for i, n in enumerate(counts)
     ]
     every = [w for per_column in wanted for w in per_column if w]
+    ends = {(i, value) for i, n in enumerate(counts) if n for value in first[f"s{i}"]}
     while open_ones := [w for w in every if w.found is None]:
-        sketches = [
-            F.percentile_approx(F.when(w.inside(), F.col(f"v{w.column}")), w.bracket(), SKETCH_ACCURACY) for w in open_ones
-        ]
-        found = numbers.agg(*[s.alias(f"s{k}") for k, s in enumerate(sketches)]).first()
-        ends = sorted({(w.column, value) for w, sketch in zip(open_ones, found) for value in sketch})
-        sums = [
-            c.alias(f"{name}{k}")
-            for k, (i, value) in enumerate(ends)
-            for name, c in (("less", F.count_if(F.col(f"v{i}") < F.lit(value))), ("upto", F.count_if(F.col(f"v{i}") <= F.lit(value))))
-        ]
-        ranks = numbers.agg(*sums).first()
-        placed = [(i, value, ranks[f"less{k}"], ranks[f"upto{k}"]) for k, (i, value) in enumerate(ends)]
+        placed = _placed(numbers, sorted(ends))
         for w in open_ones:
             w.narrow([p[1:] for p in placed if p[0] == w.column])
+        open_ones = [w for w in open_ones if w.found is None]
+        if open_ones:
+            sketches = [
+                F.percentile_approx(F.when(w.inside(), F.col(f"v{w.column}")), w.bracket(), SKETCH_ACCURACY) for w in open_ones
+            ]
+            found = numbers.agg(*[s.alias(f"s{k}") for k, s in enumerate(sketches)]).first()
+            ends = {(w.column, value) for w, sketch in zip(open_ones, found) for value in sketch}
     return {c: [w and w.found for w in per_column] for c, per_column in zip(columns, wanted)}
 
 

@@ -31,7 +31,7 @@ def test_ids(spark):
     assert apply(spark, [" 11 ", "  ", None], casts.optional_ident) == [11, None, None]
     big = apply(spark, ["3000000000"], lambda c: casts.ident(c, "bigint"))
     assert big == [3000000000]
-    assert apply(spark, ["12.0", " 6.5 ", "2.4", "-2.5"], casts.ident) == [12, 7, 2, -3]
+    assert apply(spark, ["12.0", " 6.5 ", "2.4", "-2.5"], casts.ident) == [12, 6, 2, -2]
     lenient = apply(spark, ["x1", "5", "x.1", "7.0"], lambda c: casts.ident(c, strict=False))
     assert lenient == [None, 5, None, 7]
     for bad in ("x1", "3000000000", "1.2.3"):
