@@ -2,7 +2,7 @@
 
 _REPEATS = r"""
 WITH words AS (
-    SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), w -> w <> '') AS w
+    SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
     FROM documents
 ), starts AS (
     SELECT doc_id, i, md5(array_to_string(w[i:i + 34], ' ')) AS k
@@ -23,4 +23,19 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(p), 0)::BIGINT AS n_remov
 FROM words LEFT JOIN covered USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
-ORACLE_SQL: dict[str, str] = {"op3_substring_dedup": _REPEATS}
+_REVISITS = """
+WITH hashed AS (
+    SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, upper(sha1(coalesce(html, ''))) AS h FROM pages
+), parts AS (
+    SELECT page_id, payload_bytes, h, list_transform(range(4), lambda i: ('0x' || h[1 + 10 * i:10 + 10 * i])::BIGINT) AS p FROM hashed
+), coded AS (
+    SELECT page_id, payload_bytes, h, array_to_string(list_transform(range(32), lambda i:
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[1 + ((p[1 + i // 8] >> (35 - 5 * (i % 8))) & 31)]), '') AS payload_digest FROM parts
+)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN page_id = min(page_id) OVER same THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> min(page_id) OVER same THEN min(page_id) OVER same END AS refers_to
+FROM coded WINDOW same AS (PARTITION BY h)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_warc_revisits": _REVISITS, "op3_substring_dedup": _REPEATS}
