@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 
 U64 = np.uint64
 #: Text that one numpy pass looks at; bounds the memory of a task whatever its batch holds.
-PASS_BYTES = 2 << 20
+PASS_BYTES = 1 << 20
+#: Rows of a batch whose texts are Python values at a time.
+SLICE_ROWS = 512
 
 _BYTE_FACTOR, _WORD_FACTOR = 0x9E3779B97F4A7C15, 0xD1B54A32D192ED03
 _SPACES = np.zeros(256, dtype=bool)
@@ -58,6 +60,12 @@ def text_bytes(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
     return [v or b"" for v in column.cast(kind).to_pylist()]
 
 
+def slices(column: pa.Array) -> Iterator[pa.Array]:
+    """A column in parts of ``SLICE_ROWS`` rows, so that few texts are Python values at a time."""
+    for at in range(0, len(column), SLICE_ROWS):
+        yield column.slice(at, SLICE_ROWS)
+
+
 def passes(sizes: list[int], limit: int = PASS_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of consecutive values of about ``limit`` bytes together, one value at least."""
     start, total = 0, 0

@@ -18,10 +18,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fieldspark.llm.common import slices
+
 UNKNOWN = "und"
 LONGEST = 4
 _WORD = re.compile(r"[^\W\d_]+")
-_REMEMBERED = 200_000
+_REMEMBERED = 100_000
 
 
 def _grams(word: str, n: int) -> list[str]:
@@ -125,7 +127,7 @@ def sample_of(labelled: DataFrame, per_language: int) -> DataFrame:
     return near.withColumn("_rank", rank).where(F.col("_rank") <= per_language).select("id", "lang", "text")
 
 
-def fit(labelled: DataFrame, *, per_language: int = 500, least_count: int = 2) -> Model:
+def fit(labelled: DataFrame, *, per_language: int = 300, least_count: int = 3) -> Model:
     """Learn from (id, lang, text): at most ``per_language`` rows of a language, parts that occur at
     least ``least_count`` times in them."""
     languages = [row[0] for row in labelled.select("lang").distinct().orderBy("lang").collect()]
@@ -150,13 +152,17 @@ def fit(labelled: DataFrame, *, per_language: int = 500, least_count: int = 2) -
     return Model(languages, parts[0], parts, weights)
 
 
-def predictor(labelled: DataFrame, *, per_language: int = 500) -> Callable[[Column], Column]:
+def predictor(labelled: DataFrame, *, per_language: int = 300) -> Callable[[Column], Column]:
     """A column function from a text to (``lang_pred``, ``score``), learnt from (id, lang, text)."""
     model = fit(labelled.where("lang IS NOT NULL AND text IS NOT NULL"), per_language=per_language)
     shared = labelled.sparkSession.sparkContext.broadcast(model)
 
     def predicted(texts: pa.Array) -> pa.Array:
-        languages, scores = shared.value.judged(texts.to_pylist())
+        languages, scores = [], []
+        for part in slices(texts):
+            found = shared.value.judged(part.to_pylist())
+            languages += found[0]
+            scores += found[1]
         return pa.StructArray.from_arrays([pa.array(languages, pa.string()), pa.array(scores, pa.float64())], names=["lang_pred", "score"])
 
     return F.arrow_udf(predicted, "lang_pred string, score double")
@@ -167,7 +173,7 @@ def identify(
     labelled: DataFrame,
     text_col: str = "text",
     *,
-    per_language: int = 500,
+    per_language: int = 300,
 ) -> DataFrame:
     """All columns of ``docs`` with ``lang_pred`` and ``score`` (its probability, 0 to 1); columns of
     those names are replaced.

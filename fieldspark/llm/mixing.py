@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldspark.llm.common import U64, checkpointed, passes, range_hashes, text_bytes, word_spans
+from fieldspark.llm.common import U64, checkpointed, passes, range_hashes, slices, text_bytes, word_spans
 from fieldspark.llm.tiling import token_bytes
 
 _SYMBOL, _SHAPE = U64(0x5BD1E995A3C59AC3), U64(0xC2B2AE3D27D4EB4F)
@@ -123,16 +123,18 @@ def fit_classifier(
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = text_bytes(batch.column("text"))
-            for a, b in passes([len(t) + 1 for t in texts]):
-                owner, hashes, _ = features(texts[a:b])
-                order = np.argsort(owner, kind="stable")
-                limits = np.searchsorted(owner[order], np.arange(1, b - a))
-                sets = [np.unique(part).view(np.int64) for part in np.split(hashes[order], limits)]
-                yield pa.record_batch({
-                    "h": batch.column("h").slice(a, b - a), "domain": batch.column("domain").slice(a, b - a),
-                    "features": pa.array(sets, pa.list_(pa.int64())),
-                })
+            at = 0
+            for texts in map(text_bytes, slices(batch.column("text"))):
+                for a, b in passes([len(t) + 1 for t in texts]):
+                    owner, hashes, _ = features(texts[a:b])
+                    order = np.argsort(owner, kind="stable")
+                    limits = np.searchsorted(owner[order], np.arange(1, b - a))
+                    sets = [np.unique(part).view(np.int64) for part in np.split(hashes[order], limits)]
+                    yield pa.record_batch({
+                        "h": batch.column("h").slice(at, b - a), "domain": batch.column("domain").slice(at, b - a),
+                        "features": pa.array(sets, pa.list_(pa.int64())),
+                    })
+                    at += b - a
 
     near = usable.where(F.col("h") <= limit).select("h", "domain", "text")
     sample = (
@@ -173,11 +175,12 @@ def posteriors(docs: DataFrame, classifier: Classifier, text_col: str = "text")
     width = len(classifier.domains)
 
     def judged(column: pa.Array) -> pa.Array:
-        texts = text_bytes(column)
-        parts = [shared.value.probabilities(texts[a:b]) for a, b in passes([len(t) + 1 for t in texts])]
+        parts = []
+        for texts in map(text_bytes, slices(column)):
+            parts += [shared.value.probabilities(texts[a:b]) for a, b in passes([len(t) + 1 for t in texts])]
         share = np.concatenate([p[0].ravel() for p in parts]) if parts else np.zeros(0)
         counts = np.concatenate([p[1] for p in parts]) if parts else np.zeros(0)
-        limits = pa.array(np.arange(len(texts) + 1, dtype=np.int32) * width)
+        limits = pa.array(np.arange(len(column) + 1, dtype=np.int32) * width)
         return pa.StructArray.from_arrays([pa.array(counts, pa.int64()), pa.ListArray.from_arrays(limits, pa.array(share))], names=["n", "p"])
 
     names = [c for c in docs.columns if c not in ("n_tokens", "posterior")]

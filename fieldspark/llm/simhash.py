@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldspark.llm.common import U64, checkpointed, components, text_bytes
+from fieldspark.llm.common import U64, checkpointed, components, slices, text_bytes
 
 _SEED = 42
 _BITS_AT_ONCE = 1 << 15
@@ -54,7 +54,8 @@ def fingerprints(docs: DataFrame, words: int) -> DataFrame:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = np.array([fingerprint(t, words) for t in text_bytes(batch.column(1))], dtype=U64)
+            texts = (t for part in slices(batch.column(1)) for t in text_bytes(part))
+            prints = np.fromiter((fingerprint(t, words) for t in texts), dtype=U64, count=batch.num_rows)
             yield pa.record_batch({"id": batch.column(0), "body": batch.column(2), "print": pa.array(prints.view(np.int64))})
 
     kind = dict(docs.dtypes)["id"]

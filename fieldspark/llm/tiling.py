@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldspark.llm.common import U64, passes, range_hashes, text_bytes, window_hashes, word_spans
+from fieldspark.llm.common import U64, passes, range_hashes, slices, text_bytes, window_hashes, word_spans
 
 _ASCII_TOKEN = np.zeros(256, dtype=bool)
 _ASCII_TOKEN[[*b"0123456789abcdefghijklmnopqrstuvwxyz_", *range(0x80, 0x100)]] = True
@@ -184,12 +184,12 @@ def _cover(shared, threshold: float):
     """A column function from a text to the largest coverage of an item and the items covered."""
 
     def covered(column: pa.Array) -> pa.Array:
-        index, texts = shared.value, _lower(column)
-        most, items = [], []
-        for a, b in passes([len(t) + 1 for t in texts]):
-            for shares in index.coverage(texts[a:b]):
-                most.append(max(shares.values(), default=0.0))
-                items.append(sorted({index.ids[k] for k, s in shares.items() if s >= threshold}))
+        index, most, items = shared.value, [], []
+        for texts in map(_lower, slices(column)):
+            for a, b in passes([len(t) + 1 for t in texts]):
+                for shares in index.coverage(texts[a:b]):
+                    most.append(max(shares.values(), default=0.0))
+                    items.append(sorted({index.ids[k] for k, s in shares.items() if s >= threshold}))
         return pa.StructArray.from_arrays([pa.array(most, pa.float64()), pa.array(items, pa.list_(pa.int64()))], names=["most", "items"])
 
     return F.arrow_udf(covered, "most double, items array<bigint>")
