@@ -22,16 +22,13 @@ def _held_out() -> Column:
 TARGETS = {"good": 0.95, "poor": 0.05, "toxic": 0.0}
 
 
-def labelled_domains(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """(text, domain) of the labelled documents: toxic ones, and others by their quality."""
-    domain = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "good").when(F.col("quality") == 0, "poor")
-    return documents.select("doc_id", "text").join(labels.select("doc_id", domain.alias("domain")), "doc_id").select("text", "domain")
-
+def labelled_domains(documents: DataFrame, labels: DataFrame, most: int = 8_000) -> DataFrame:
+    """(text, domain) of labelled documents: toxic ones, and others by their quality.
 
-#: Rules of the url filter: verdict, host and path prefix.
-RULES = [
-    ("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"),
-]
+    The ``most`` labels with the smallest hashes are used, so that they can be sent to the texts."""
+    domain = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "good").when(F.col("quality") == 0, "poor")
+    some = labels.select("doc_id", domain.alias("domain")).orderBy(F.xxhash64("doc_id"), "doc_id", "domain").limit(most)
+    return documents.select("doc_id", "text").join(F.broadcast(some), "doc_id").select("text", "domain")
 
 
 def op1_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
