@@ -168,26 +168,6 @@ def fit_classifier(
     return model
 
 
-def posteriors(docs: DataFrame, classifier: Classifier, text_col: str = "text") -> DataFrame:
-    """All columns of ``docs`` with ``n_tokens`` (words between white space) and ``posterior``, an array with the
-    probability of each domain. A null text has no words and gets the probabilities of an empty one."""
-    shared = docs.sparkSession.sparkContext.broadcast(classifier)
-    width = len(classifier.domains)
-
-    def judged(column: pa.Array) -> pa.Array:
-        parts = []
-        for texts in map(text_bytes, slices(column)):
-            parts += [shared.value.probabilities(texts[a:b]) for a, b in passes([len(t) + 1 for t in texts])]
-        share = np.concatenate([p[0].ravel() for p in parts]) if parts else np.zeros(0)
-        counts = np.concatenate([p[1] for p in parts]) if parts else np.zeros(0)
-        limits = pa.array(np.arange(len(column) + 1, dtype=np.int32) * width)
-        return pa.StructArray.from_arrays([pa.array(counts, pa.int64()), pa.ListArray.from_arrays(limits, pa.array(share))], names=["n", "p"])
-
-    names = [c for c in docs.columns if c not in ("n_tokens", "posterior")]
-    found = docs.select(*names, F.arrow_udf(judged, "n bigint, p array<double>")(F.col(text_col)).alias("_judged"))
-    return found.select(*names, F.col("_judged.n").alias("n_tokens"), F.col("_judged.p").alias("posterior"))
-
-
 @dataclass
 class Rates:
     """Rates as a function of probabilities: the residuals of all steps, replayed."""
@@ -208,6 +188,33 @@ class Rates:
         return rate, ahead
 
 
+def posteriors(docs: DataFrame, classifier: Classifier, text_col: str = "text", rates: Rates | None = None) -> DataFrame:
+    """All columns of ``docs`` with ``n_tokens`` (words between white space) and ``posterior``, an array with the
+    probability of each domain; with ``rates`` also ``rate``, from the same pass over the texts. A null text has
+    no words and gets the probabilities of an empty one."""
+    shared = docs.sparkSession.sparkContext.broadcast((classifier, rates))
+    width = len(classifier.domains)
+
+    def judged(column: pa.Array) -> pa.Array:
+        model, held = shared.value
+        parts = []
+        for texts in map(text_bytes, slices(column)):
+            parts += [model.probabilities(texts[a:b]) for a, b in passes([len(t) + 1 for t in texts])]
+        share = np.concatenate([p[0] for p in parts]) if parts else np.zeros((0, width))
+        counts = np.concatenate([p[1] for p in parts]) if parts else np.zeros(0)
+        limits = pa.array(np.arange(len(column) + 1, dtype=np.int32) * width)
+        found = {"n": pa.array(counts, pa.int64()), "p": pa.ListArray.from_arrays(limits, pa.array(share.ravel()))}
+        if held is not None:
+            found["r"] = pa.array(held.of(share)[0])
+        return pa.StructArray.from_arrays(list(found.values()), names=list(found))
+
+    made = {"n_tokens": "n", "posterior": "p"} | ({} if rates is None else {"rate": "r"})
+    kind = "n bigint, p array<double>" + ("" if rates is None else ", r double")
+    names = [c for c in docs.columns if c not in made]
+    found = docs.select(*names, F.arrow_udf(judged, kind)(F.col(text_col)).alias("_judged"))
+    return found.select(*names, *(F.col(f"_judged.{field}").alias(name) for name, field in made.items()))
+
+
 def _shares(column: pa.Array, width: int) -> np.ndarray:
     return pc.list_flatten(column).to_numpy(zero_copy_only=False).reshape(-1, width)
 
@@ -279,13 +286,9 @@ def mix(
     """
     domains = sorted(targets)
     classifier = fit_classifier(labelled, domains)
-    judged = posteriors(docs, classifier, text_col)
+    judged = posteriors(docs.select(text_col), classifier, text_col)
     rates = fit_rates(judged.select("n_tokens", "posterior"), [targets[d] for d in domains], **fitting)
-
-    def rated(column: pa.Array) -> pa.Array:
-        return pa.array(rates.of(_shares(column, len(domains)))[0])
-
-    found = judged.withColumn("rate", F.arrow_udf(rated, "double")(F.col("posterior")))
+    found = posteriors(docs, classifier, text_col, rates)
     even = F.pmod(F.xxhash64(id_col, text_col), F.lit(1 << 30)) / (1 << 30)
     own = [c for c in docs.columns if c not in {"n_tokens", "rate", "copies", *(f"p_{d}" for d in domains)}]
     return found.select(
