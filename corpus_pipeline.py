@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldspark.llm import language, lines, mixing, simhash, tiling
-from fieldspark.llm.common import shared_folder, table
+from fieldspark.llm.common import shared_folder, small_batches, table
 from fieldspark.llm.queries import TARGETS, labelled_domains, labelled_languages
 
 #: A document is rejected if its language is less likely than not.
@@ -22,6 +22,7 @@ LEAST_SCORE = 0.5
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known: not those without a letter, or of no clear language."""
+    small_batches(spark)
     predict = language.predictor(labelled_languages(docs))
     found = docs.select(F.struct(*docs.columns).alias("row"), predict(F.col("text")).alias("judged"))
     clear = (F.col("judged.lang_pred") != language.UNKNOWN) & (F.col("judged.score") >= LEAST_SCORE)
@@ -49,6 +50,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents with their rate in the mixture."""
+    small_batches(spark)
     return mixing.mix(docs, labelled_domains(docs, table(spark, sf_dir, "labels")), TARGETS)
 
 

@@ -16,9 +16,11 @@ from pyspark.sql import functions as F
 
 U64 = np.uint64
 #: Text that one numpy pass looks at; bounds the memory of a task whatever its batch holds.
-PASS_BYTES = 1 << 20
+PASS_BYTES = 1 << 18
 #: Rows of a batch whose texts are Python values at a time.
 SLICE_ROWS = 512
+#: Rows that Spark sends to a Python worker at a time, where texts are sent whole.
+BATCH_ROWS = 2_000
 
 _BYTE_FACTOR, _WORD_FACTOR = 0x9E3779B97F4A7C15, 0xD1B54A32D192ED03
 _SPACES = np.zeros(256, dtype=bool)
@@ -54,6 +56,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Lower the rows of an Arrow batch to ``BATCH_ROWS`` for this session, as both the JVM and the
+    Python worker of a task hold whole batches; a lower setting stays. Results don't depend on it."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, BATCH_ROWS)
+
+
 def text_bytes(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
     """The UTF-8 bytes of each value; null gives an empty value."""
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()
@@ -96,7 +106,7 @@ def _powers(factor: int, n: int) -> np.ndarray:
         have = np.full(size, factor, dtype=U64)
         have[0] = 1
         np.cumprod(have, out=have)
-        if size <= PASS_BYTES + (1 << 20):  # longer ones, for a very long text, are not kept
+        if size <= 4 * PASS_BYTES:  # longer ones, for a very long text, are not kept
             _POWERS[factor] = have
     return have[: n + 1]
 

@@ -9,8 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldspark.llm import chunking, language, lines, mixing, simhash, substrings, tiling, urls, warc, wrappers
-from fieldspark.llm.common import shared_folder, table
-
+from fieldspark.llm.common import shared_folder, small_batches, table
 
 
 def _held_out() -> Column:
@@ -38,6 +37,7 @@ def op1_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     documents = table(spark, sf_dir, "documents")
     labelled = labelled_domains(documents, table(spark, sf_dir, "labels"))
     return mixing.mix(documents.select("doc_id", "text"), labelled, TARGETS).drop("text")
@@ -69,6 +69,7 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     documents = table(spark, sf_dir, "documents")
     found = language.identify(documents.select("doc_id", "text"), labelled_languages(documents))
     return found.select("doc_id", _held_out().alias("held_out"), "lang_pred", "score")
