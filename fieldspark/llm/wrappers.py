@@ -8,18 +8,22 @@ much text they hold in and outside links, which tells the article from what surr
 page is then read by its place in the wrapper.
 
 A task counts skeletons, not pages, so inference sees all pages of a host however many there are, and
-moves no page. Only the wrappers are joined to the pages.
+moves no page. All skeletons of a host are aligned, in rounds that merge a bounded number of them, then
+of partial wrappers, in one task. Only the wrappers are sent to the pages.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldspark.llm.common import checkpointed
@@ -55,6 +59,8 @@ _NAMES = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]
 _SHOWN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?false)", re.I)
 _DEEPEST = 150
 _TEXT, _LINKED = "#", "a"
+#: Characters of wrappers that a task keeps parsed.
+_PARSED = 1 << 20
 _LONGEST_PATTERN = 3
 
 
@@ -180,16 +186,20 @@ def _aligned(a: list[Node], b: list[Node]) -> list[Node]:
     if [x.key for x in a] == [x.key for x in b]:
         return [_merged(x, y) for x, y in zip(a, b)]
     n, m = len(a), len(b)
-    best = [[0] * (m + 1) for _ in range(n + 1)]
-    for i in range(n - 1, -1, -1):
-        for j in range(m - 1, -1, -1):
-            best[i][j] = best[i + 1][j + 1] + 1 if a[i].key == b[j].key else max(best[i + 1][j], best[i][j + 1])
+    # Only keys that both have count; at_a and at_b are places among those.
+    shared = {x.key for x in a} & {x.key for x in b}
+    in_a, in_b = ([x.key for x in side if x.key in shared] for side in (a, b))
+    at_a, at_b = (list(accumulate((x.key in shared for x in side), initial=0)) for side in (a, b))
+    best = [[0] * (len(in_b) + 1) for _ in range(len(in_a) + 1)]
+    for i in range(len(in_a) - 1, -1, -1):
+        for j in range(len(in_b) - 1, -1, -1):
+            best[i][j] = best[i + 1][j + 1] + 1 if in_a[i] == in_b[j] else max(best[i + 1][j], best[i][j + 1])
     found, i, j = [], 0, 0
     while i < n or j < m:
         if i < n and j < m and a[i].key == b[j].key:
             found.append(_merged(a[i], b[j]))
             i, j = i + 1, j + 1
-        elif j == m or (i < n and best[i + 1][j] >= best[i][j + 1]):
+        elif j == m or (i < n and best[at_a[i + 1]][at_b[j]] >= best[at_a[i]][at_b[j + 1]]):
             a[i].optional = True
             found.append(a[i])
             i += 1
@@ -276,38 +286,52 @@ def _outside_article(node: Node) -> bool:
     return _hidden(node) and node.name not in ("html", "body", "article", "main")
 
 
-def main_slots(wrapper: Node) -> set[int]:
-    """The places, in order, of the text slots that hold the article.
+def _shown(wrapper: Node) -> list[tuple[int, Node, tuple[Node, ...]]]:
+    """The text slots outside menus, notices, forms and the like: place, slot, elements around it."""
+    return [(i, node, path) for i, (node, path) in enumerate(_walk(wrapper)) if not any(map(_outside_article, path))]
 
-    Slots in menus, notices, forms and the like are left out. The article is what article elements
-    hold, else elements named like one, else the main element; without any of these it is the
-    smallest element that holds seven tenths of the text outside links.
-    """
-    slots = [(i, node, path) for i, (node, path) in enumerate(_walk(wrapper)) if not any(map(_outside_article, path))]
 
-    def held(by) -> list[tuple[int, Node, tuple[Node, ...]]]:
-        return [s for s in slots if any(by(p) for p in s[2])]
+def _named_slots(wrapper: Node) -> set[int]:
+    """The places of the slots in article elements, else in elements named like one, else in the main
+    element; empty if none of these holds text."""
+    slots = _shown(wrapper)
 
     def named(p: Node) -> bool:
         return not _ARTICLE_NAMES.isdisjoint(p.key.split(".")[1:]) and p.name not in ("html", "body")
 
     for by in (lambda p: p.name == "article", named, lambda p: p.name == "main" or "main" in p.key.split(".")[1:]):
-        found = held(by)
+        found = [s for s in slots if any(by(p) for p in s[2])]
         if sum(s[1].chars for s in found):
             return {s[0] for s in found}
+    return set()
 
-    def weight(node: Node) -> int:
-        return sum(s[1].chars for s in slots if any(p is node for p in s[2]) and not any(p.name == _LINKED for p in s[2]))
 
+def _heaviest_slots(wrapper: Node) -> set[int]:
+    """The places of the slots in the smallest element that holds seven tenths of the text outside links."""
+    slots, weight = _shown(wrapper), Counter()
+    for _, slot, path in slots:
+        if not any(p.name == _LINKED for p in path):
+            for p in path:
+                weight[id(p)] += slot.chars
     at = wrapper
     while True:
-        least = 0.7 * weight(at)
-        inner = [c for c in at.children if c.key != _TEXT and not _outside_article(c) and weight(c) >= least > 0]
+        least = 0.7 * weight[id(at)]
+        inner = [c for c in at.children if c.key != _TEXT and not _outside_article(c) and weight[id(c)] >= least > 0]
         if not inner:
             return {s[0] for s in slots if any(p is at for p in s[2])}
         at = inner[0]
 
 
+def main_slots(wrapper: Node) -> set[int]:
+    """The places, in order, of the text slots that hold the article.
+
+    Slots in menus, notices, forms and the like are left out. The article is what article elements
+    hold, else elements named like one, else the main element; without any of these it is the
+    smallest element that holds seven tenths of the text outside links.
+    """
+    return _named_slots(wrapper) or _heaviest_slots(wrapper)
+
+
 def _skeleton(page: str) -> tuple[Node, list[str], str]:
     root, texts = parsed(page)
     root = folded(root)
@@ -318,78 +342,122 @@ def _clean(text: str) -> str:
     return " ".join(entities.unescape(text).split())
 
 
+def _lengths(root: Node, texts: list[str]) -> list[int]:
+    """The characters in each slot of a page."""
+    return [sum(len(texts[t]) for t in slot.texts) for slot, _ in _walk(root)]
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, skeleton, slot, pages, chars) of the pages of a batch."""
+    """(host, digest, slot, skeleton, pages, chars) of the pages of a batch. A skeleton and its pages stand
+    at slot -1 only; its digest stands for it elsewhere."""
     for batch in batches:
         counts: dict[tuple[str, str], list[int]] = {}
         for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             root, texts, skeleton = _skeleton(page or "")
-            chars = [sum(len(texts[t]) for t in slot.texts) for slot, _ in _walk(root)]
+            chars = _lengths(root, texts)
             held = counts.setdefault((host, skeleton), [0] * (len(chars) + 1))
             held[0] += 1
             for i, c in enumerate(chars, 1):
                 held[i] += c
-        rows = [(h, s, i - 1, held[0], c if i else 0) for (h, s), held in counts.items() for i, c in enumerate(held)]
+        rows = []
+        for (host, skeleton), (n, *chars) in counts.items():
+            digest = hashlib.blake2b(skeleton.encode(), digest_size=16).digest()
+            rows.append((host, digest, -1, skeleton, n, 0))
+            rows += [(host, digest, slot, None, 0, c) for slot, c in enumerate(chars)]
         if rows:
             columns = zip(*rows)
-            kinds = (pa.string(), pa.string(), pa.int32(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["host", "skeleton", "slot", "pages", "chars"])
+            kinds = (pa.string(), pa.binary(), pa.int32(), pa.string(), pa.int64(), pa.int64())
+            names = ["host", "digest", "slot", "skeleton", "pages", "chars"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+
+
+def _weighed(text: str, chars: list[int]) -> Node:
+    """A skeleton or wrapper with the characters in each of its slots."""
+    node = read(text)
+    for (leaf, _), c in zip(_walk(node), chars):
+        leaf.chars = c
+    return node
 
 
 def inferred(skeletons: list[tuple[str, list[int]]]) -> Node:
     """The wrapper of skeletons with the characters in each of their slots, aligned one by one."""
     wrapper = None
     for text, chars in skeletons:
-        node = read(text)
-        for slot, ((leaf, _), c) in enumerate(zip(_walk(node), chars)):
-            leaf.chars = c
+        node = _weighed(text, chars)
         wrapper = node if wrapper is None else _merged(wrapper, node)
     return wrapper
 
 
-def _placed(wrapper: str, chars: list[int], skeleton: str) -> set[int]:
-    """Which slots of a page's skeleton hold the article, by its place in the wrapper. Where the page
-    meets no slot of the wrapper's article, its own structure decides."""
-    known = read(wrapper)
-    for (leaf, _), c in zip(_walk(known), chars):
-        leaf.chars = c
-    page = read(skeleton)
+def _placed(known: Node, skeleton: str, chars: list[int]) -> tuple[set[int], bool]:
+    """Which slots of a page's skeleton hold the article, by its place in the wrapper, and whether names
+    alone decided, not lengths. The page's texts, of ``chars`` characters, weigh beside those of the
+    wrapper. Where the page meets no slot of the wrapper's article, its own structure decides."""
+    page = _weighed(skeleton, chars)
     for i, (leaf, _) in enumerate(_walk(page)):
         leaf.slots = [i]
     both = _merged(known, page)
-    main = main_slots(both)
+    named = _named_slots(both)
+    main = named or _heaviest_slots(both)
     found = {s for i, (leaf, _) in enumerate(_walk(both)) if i in main for s in leaf.slots}
-    if not found:
-        page = read(skeleton)
-        for leaf, _ in _walk(page):
-            leaf.chars = 1
-        found = main_slots(page)
-    return found
+    if found:
+        return found, bool(named)
+    page = _weighed(skeleton, chars)
+    own = _named_slots(page)
+    return own or _heaviest_slots(page), bool(named and own)
+
+
+_PARTIAL = "host string, part bigint, parts bigint, wrapper string, chars array<bigint>, pages bigint"
+
+
+def _partial(key: tuple, ranked: list[tuple[int, str, list[int]]]) -> pa.Table:
+    """A row of ``_PARTIAL`` from (pages, skeleton or wrapper, characters), aligned most pages first."""
+    wrapper = inferred([(text, chars) for _, text, chars in sorted(ranked, key=lambda r: (-r[0], r[1]))])
+    host, part, parts = (k.as_py() for k in key)
+    return pa.table({
+        "host": pa.array([host], pa.string()), "part": pa.array([part], pa.int64()), "parts": pa.array([parts], pa.int64()),
+        "wrapper": pa.array([written(wrapper)], pa.string()), "chars": pa.array([[leaf.chars for leaf, _ in _walk(wrapper)]], pa.list_(pa.int64())),
+        "pages": pa.array([sum(r[0] for r in ranked)], pa.int64()),
+    })
+
+
+def _of_skeletons(key: tuple, rows: pa.Table) -> pa.Table:
+    held: dict[bytes, dict[int, int]] = {}
+    texts: dict[bytes, tuple[int, str]] = {}
+    for digest, slot, skeleton, n, chars in zip(*(rows[c].to_pylist() for c in ("digest", "slot", "skeleton", "pages", "chars"))):
+        of_digest = held.setdefault(digest, {})
+        if slot < 0:
+            texts[digest] = (n, skeleton)
+        else:
+            of_digest[slot] = chars
+    return _partial(key, [(*texts[d], [c for _, c in sorted(slots.items())]) for d, slots in held.items()])
 
 
-def infer_wrappers(pages: DataFrame, *, most_skeletons: int = 64, most_rows: int = 8_192) -> DataFrame:
-    """(host, wrapper, chars) for (host, html): a wrapper and the characters each of its slots holds.
+def _of_partials(key: tuple, rows: pa.Table) -> pa.Table:
+    return _partial(key, list(zip(*(rows[c].to_pylist() for c in ("pages", "wrapper", "chars")))))
 
-    Inference is fitted to the ``most_skeletons`` most frequent skeletons of a host, in at most
-    ``most_rows`` slots; all pages are counted, and all are later read.
-    """
-    counted = pages.mapInArrow(_counted, "host string, skeleton string, slot int, pages bigint, chars bigint")
-    sums = counted.groupBy("host", "skeleton", "slot").agg(F.sum("pages").alias("pages"), F.sum("chars").alias("chars"))
-    order = Window.partitionBy("host").orderBy(F.desc("pages"), "skeleton", "slot")
-    top = sums.withColumn("at", F.row_number().over(order)).where(F.col("at") <= most_rows).drop("at")
 
-    def aligned(key, rows):
-        held: dict[tuple, dict[int, int]] = {}
-        for skeleton, slot, n, chars in zip(*(rows[c].to_pylist() for c in ("skeleton", "slot", "pages", "chars"))):
-            held.setdefault((-n, skeleton), {})[slot] = chars
-        chosen = sorted(held)[:most_skeletons]
-        wrapper = inferred([(k[1], [c for s, c in sorted(held[k].items()) if s >= 0]) for k in chosen])
-        return pa.table({
-            "host": pa.array([key[0].as_py()], pa.string()), "wrapper": pa.array([written(wrapper)], pa.string()),
-            "chars": pa.array([[leaf.chars for leaf, _ in _walk(wrapper)]], pa.list_(pa.int64())),
-        })
+def infer_wrappers(pages: DataFrame, *, fan_in: int = 64) -> DataFrame:
+    """(host, wrapper, chars) for (host, html): a wrapper and the characters each of its slots holds.
 
-    return top.groupBy("host").applyInArrow(aligned, "host string, wrapper string, chars array<bigint>")
+    All skeletons of a host are aligned, the most frequent first where they are up to ``fan_in``. More are
+    dealt by hash to parts of about that many, whose wrappers are merged in the same way, round by
+    round, until one is left.
+    """
+    counted = pages.mapInArrow(_counted, "host string, digest binary, slot int, skeleton string, pages bigint, chars bigint")
+    sums = checkpointed(
+        counted.groupBy("host", "digest", "slot").agg(F.max("skeleton").alias("skeleton"), F.sum("pages").alias("pages"), F.sum("chars").alias("chars"))
+    )
+    many = sums.where("slot = -1").groupBy("host").agg(F.ceil(F.count(F.lit(1)) / fan_in).alias("parts")).where("parts > 1")
+    dealt = sums.join(checkpointed(many), "host", "left").withColumn("parts", F.coalesce("parts", F.lit(1).cast("bigint")))
+    part = F.pmod(F.xxhash64("digest"), "parts").alias("part")
+    first = dealt.select("host", part, "parts", "digest", "slot", "skeleton", "pages", "chars")
+    found = checkpointed(first.groupBy("host", "part", "parts").applyInArrow(_of_skeletons, _PARTIAL))
+    while not (rest := found.where("parts > 1")).isEmpty():
+        parts = F.ceil(F.col("parts") / fan_in)
+        fewer = rest.select("host", F.pmod("part", parts).alias("part"), parts.alias("parts"), "wrapper", "chars", "pages")
+        merged = fewer.groupBy("host", "part", "parts").applyInArrow(_of_partials, _PARTIAL)
+        found = checkpointed(found.where("parts = 1").unionByName(merged))
+    return found.select("host", "wrapper", "chars")
 
 
 def extract(
@@ -404,21 +472,36 @@ def extract(
     tasks only if they measure up to ``broadcast_bytes``, otherwise joined by host.
     """
     named = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host_of(F.col(url_col)).alias("host"))
-    wrappers = checkpointed(infer_wrappers(named.select("host", "html")))
+    wrappers = infer_wrappers(named.select("host", "html"))
     size = wrappers.agg(F.sum(F.length("host") + F.length("wrapper") + 8 * F.size("chars"))).first()[0] or 0
-    joined = named.join(F.broadcast(wrappers) if size <= broadcast_bytes else wrappers, "host").select("id", "url", "html", "host", "wrapper", "chars")
+    if size <= broadcast_bytes:
+        shared = pages.sparkSession.sparkContext.broadcast({r.host: (r.wrapper, r.chars) for r in wrappers.collect()})
+        joined = named
+    else:
+        shared, joined = None, named.join(wrappers, "host").select("id", "url", "html", "host", "wrapper", "chars")
 
     def read_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[tuple[str, str], set[int]] = {}
+        settled: dict[tuple[str, str], set[int]] = {}
+        parsed_of: dict[str, Node] = {}
+        length = 0
         for batch in batches:
             found = []
-            for page, host, wrapper, chars in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4, 5))):
+            for at, (page, host) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
                 root, texts, skeleton = _skeleton(page or "")
-                if len(known) > 20_000:
-                    known.clear()
-                main = known.get((host, skeleton))
+                main = settled.get((host, skeleton))
                 if main is None:
-                    main = known[host, skeleton] = _placed(wrapper, chars, skeleton)
+                    if host not in parsed_of:
+                        wrapper, chars = shared.value[host] if shared else (batch.column(i)[at].as_py() for i in (4, 5))
+                        length += len(wrapper)
+                        if length > _PARSED:
+                            parsed_of.clear()
+                            length = len(wrapper)
+                        parsed_of[host] = _weighed(wrapper, chars)
+                    main, by_names = _placed(parsed_of[host], skeleton, _lengths(root, texts))
+                    if by_names:
+                        if len(settled) > 20_000:
+                            settled.clear()
+                        settled[host, skeleton] = main
                 chosen = sorted(t for i, (slot, _) in enumerate(_walk(root)) if i in main for t in slot.texts)
                 found.append(" ".join(c for t in chosen if (c := _clean(texts[t]))))
             yield pa.record_batch({

@@ -119,6 +119,38 @@ def test_wrappers_have_groups_options_and_slots():
     assert wrappers.written(wrappers.read(wrappers.written(wrapper))) == wrappers.written(wrapper)
 
 
+def rare_articles():
+    """A host of 140 listings in 70 frequent skeletons and 20 articles, each of its own skeleton."""
+    name = lambda i: "".join("abcdefghij"[int(d)] for d in str(i))
+    teaser = f"<div class='box'><p>{'read on ' * 40}</p>{{}}</div>"
+    listing = [page(teaser.format(f"<h3 class='x{name(i % 70)}'>item</h3><p>{'words of a list ' * 20}</p>")) for i in range(140)]
+    article = [page(teaser.format("") + f"<article><h1 class='z{name(i)}'>title</h1><p>text {i}</p></article>") for i in range(20)]
+    return [(i, f"http://l.x/{i}", html) for i, html in enumerate(listing + article)]
+
+
+@pytest.mark.parametrize("broadcast_bytes", [8 << 20, 0])
+def test_rare_skeletons_count_in_the_wrapper(spark, broadcast_bytes):
+    got = {r.page_id: r.text for r in wrappers.extract(pages(spark, rare_articles()), broadcast_bytes=broadcast_bytes).collect()}
+    assert [got[140 + i] for i in range(20)] == [f"title text {i}" for i in range(20)]
+
+
+def test_partial_wrappers_hold_all_text(spark):
+    rows = rare_articles()
+    html = pages(spark, [*rows, (1000, "http://m.x/", page("<p>one"))]).select(F.split("url", "/")[2].alias("host"), "html")
+    length = sum(len(t) for _, _, h in rows for t in wrappers.parsed(h)[1])
+    for fan_in in (3, 64):
+        got = {r.host: r for r in wrappers.infer_wrappers(html, fan_in=fan_in).collect()}
+        assert set(got) == {"l.x", "m.x"} and sum(got["l.x"].chars) == length
+        assert all(f"<h1.z{c}>" in got["l.x"].wrapper for c in "abcdefghij")
+
+
+def test_a_page_weighs_its_own_texts():
+    skeleton = wrappers._skeleton("<div><p>x</div><table><td>y</table>")[2]
+    known = wrappers.inferred([(skeleton, [0, 0])])
+    assert wrappers._placed(known, skeleton, [1, 99]) == ({1}, False)
+    assert wrappers._placed(known, skeleton, [99, 1]) == ({0}, False)
+
+
 def test_fingerprints_of_neighbours(spark):
     rows = [r for r in texts() if r[0] is not None]
     order = sorted(set(rows), key=lambda r: (-r[0], r[1] or ""))
