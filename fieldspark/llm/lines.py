@@ -8,10 +8,12 @@ interval of the suffix array whose longest common prefix is d or more; two overl
 it exactly. The first place of an interval stays, the later ones are copies; the lines of adjoining
 copies make up the maximal repeated runs.
 
-Only runs of ``min_chars`` characters or more count. A line belongs to such a run if and only if
-the shortest block that reaches ``min_chars`` from some line on, or up to some line, covers it and
-is a copy. So two blocks a line decide, and no block has more than ``min_chars`` lines, which
-bounds the number of doublings.
+A run counts however short it is, if it holds a line with more than white space: blank lines alone
+are no text. A caller may ask for runs of ``min_chars`` characters or more instead. A line belongs to
+a run that counts if and only if the shortest block that counts from some line on, or up to some
+line, covers it and is a copy: any longer run is made of such blocks. So two blocks a line decide,
+and the doubling goes on up to the longest of them that the documents have; more lines cannot change
+what is deleted.
 """
 
 from __future__ import annotations
@@ -30,13 +32,14 @@ _LINES = "array<struct<k:bigint,c:int,n:int>>"
 _REMOVED = "_removed_lines"
 
 
-def _numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Different (id, text) with hashes and lengths of their lines and ``start``, the place of the
-    first line in the sequence of all documents."""
+def _numbered(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
+    """Different (id, text) with hashes and weights of their lines and ``start``, the place of the
+    first line in the sequence of all documents. A line weighs its characters and its line end; without
+    ``min_chars``, 1 if it is not blank."""
     kind = dict(docs.dtypes)[id_col]
     lines = F.transform(
         F.split(F.col(text_col), "\n"),
-        lambda x: F.struct(F.xxhash64(x).alias("k"), F.hash(x).alias("c"), F.char_length(x).alias("n")),
+        lambda x: F.struct(F.xxhash64(x).alias("k"), F.hash(x).alias("c"), (F.char_length(x) + 1 if min_chars else x.rlike(r"\S").cast("int")).alias("n")),
     )
     base = (
         docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("body"), F.coalesce(lines, F.array().cast(_LINES)).alias("lines"))
@@ -67,11 +70,11 @@ def _numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return local.join(F.broadcast(before), "part").select("id", "body", "lines", (F.col("start") + F.col("before")).alias("start"))
 
 
-def _blocks_of(chars: np.ndarray, least: int) -> list[tuple[int, int]]:
-    """(first line, lines) of the shortest blocks of ``least`` characters from each line on and up
-    to each line; a line counts its line end as a character."""
-    sums = np.concatenate([[0], np.cumsum(chars + 1)])
-    n = len(chars)
+def _blocks_of(weights: np.ndarray, least: int) -> list[tuple[int, int]]:
+    """(first line, lines) of the shortest blocks that weigh ``least`` from each line on and up to
+    each line."""
+    sums = np.concatenate([[0], np.cumsum(weights)])
+    n = len(weights)
     ends = np.searchsorted(sums, sums[:-1] + least)
     firsts = np.searchsorted(sums, sums[1:] - least, side="right") - 1
     forward = [(i, int(e) - i) for i, e in enumerate(ends) if e <= n]
@@ -84,8 +87,8 @@ def _blocks(base: DataFrame, least: int) -> DataFrame:
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            starts, chars = batch.column(0).to_pylist(), batch.column(1)
-            limits, values = chars.offsets.to_numpy(), chars.values.to_numpy()
+            starts, weights = batch.column(0).to_pylist(), batch.column(1)
+            limits, values = weights.offsets.to_numpy(), weights.values.to_numpy()
             for i, start in enumerate(starts):
                 blocks = _blocks_of(values[limits[i] : limits[i + 1]].astype(np.int64), least)
                 if blocks:
@@ -136,18 +139,19 @@ def doubled(lines: DataFrame, depth: int) -> Iterator[tuple[int, DataFrame]]:
         ranks = _ranked(ranks.withColumnRenamed("rank", "a").join(later, "place"))
 
 
-def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, min_chars: int = 40) -> DataFrame:
+def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, min_chars: int = 0) -> DataFrame:
     """(id, body, ``removed``) of each document that loses lines: their sorted indexes.
 
     ``body`` is the ``xxhash64`` of the text, as ids may repeat.
     """
-    base = checkpointed(_numbered(docs, id_col, text_col))
+    base = checkpointed(_numbered(docs, id_col, text_col, min_chars))
     lines = base.select("start", F.posexplode("lines").alias("i", "line")).select(
         (F.col("start") + F.col("i")).alias("place"), F.col("line.k").alias("a"), F.col("line.c").cast("bigint").alias("b")
     )
-    blocks = checkpointed(_blocks(base, min_chars))
+    blocks = checkpointed(_blocks(base, max(1, min_chars)))
+    longest = blocks.agg(F.max("size")).first()[0] or 0
     named = None
-    for d, ranks in doubled(lines, min_chars):
+    for d, ranks in doubled(lines, longest):
         of_size = blocks.where(F.col("size").between(d, 2 * d - 1)).withColumn("last", F.col("place") + F.col("size") - d)
         heads = of_size.join(ranks.withColumnRenamed("rank", "a"), "place")
         if d == 1:
@@ -163,7 +167,10 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         named.groupBy("size", "a", "b").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     )
     copies = checkpointed(named.join(firsts, ["size", "a", "b"]).where("place > first").select("place", "start", "size"))
-    gone = copies.select("start", F.explode(F.sequence(F.col("place") - F.col("start"), F.col("place") - F.col("start") + F.col("size") - 1)).alias("i"))
+    # Blocks over a gap of blank lines are nested: one from each first line and one up to each last are enough.
+    spans = copies.select("start", (F.col("place") - F.col("start")).alias("i"), (F.col("place") - F.col("start") + F.col("size") - 1).alias("j"))
+    spans = spans.groupBy("start", "i").agg(F.max("j").alias("j")).groupBy("start", "j").agg(F.min("i").alias("i"))
+    gone = spans.select("start", F.explode(F.sequence("i", "j")).alias("i"))
     per_doc = gone.groupBy("start").agg(F.array_sort(F.collect_set(F.col("i").cast("int"))).alias("removed"))
     return base.select("id", "body", "start").join(per_doc, "start").select("id", "body", "removed")
 
@@ -179,11 +186,13 @@ def _without(text: pd.Series, removed: pd.Series) -> pd.Series:
 
 
 def remove_repeated_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, min_chars: int = 40
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, min_chars: int = 0
 ) -> DataFrame:
-    """Delete later copies of repeated line runs of ``min_chars`` characters or more.
+    """Delete later copies of repeated line runs, of any length: a single short line is one.
 
-    Lines are the parts between line feeds, and each counts its line feed as a character. Of equal
+    Lines are the parts between line feeds. Runs of blank lines alone stay; within a longer run blank
+    lines go with it. With ``min_chars``, only runs of that many characters go, where each line counts
+    its line feed as a character, and blank lines are as any other. Of equal
     runs the first stays, in order of id (nulls first), ``xxhash64`` of the text, and line; a run
     may overlap its own copy. Gives all columns with the text without the deleted lines, and two
     more: ``n_lines`` and ``n_removed``. A null text has no lines and stays null, an empty one has one

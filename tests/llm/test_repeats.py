@@ -105,6 +105,40 @@ def test_later_copies_of_line_runs_go(spark, least):
     assert any(r[3] for r in wanted)
 
 
+def test_short_copies_go_and_blank_lines_stay(spark):
+    rows = [
+        (1, "All rights reserved.\n\nfirst own line\nyes"), (2, "second own line\n\nAll rights reserved."), (3, "yes\nthird own line\n \n \nyes"),
+        (4, "x\n\n\ny\nfourth own line"), (5, "fifth own line\nx\n\n\ny\n\nz"), (6, "\n\n"), (7, ""), (8, None), (9, "a\na\na"),
+        (10, "\n" * 50 + "yes"), (11, "b" + "\n" * 50 + "yes"),
+    ]
+    got = {r.doc_id: (r.text, r.n_lines, r.n_removed) for r in lines.remove_repeated_lines(documents(spark, rows)).collect()}
+    assert got == {
+        1: (rows[0][1], 4, 0), 2: ("second own line\n", 3, 1), 3: ("third own line\n \n ", 5, 2), 4: (rows[3][1], 5, 0),
+        5: ("fifth own line\n\nz", 7, 4), 6: ("\n\n", 3, 0), 7: ("", 1, 0), 8: (None, 0, 0), 9: ("a", 3, 2),
+        10: ("\n" * 49, 51, 1), 11: ("b", 51, 50),
+    }
+
+
+def test_short_copies_follow_the_definition(spark):
+    """Every later line of a run that repeats and is not all blank goes, by the longest earlier match at each line."""
+    rng = np.random.default_rng(2)
+    rows = [(i, "\n".join(rng.choice(["a", "", " ", "bc", f"own {i}", "d e"], 12).tolist())) for i in range(30)]
+    everything = [(d, i, x) for d, t in rows for i, x in enumerate([*t.split("\n"), None])]
+    gone = defaultdict(set)
+    for p, (d, i, _) in enumerate(everything):
+        for q in range(p):
+            n = 0
+            while p + n < len(everything) and everything[p + n][2] is not None and everything[q + n][2] == everything[p + n][2]:
+                n += 1
+            if any(everything[p + k][2].strip() for k in range(n)):
+                gone[d] |= set(range(i, i + n))
+    got = lines.remove_repeated_lines(documents(spark, rows)).collect()
+    for r in got:
+        split = dict(rows)[r.doc_id].split("\n")
+        assert r.text == "\n".join(x for k, x in enumerate(split) if k not in gone[r.doc_id])
+        assert r.n_removed == len(gone[r.doc_id])
+
+
 def test_no_documents_no_lines(spark):
     assert lines.remove_repeated_lines(documents(spark, [])).collect() == []
 
