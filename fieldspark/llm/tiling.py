@@ -6,6 +6,9 @@ common run of unmarked tokens is marked again and again until none of ``min_matc
 the marked share of the item is its coverage. The tiles may lie in any order, so a passage whose
 sentences were moved is still covered.
 
+An item of fewer tokens is one seed: it is found whole or not at all. In scripts without spaces every
+character is a token.
+
 Seeds are compared by Karp-Rabin hashes of token hashes, and every seed that agrees token by token.
 """
 
@@ -21,11 +24,17 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldspark.llm.common import U64, passes, range_hashes, slices, text_bytes, window_hashes, word_spans
+from fieldspark.llm.common import U64, passes, range_hashes, slices, text_bytes, window_hashes
 
 _ASCII_TOKEN = np.zeros(256, dtype=bool)
 _ASCII_TOKEN[[*b"0123456789abcdefghijklmnopqrstuvwxyz_", *range(0x80, 0x100)]] = True
 _FILTER_BITS = 20
+# Code points of scripts written without spaces between words, from and up to (Thai, Lao, Tibetan, Myanmar, Khmer,
+# Tai and Javanese scripts, kana, Han and its extensions).
+_UNSPACED = (
+    (0x0E00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19DF), (0x19E0, 0x1AAF), (0x2E80, 0x2FDF), (0x3040, 0x312F), (0x31A0, 0x31FF),
+    (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xA980, 0xA9DF), (0xAA60, 0xAADF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x1AFF0, 0x1B16F), (0x20000, 0x3FFFF),
+)
 
 
 def token_bytes(data: np.ndarray) -> np.ndarray:
@@ -40,11 +49,38 @@ def token_bytes(data: np.ndarray) -> np.ndarray:
     return token
 
 
+def single_characters(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the characters of UTF-8 text that are tokens by themselves."""
+    starts, ends = [], []
+    for low, high, length, kept in ((0xE0, 0xEF, 3, 0x0F), (0xF0, 0xF4, 4, 0x07)):
+        at = np.flatnonzero((data >= low) & (data <= high))
+        at = at[at + length <= len(data)]
+        code = (data[at] & kept).astype(np.uint32)
+        for i in range(1, length):
+            code = code << 6 | data[at + i] & 0x3F
+        single = np.zeros(len(at), dtype=bool)
+        for first, last in _UNSPACED:
+            single |= (code >= first) & (code <= last)
+        starts.append(at[single])
+        ends.append(at[single] + length)
+    return np.concatenate(starts), np.concatenate(ends)
+
+
+def token_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the tokens of lower-case UTF-8 text, in order."""
+    token = np.concatenate([[False], token_bytes(data), [False]])
+    cut = np.zeros(len(token) - 1, dtype=bool)  # before which bytes one token ends and another may start
+    for edges in single_characters(data):
+        cut[edges] = True
+    before, after = token[:-1], token[1:]
+    return np.flatnonzero(after & (cut | ~before)), np.flatnonzero(before & (cut | ~after))
+
+
 def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the tokens of lower-case texts, and the index of each text's first token, with the
     number of tokens at the end."""
     data = np.frombuffer(b" ".join(texts) + b" ", dtype=np.uint8)
-    starts, ends = word_spans(data, token_bytes(data))
+    starts, ends = token_spans(data)
     limits = np.cumsum([len(t) + 1 for t in texts])
     return range_hashes(data, starts, ends), np.concatenate([[0], np.searchsorted(starts, limits)])
 
@@ -88,43 +124,58 @@ def tiles(item: np.ndarray, doc: np.ndarray, seeds: list[tuple[int, int]], min_m
     return found
 
 
-class Index:
-    """Seeds of benchmark items, with a bit table that rules most runs of a text out."""
+class _Seeds:
+    """Places of the seeds of one size, with a bit table that rules most runs of a text out."""
 
-    def __init__(self, ids: list, texts: list[bytes], min_match: int):
-        self.ids, self.min_match = ids, min_match
-        hashes, starts = tokens(texts)
-        self.items = [hashes[a:b] for a, b in zip(starts, starts[1:])]
-        places = [
-            (h, item, at)
-            for item, words in enumerate(self.items)
-            for at, h in enumerate(window_hashes(words, min(min_match, max(1, len(words)))).tolist())
-            if len(words) >= min_match
-        ]
+    def __init__(self, size: int, places: list[tuple[int, int, int]]):
+        self.size = size
         places.sort()
         self.hashes = np.array([p[0] for p in places], dtype=U64)
         self.places = [p[1:] for p in places]
         self.table = np.zeros(1 << _FILTER_BITS, dtype=bool)
         self.table[self.hashes >> U64(64 - _FILTER_BITS)] = True
 
-    def coverage(self, texts: list[bytes]) -> Iterator[dict[int, float]]:
-        """For each text, the marked share of every item that shares a seed with it."""
-        hashes, starts = tokens(texts)
-        windows = window_hashes(hashes, self.min_match)
+    def met(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where runs of the tokens have a seed's hash, and which seeds: the first and the one past the last."""
+        windows = window_hashes(hashes, self.size)
         maybe = np.flatnonzero(self.table[windows >> U64(64 - _FILTER_BITS)])
         first = np.searchsorted(self.hashes, windows[maybe], side="left")
         last = np.searchsorted(self.hashes, windows[maybe], side="right")
         real = last > first
-        maybe, first, last = maybe[real], first[real], last[real]
-        for start, stop, lo, hi in zip(starts, starts[1:], np.searchsorted(maybe, starts), np.searchsorted(maybe, starts[1:])):
+        return maybe[real], first[real], last[real]
+
+
+class Index:
+    """Seeds of benchmark items: runs of ``min_match`` tokens, and whole items that are shorter."""
+
+    def __init__(self, ids: list, texts: list[bytes], min_match: int):
+        self.ids, self.min_match = ids, min_match
+        hashes, starts = tokens(texts)
+        self.items = [hashes[a:b] for a, b in zip(starts, starts[1:])]
+        places: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
+        for item, words in enumerate(self.items):
+            if size := min(min_match, len(words)):
+                places[size] += [(h, item, at) for at, h in enumerate(window_hashes(words, size).tolist())]
+        self.seeds = [_Seeds(size, places[size]) for size in sorted(places)]
+
+    def coverage(self, texts: list[bytes]) -> Iterator[dict[int, float]]:
+        """For each text, the marked share of every item that shares a seed with it."""
+        hashes, starts = tokens(texts)
+        met = []
+        for of_size in self.seeds:
+            at, first, last = of_size.met(hashes)
+            met.append((of_size, at, first, last, np.searchsorted(at, starts)))
+        for text, (start, stop) in enumerate(zip(starts, starts[1:])):
             seeds: dict[int, list[tuple[int, int]]] = defaultdict(list)
-            for at, a, b in zip(maybe[lo:hi].tolist(), first[lo:hi].tolist(), last[lo:hi].tolist()):
-                if at + self.min_match <= stop:
-                    for item, place in self.places[a:b]:
-                        if (self.items[item][place : place + self.min_match] == hashes[at : at + self.min_match]).all():
-                            seeds[item].append((place, at - int(start)))
+            for of_size, places, first, last, limits in met:
+                size, (lo, hi) = of_size.size, limits[text : text + 2]
+                for at, a, b in zip(places[lo:hi].tolist(), first[lo:hi].tolist(), last[lo:hi].tolist()):
+                    if at + size <= stop:
+                        for item, place in of_size.places[a:b]:
+                            if (self.items[item][place : place + size] == hashes[at : at + size]).all():
+                                seeds[item].append((place, at - int(start)))
             yield {
-                item: sum(t[2] for t in tiles(self.items[item], hashes[start:stop], found, self.min_match)) / len(self.items[item])
+                item: sum(t[2] for t in tiles(self.items[item], hashes[start:stop], found, min(self.min_match, len(self.items[item])))) / len(self.items[item])
                 for item, found in seeds.items()
             }
 
@@ -161,8 +212,9 @@ def contamination(
     ``min_match`` tokens or more cover), ``item_ids`` (the sorted ids of the items covered to
     ``threshold`` or more) and ``contaminated`` (whether there is one).
 
-    Tokens are lower-case runs as in ``token_bytes``. A null, empty or token-less text shares nothing.
-    Items shorter than ``min_match`` tokens cannot be found; null items and ids are passed over.
+    Tokens are lower-case runs as in ``token_bytes``, or single characters of scripts without spaces. A
+    null, empty or token-less text shares nothing. An item shorter than ``min_match`` tokens is covered
+    by its whole token sequence; null items and ids are passed over.
     Ties between tiles go to the first place. Repeated rows get equal results. An empty benchmark
     contaminates nothing. Every block of ``block_bytes`` of the benchmark is sent to all tasks and
     meets all documents, so a benchmark of any size is held against them whole.

@@ -272,3 +272,26 @@ def test_tiles_cover_reordered_passages(spark):
     assert got[0].contaminated and got[1].contaminated
     empty = tiling.contamination(docs, benchmark.limit(0)).collect()
     assert len(empty) == len(texts) and not any(r.contaminated for r in empty)
+
+
+def test_short_items_and_unspaced_scripts_are_found(spark):
+    items = [(1, "forty-two"), (2, "Paris"), (3, "天地玄黄，宇宙洪荒。"), (4, "東京タワーはどこですか"), (5, "ภาษาไทย ง่าย"), (6, "。、…"), (7, "a b c d e f"), (8, "𠮷野家")]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    wanted = {
+        "it is forty two": [1], "two forty": [], "forty": [], "in PARIS, now": [2], "parisian": [], "他说天地玄黄，宇宙洪荒。是": [3], "天地 玄黄": [],
+        "昨日、東京タワーはどこでした": [4], "เรียนภาษาไทยง่าย": [5], "a b c d": [], "x a b c d e": [7], "行く𠮷野家へ": [8], "": [], "。、…": [], "é": [],
+    }
+    docs = documents(spark, list(enumerate(wanted)))
+    for block_bytes in (1 << 20, 20):
+        got = tiling.contamination(docs, benchmark, block_bytes=block_bytes).collect()
+        assert {r.text: r.item_ids for r in got} == wanted
+
+
+def test_token_spans_follow_the_definition():
+    single = "[\u0e00-\u109f\u3040-\u312f\u3400-\u4dbf\u4e00-\u9fff\U00020000-\U0003ffff]"
+    token = re.compile(f"{single}|(?:(?!{single})[0-9a-z_\u00c0-\u1fff\u2070-\u2fff\u3040-\U0010ffff])+")
+    rng = np.random.default_rng(6)
+    for _ in range(50):
+        text = "".join(rng.choice(list("ab9_ .,é語東タไ𠮷😀한글，。\u00a0"), 40).tolist())
+        starts, ends = tiling.token_spans(np.frombuffer(text.encode() + b" ", dtype=np.uint8))
+        assert [text.encode()[a:b].decode() for a, b in zip(starts, ends)] == token.findall(text)
