@@ -20,6 +20,11 @@ def _held_out() -> Column:
 #: Wanted tokens of each domain, as shares of the corpus's tokens.
 TARGETS = {"good": 0.95, "poor": 0.05, "toxic": 0.0}
 
+#: Rules of the url filter: verdict, and host with path prefix.
+RULES = [
+    ("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"),
+]
+
 
 def labelled_domains(documents: DataFrame, labels: DataFrame, most: int = 8_000) -> DataFrame:
     """(text, domain) of labelled documents: toxic ones, and others by their quality.
