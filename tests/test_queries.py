@@ -9,7 +9,7 @@ from fieldspark.operators import lookup as lookups
 from fieldspark.plans.job import RawFiles, build_marts, build_staging
 from fieldspark.sources.tables import Warehouse
 from workload.compare import connect, differences
-from workload.queries import SETTINGS
+from workload.queries import REGISTRY, SETTINGS
 from workload.raw_tables import RawTables
 
 SF = "/root/testdata/sf0.001"
@@ -22,10 +22,11 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+    assert set(REGISTRY) <= set(entry_point.queries())
+    assert set(REGISTRY) <= set(entry_point.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_query_equals_its_sql(spark, con, name):
     df = entry_point.queries()[name](spark, SF)
     assert differences(df, con, entry_point.oracle_sql()[name]) == []
