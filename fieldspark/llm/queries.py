@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldspark.llm import chunking, language, lines, mixing, simhash, substrings, tiling, urls, warc, wrappers
+from fieldspark.llm import bpe, chunking, language, lines, mixing, simhash, substrings, tiling, urls, warc, wrappers
 from fieldspark.llm.common import shared_folder, small_batches, table
 
 
@@ -91,6 +91,17 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiling.contamination(documents.select("doc_id", "text"), benchmark).drop("text")
 
 
+def op12_bpe_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    small_batches(spark)
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.round_trip(documents, public_tokenizers.path("byte_bpe_50k.json")).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_revisits": op1_warc_revisits,
     "op2_source_mixing": op2_source_mixing,
@@ -102,4 +113,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_line_dedup": op9_line_dedup,
     "op10_decontamination": op10_decontamination,
+    "op12_bpe_tokens": op12_bpe_tokens,
 }

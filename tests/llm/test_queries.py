@@ -17,7 +17,7 @@ ROW_FOR_ROW = {
     "op1_warc_revisits": "pages", "op2_source_mixing": "documents", "op3_substring_dedup": "documents",
     "op4_html_extraction": "pages", "op5_fingerprints": "documents", "op6_url_filter": "pages",
     "op7_language_id": "documents", "op8_simhash": "documents", "op9_line_dedup": "documents",
-    "op10_decontamination": "documents",
+    "op10_decontamination": "documents", "op12_bpe_tokens": "documents",
 }
 
 
