@@ -38,4 +38,41 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM coded WINDOW same AS (PARTITION BY h)
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_warc_revisits": _REVISITS, "op3_substring_dedup": _REPEATS}
+_COLLOCATIONS = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p
+    FROM documents
+), words AS (
+    SELECT lang, list_filter(regexp_split_to_array(p, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces
+), grams AS (
+    SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+    FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, (VALUES (1), (2), (3)) AS sizes(k))
+), counts AS (
+    SELECT lang, k, phrase, count(*)::BIGINT AS f FROM grams GROUP BY lang, k, phrase
+), totals AS (
+    SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE k = 1 GROUP BY lang
+), candidates AS (
+    SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE k > 1 AND f >= 10
+), absorbed AS (
+    SELECT s.lang, s.phrase FROM candidates AS s JOIN (
+        SELECT lang, a, array_to_string(w[1:2], ' ') AS part FROM candidates WHERE k = 3
+        UNION ALL SELECT lang, a, array_to_string(w[2:3], ' ') FROM candidates WHERE k = 3
+    ) AS g ON g.lang = s.lang AND g.part = s.phrase WHERE s.k = 2 AND 100 * g.a >= 50 * s.a
+), cuts AS (
+    SELECT lang, k, phrase, a, c, array_to_string(w[1:c], ' ') AS head, array_to_string(w[c + 1:k], ' ') AS tail
+    FROM (SELECT *, unnest(range(1, k)) AS c FROM candidates) WHERE (lang, phrase) NOT IN (SELECT lang, phrase FROM absorbed)
+), scored AS (
+    SELECT cuts.lang, cuts.phrase, a, c, h.f AS l, t.f AS r, ((1000000::HUGEINT * a * a) // (h.f::HUGEINT * t.f))::BIGINT AS score
+    FROM cuts JOIN counts AS h ON h.lang = cuts.lang AND h.phrase = head JOIN counts AS t ON t.lang = cuts.lang AND t.phrase = tail
+), best AS (
+    SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)::BIGINT AS rank FROM best
+)
+SELECT ranked.lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals ON totals.lang = ranked.lang WHERE rank <= 2000
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_warc_revisits": _REVISITS, "op3_substring_dedup": _REPEATS, "op13_collocations": _COLLOCATIONS,
+}

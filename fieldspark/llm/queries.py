@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldspark.llm import bpe, chunking, language, lines, mixing, simhash, substrings, tiling, urls, warc, wrappers
+from fieldspark.llm import bpe, chunking, language, lines, mixing, phrases, simhash, substrings, tiling, urls, warc, wrappers
 from fieldspark.llm.common import shared_folder, small_batches, table
 
 
@@ -102,6 +102,11 @@ def op12_bpe_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return phrases.collocations(table(spark, sf_dir, "documents"), least=10, longest=3, absorbed_percent=50, per_language=2_000)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_revisits": op1_warc_revisits,
     "op2_source_mixing": op2_source_mixing,
@@ -114,4 +119,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_line_dedup": op9_line_dedup,
     "op10_decontamination": op10_decontamination,
     "op12_bpe_tokens": op12_bpe_tokens,
+    "op13_collocations": op13_collocations,
 }
