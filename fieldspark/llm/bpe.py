@@ -35,8 +35,8 @@ from fieldspark.llm.common import SLICE_ROWS
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Code points whose classes don't depend on the version of Unicode; texts with others are cut by the library.
 _SETTLED = r"\u0000-՗ -⁯₠-₿←-⏿─-⛿、-ヾ一-龥가-힣"
-#: Pieces, and pairs of tokens, that a task remembers.
-_REMEMBERED = 1 << 18
+#: Pieces that a task remembers, once as new and once as older ones; and half the pairs of tokens.
+_REMEMBERED = 1 << 17
 #: Code points of a text that the library cuts at a time.
 _CUT_CHARS = 1 << 18
 _NEVER = 1 << 60
@@ -96,6 +96,7 @@ class Vocabulary:
         self._spines.clear()
         self._pairs: dict[tuple[int, int], bool] = {}
         self._pieces: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
         self._pattern = regex.compile(PATTERN)
         self._unsettled = regex.compile(f"[^{_SETTLED}]")
         self._border = regex.compile(r"(?<=\S)(?= \S)")
@@ -128,7 +129,7 @@ class Vocabulary:
         return False
 
     def _may_follow(self, a: int, b: int) -> bool:
-        if len(self._pairs) >= _REMEMBERED:
+        if len(self._pairs) >= 2 * _REMEMBERED:
             self._pairs.clear()
         found = self._pairs[a, b] = not self._crossed(a, b, _NEVER)
         return found
@@ -153,42 +154,42 @@ class Vocabulary:
         return ids
 
     def _remembered(self, piece: str) -> bytes:
-        found = self._pieces.get(piece)
+        found = self._pieces.get(piece) or self._older.get(piece)
         if found is None:
             found = _little_endian(self.piece_ids(piece.encode("utf-8", "surrogatepass")))
-            if len(piece) > 64:
-                return found  # long ones seldom come again
+        if len(piece) <= 64:  # longer ones seldom come again
             if len(self._pieces) >= _REMEMBERED:
-                self._pieces.clear()
+                self._older, self._pieces = self._pieces, {}
             self._pieces[piece] = found
         return found
 
-    def _pieces_of(self, text: str) -> Iterator[str]:
+    def _pieces_of(self, text: str) -> list[str]:
         if not self._unsettled.search(text):
-            for match in self._pattern.finditer(text):
-                yield match.group()
-            return
+            return self._pattern.findall(text)
         if self._library is None:
             from tokenizers import Tokenizer
 
             self._library = Tokenizer.from_str(self._text).pre_tokenizer
-        at = 0
+        return [text[start:stop] for _, (start, stop) in self._library.pre_tokenize_str(text)]
+
+    def _ordinary(self, text: str) -> Iterator[bytes]:
+        """The ids of a text without special tokens, in parts."""
+        known, at = self._pieces, 0
         while at < len(text):  # a border before a single space is one whatever stands around it
-            border = self._border.search(text, at + _CUT_CHARS)
+            border = self._border.search(text, at + _CUT_CHARS) if len(text) - at > _CUT_CHARS else None
             end = border.start() if border else len(text)
-            part = text[at:end]
-            for _, (start, stop) in self._library.pre_tokenize_str(part):
-                yield part[start:stop]
+            pieces = self._pieces_of(text[at:end] if at or border else text)
+            yield b"".join([known.get(p) or self._remembered(p) for p in pieces])
             at = end
 
     def encode(self, text: str) -> bytes:
         """The ids of a text, each as four bytes, the lowest first."""
         found, at = [], 0
         for match in self._cut_specials.finditer(text) if self._cut_specials else ():
-            found += map(self._remembered, self._pieces_of(text[at : match.start()]))
+            found += self._ordinary(text[at : match.start()])
             found.append(self.special[match.group()].to_bytes(4, "little"))
             at = match.end()
-        found += map(self._remembered, self._pieces_of(text[at:] if at else text))
+        found += self._ordinary(text[at:] if at else text)
         return b"".join(found)
 
     def decode(self, ids: bytes) -> str:
