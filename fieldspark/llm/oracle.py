@@ -73,6 +73,49 @@ WITH pieces AS (
 SELECT ranked.lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals ON totals.lang = ranked.lang WHERE rank <= 2000
 """
 
+_TRIE = """
+WITH turns AS (
+    SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS i,
+        md5(md5(coalesce(role, '')) || md5(coalesce(text, ''))) AS k, strlen(coalesce(text, ''))::BIGINT AS bytes
+    FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+    SELECT c, c - c % 5 AS b, xor(list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda s: ascii(s)::BIGINT)),
+        lambda x, byte: list_reduce(
+            list_prepend(xor(x, byte), list_transform(range(8), lambda z: 0::BIGINT)),
+            lambda y, z: xor(y >> 1, 3988292384::BIGINT * (y & 1)))
+    ), 4294967295::BIGINT) % 9 AS h
+    FROM (SELECT DISTINCT c FROM turns)
+), rebuilt AS (
+    SELECT c, row_number() OVER (PARTITION BY c ORDER BY i) AS d, k, bytes FROM (
+        SELECT convs.c, i, k, bytes FROM convs JOIN turns ON turns.c = convs.c WHERE convs.b = convs.c OR i > h
+        UNION ALL SELECT convs.c, i, k, bytes FROM convs JOIN turns ON turns.c = convs.b WHERE convs.b <> convs.c AND i <= h)
+), prefixes AS (
+    SELECT c, 0::BIGINT AS d, md5('') AS p, 0::BIGINT AS bytes FROM convs
+    UNION ALL SELECT c, d, md5(string_agg(k, '') OVER (PARTITION BY c ORDER BY d)), bytes FROM rebuilt
+), lengths AS (
+    SELECT c, max(d) AS len FROM prefixes GROUP BY c
+), nodes AS (
+    SELECT d, p, min(prefixes.c) AS c, count(*) AS n, any_value(bytes) AS bytes,
+        coalesce(string_agg(prefixes.c::VARCHAR, ',' ORDER BY prefixes.c) FILTER (d = len), '') AS ends
+    FROM prefixes JOIN lengths ON lengths.c = prefixes.c GROUP BY d, p
+), links AS (
+    SELECT nodes.d, nodes.p, up.p AS up_p, parent.c AS up_c FROM nodes
+    JOIN prefixes AS up ON up.c = nodes.c AND up.d = nodes.d - 1 JOIN nodes AS parent ON parent.d = up.d AND parent.p = up.p
+), children AS (
+    SELECT d - 1 AS d, up_p AS p, count(*) AS n FROM links GROUP BY 1, 2
+), subtrees AS (
+    SELECT above.d, above.p, sum(CASE WHEN children.n IS NULL THEN 1 ELSE 0 END)::BIGINT AS leaves,
+        sum((nodes.n - 1) * nodes.bytes)::BIGINT AS saved
+    FROM nodes JOIN prefixes AS above ON above.c = nodes.c AND above.d <= nodes.d
+    LEFT JOIN children ON children.d = nodes.d AND children.p = nodes.p GROUP BY above.d, above.p
+)
+SELECT nodes.c AS conv_id, nodes.d AS depth, up_c AS parent_conv_id, nodes.n AS n_convs, coalesce(children.n, 0) AS n_children,
+    leaves AS n_leaves, saved AS saved_tokens, sha256(ends) AS ends_sha256
+FROM nodes JOIN subtrees ON subtrees.d = nodes.d AND subtrees.p = nodes.p
+LEFT JOIN links ON links.d = nodes.d AND links.p = nodes.p LEFT JOIN children ON children.d = nodes.d AND children.p = nodes.p
+"""
+
 ORACLE_SQL: dict[str, str] = {
-    "op1_warc_revisits": _REVISITS, "op3_substring_dedup": _REPEATS, "op13_collocations": _COLLOCATIONS,
+    "op1_warc_revisits": _REVISITS, "op3_substring_dedup": _REPEATS, "op11_prefix_trie": _TRIE, "op13_collocations": _COLLOCATIONS,
 }

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldspark.llm import bpe, chunking, language, lines, mixing, phrases, simhash, substrings, tiling, urls, warc, wrappers
+from fieldspark.llm import bpe, chunking, language, lines, mixing, phrases, simhash, substrings, tiling, trie, urls, warc, wrappers
 from fieldspark.llm.common import shared_folder, small_batches, table
 
 
@@ -91,6 +91,22 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiling.contamination(documents.select("doc_id", "text"), benchmark).drop("text")
 
 
+def rebuilt_conversations(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Numbered turns of conversations that start with the first turns of another, and all conversations."""
+    convs = turns.select("conv").distinct()
+    taken = F.pmod(F.crc32(F.col("conv").cast("string").cast("binary")), F.lit(9))
+    base = F.col("conv") - F.col("conv") % 5
+    own = turns.where((base == F.col("conv")) | (F.col("place") > taken))
+    heads = turns.where(F.col("place") <= 8).withColumnRenamed("conv", "base")
+    others = convs.where(base != F.col("conv")).select("conv", base.alias("base"), taken.alias("taken"))
+    borrowed = others.join(heads, "base").where(F.col("place") <= F.col("taken"))
+    return own.unionByName(borrowed.select(own.columns)), convs
+
+
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.nodes_of(*rebuilt_conversations(trie.numbered(table(spark, sf_dir, "conversations"))))
+
+
 def op12_bpe_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -118,6 +134,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_line_dedup": op9_line_dedup,
     "op10_decontamination": op10_decontamination,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_bpe_tokens": op12_bpe_tokens,
     "op13_collocations": op13_collocations,
 }
