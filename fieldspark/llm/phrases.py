@@ -14,7 +14,8 @@ counted, so that a shard stays small however many there are.
 
 A phrase that occurs ``least`` times is made of words that do. A Bloom filter of these words, of 32 MB
 at most, goes to the tasks; a phrase with a word outside of it can't be a candidate and isn't counted.
-Words the filter wrongly lets through cost room, no result.
+Words the filter wrongly lets through cost room, no result. As few bytes of a word id are packed
+as tell the words it lets through apart, which is checked on these words.
 
 Null and empty texts have no words; a null language is ``und``; repeated rows count as often as they
 come. Texts are read whole, a pass at a time, so a very long text needs memory for its word ids only.
@@ -128,20 +129,21 @@ def _count_words(batches: Iterator[pa.RecordBatch], seed: int) -> Iterator[pa.Re
             )
 
 
-def _permuted(words: list[np.ndarray]) -> list[np.ndarray]:
-    """The columns of a phrase after an invertible permutation: each in turn takes in a hash of all others."""
+def _permuted(words: list[np.ndarray], bits: int) -> list[np.ndarray]:
+    """The columns of a phrase, ids of as many bits, after an invertible permutation: each in turn takes
+    in a hash of all others."""
     out = list(words)
     for turn in range(2 * len(out)):
         i = turn % len(out)
-        out[i] = out[i] ^ _others(out, i, turn)
+        out[i] = out[i] ^ (_others(out, i, turn) >> U64(64 - bits))
     return out
 
 
-def _restored(columns: list[np.ndarray]) -> list[np.ndarray]:
+def _restored(columns: list[np.ndarray], bits: int) -> list[np.ndarray]:
     out = list(columns)
     for turn in reversed(range(2 * len(out))):
         i = turn % len(out)
-        out[i] = out[i] ^ _others(out, i, turn)
+        out[i] = out[i] ^ (_others(out, i, turn) >> U64(64 - bits))
     return out
 
 
@@ -157,7 +159,7 @@ def _summed(columns: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndar
     order = np.argsort(columns[0], kind="stable")
     ordered = [c[order] for c in columns]
     same = [np.diff(c) == 0 for c in ordered]
-    if np.any(same[0] & ~np.logical_and.reduce(same)):  # phrases that share their first 64 bits
+    if np.any(same[0] & ~np.logical_and.reduce(same)):  # phrases that share their first column
         order = np.lexsort(columns[::-1])
         ordered = [c[order] for c in columns]
         same = [np.diff(c) == 0 for c in ordered]
@@ -165,28 +167,32 @@ def _summed(columns: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndar
     return [c[first] for c in ordered], np.add.reduceat(counts[order], first)
 
 
-def filter_bytes(columns: list[np.ndarray], counts: np.ndarray) -> bytes:
+def _low_bytes(column: np.ndarray, size: int) -> np.ndarray:
+    return column.astype("<u8").view(np.uint8).reshape(len(column), 8)[:, :size]
+
+
+def filter_bytes(columns: list[np.ndarray], counts: np.ndarray, bits: int = 64) -> bytes:
     """A counting quotient filter of sorted, permuted phrases.
 
-    Bits of the first column under a multiple of eight are remainder, chosen so that there are no more
-    slots than entries (or few). Of the quotients from the first on, the bit vector has a one for each
+    Bits of the first column under a multiple of eight are remainder, chosen so that there are at most
+    four slots an entry. Of the quotients from the first on, the bit vector has a one for each
     entry and a zero at the end of each slot. Remainders follow whole; counts under 255 take a byte.
     """
     head, n = columns[0], len(counts)
     if not n:
         return b""
     spread = int(head[-1] - head[0])
-    kept = next(r for r in range(0, 72, 8) if (spread >> r) <= n)
+    kept = next(r for r in range(0, 72, 8) if (spread >> r) <= 4 * n)
     quotients = (head >> U64(kept)) - (head[0] >> U64(kept)) if kept < 64 else np.zeros(n, dtype=U64)
     places = np.arange(n) + quotients.astype(np.int64)
     runs = np.zeros(int(places[-1]) + 1, dtype=bool)
     runs[places] = True
-    remainders = head.astype("<u8").view(np.uint8).reshape(n, 8)[:, : kept // 8]
     small = np.minimum(counts, 255).astype(np.uint8)
     large = counts[counts >= 255].astype("<i8")
     start = (int(head[0]) >> kept << kept) if kept < 64 else 0
-    header = np.array([n, len(runs), len(large), kept, start], dtype="<u8")
-    parts = [header, np.packbits(runs), remainders, *[c.astype("<u8") for c in columns[1:]], small, large]
+    header = np.array([n, len(runs), len(large), kept, start, bits], dtype="<u8")
+    others = [_low_bytes(c, bits // 8) for c in columns[1:]]
+    parts = [header, np.packbits(runs), _low_bytes(head, kept // 8), *others, small, large]
     return b"".join(np.ascontiguousarray(p).tobytes() for p in parts)
 
 
@@ -194,8 +200,8 @@ def filter_entries(packed: bytes, words: int) -> tuple[list[np.ndarray], np.ndar
     """The permuted phrases of a filter and their counts."""
     if not packed:
         return [np.zeros(0, dtype=U64)] * words, np.zeros(0, dtype=np.int64)
-    n, bits, n_large, kept, start = (int(v) for v in np.frombuffer(packed, "<u8", 5))
-    at = 40
+    n, n_runs, n_large, kept, start, bits = (int(v) for v in np.frombuffer(packed, "<u8", 6))
+    at = 48
 
     def take(kind: str, items: int) -> np.ndarray:
         nonlocal at
@@ -203,47 +209,57 @@ def filter_entries(packed: bytes, words: int) -> tuple[list[np.ndarray], np.ndar
         at += found.nbytes
         return found
 
-    places = np.flatnonzero(np.unpackbits(take("u1", -(-bits // 8)), count=bits))
+    def numbers(size: int) -> np.ndarray:
+        low = np.zeros((n, 8), dtype=np.uint8)
+        low[:, :size] = take("u1", n * size).reshape(n, size)
+        return low.view("<u8").reshape(n).astype(U64)
+
+    places = np.flatnonzero(np.unpackbits(take("u1", -(-n_runs // 8)), count=n_runs))
     quotients = (places - np.arange(n)).astype(U64)
-    low = np.zeros((n, 8), dtype=np.uint8)
-    low[:, : kept // 8] = take("u1", n * (kept // 8)).reshape(n, kept // 8)
-    head = low.view("<u8").reshape(n).astype(U64) + U64(start)
+    head = numbers(kept // 8) + U64(start)
     if kept < 64:
         head += quotients << U64(kept)
-    others = [take("<u8", n).astype(U64) for _ in range(words - 1)]
+    others = [numbers(bits // 8) for _ in range(words - 1)]
     counts = take("u1", n).astype(np.int64)
     counts[counts == 255] = take("<i8", n_large)
     return [head, *others], counts
 
 
-def _probes(ids: np.ndarray, bits: int) -> Iterator[np.ndarray]:
+def _probes(ids: np.ndarray, slice_bits: int) -> Iterator[np.ndarray]:
     """Places in its slice at which the Bloom filter has a bit for each id; the slice is the top byte."""
     for i in range(_PROBES):
-        yield (mixed(ids + U64(0xD1B54A32D192ED03 + i)) & U64(bits - 1)).astype(np.int64)
+        yield (mixed(ids + U64(0xD1B54A32D192ED03 + i)) & U64(slice_bits - 1)).astype(np.int64)
 
 
-def _bloom_slice(key, rows: pa.Table, bits: int) -> pa.Table:
-    ids, held = rows["id"].to_numpy().view(U64), np.zeros(bits, dtype=bool)
-    for places in _probes(ids, bits):
+def _bloom_slice(key, rows: pa.Table, slice_bits: int) -> pa.Table:
+    ids, held = rows["id"].to_numpy().view(U64), np.zeros(slice_bits, dtype=bool)
+    for places in _probes(ids, slice_bits):
         held[places] = True
     return pa.table({"slice": pa.array([key[0].as_py()], pa.int32()), "held": pa.array([np.packbits(held).tobytes()], pa.binary())})
 
 
-def _may_be_frequent(ids: np.ndarray, held: np.ndarray, bits: int) -> np.ndarray:
-    base, found = (ids >> U64(56)).astype(np.int64) * bits, np.ones(len(ids), dtype=bool)
-    for places in _probes(ids, bits):
+def _may_be_frequent(ids: np.ndarray, held: np.ndarray) -> np.ndarray:
+    slice_bits = 8 * len(held) // _SLICES
+    base, found = (ids >> U64(56)).astype(np.int64) * slice_bits, np.ones(len(ids), dtype=bool)
+    for places in _probes(ids, slice_bits):
         at = base + places
         found &= (held[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 > 0
     return found
 
 
-def _cut(n: int, columns: list[np.ndarray], counts: np.ndarray, shards: int) -> Iterator[tuple[int, int, bytes]]:
+def _let_through(batches: Iterator[pa.RecordBatch], sent) -> Iterator[pa.RecordBatch]:
+    held = np.frombuffer(sent.value, dtype=np.uint8)
+    for batch in batches:
+        yield batch.filter(pa.array(_may_be_frequent(batch.column("id").to_numpy().view(U64), held)))
+
+
+def _cut(n: int, columns: list[np.ndarray], counts: np.ndarray, shards: int, bits: int) -> Iterator[tuple[int, int, bytes]]:
     """(words, shard, filter) of sorted phrases."""
-    # the range of the first column is cut evenly; 32 bits decide, as there are far fewer shards
-    of = ((columns[0] >> U64(32)) * U64(shards)) >> U64(32)
+    # the range of the first column is cut evenly; its first 32 bits decide, as there are far fewer shards
+    of = ((columns[0] >> U64(bits - 32)) * U64(shards)) >> U64(32)
     ids, first = np.unique(of, return_index=True)
     for shard, a, b in zip(ids.tolist(), first, [*first[1:], len(of)]):
-        yield n, shard, filter_bytes([c[a:b] for c in columns], counts[a:b])
+        yield n, shard, filter_bytes([c[a:b] for c in columns], counts[a:b], bits)
 
 
 def _filled(batches: Iterator[pa.RecordBatch], seed: int, longest: int, shards: int, bits: int, sent, limit: int) -> Iterator[pa.RecordBatch]:
@@ -255,8 +271,8 @@ def _filled(batches: Iterator[pa.RecordBatch], seed: int, longest: int, shards:
         rows = []
         for n, some in buffer.items():
             if some:
-                columns = _permuted([np.concatenate(c) for c in zip(*some)])
-                rows += _cut(n, *_summed(columns, np.ones(len(columns[0]), dtype=np.int64)), shards)
+                columns = _permuted([np.concatenate(c) for c in zip(*some)], bits)
+                rows += _cut(n, *_summed(columns, np.ones(len(columns[0]), dtype=np.int64)), shards, bits)
             some.clear()
         kinds = (pa.int32(), pa.int32(), pa.binary())
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["words", "shard", "filter"])
@@ -266,7 +282,8 @@ def _filled(batches: Iterator[pa.RecordBatch], seed: int, longest: int, shards:
         for column in slices(batch.column("text")):
             part, at = batch.slice(at, len(column)), at + len(column)
             ids, goes_on, *_ = _word_ids(text_bytes(column), _language_keys(part.column("lang"))[0], seed)
-            ok = _may_be_frequent(ids, held, bits)
+            ok = _may_be_frequent(ids, held)
+            ids &= U64((1 << bits) - 1)
             for a in range(0, len(ids), limit):  # phrases are told by their first word
                 b = min(a + limit, len(ids))
                 whole = ok[a:b]
@@ -287,7 +304,7 @@ def _filled(batches: Iterator[pa.RecordBatch], seed: int, longest: int, shards:
         yield filters()
 
 
-def _merged(key, rows: pa.Table, longest: int, least: int) -> pa.Table:
+def _merged(key, rows: pa.Table, longest: int, least: int, bits: int) -> pa.Table:
     """The phrases of a shard that occur ``least`` times, from its filters."""
     found: dict[str, list] = {"words": [], "f": [], **{f"w{i}": [] for i in range(1, longest + 1)}}
     for n in range(2, longest + 1):
@@ -298,7 +315,7 @@ def _merged(key, rows: pa.Table, longest: int, least: int) -> pa.Table:
         columns = [np.concatenate(c) for c in zip(*(r[0] for r in read))]
         columns, counts = _summed(columns, np.concatenate([r[1] for r in read]))
         often = counts >= least
-        words = _restored([c[often] for c in columns])
+        words = _restored([c[often] for c in columns], bits)
         found["words"].append(np.full(len(words[0]), n, dtype=np.int32))
         found["f"].append(counts[often])
         for i in range(longest):
@@ -320,29 +337,44 @@ def word_counts(docs: DataFrame) -> tuple[DataFrame, int]:
             return words, seed
 
 
-def phrase_counts(docs: DataFrame, words: DataFrame, seed: int, least: int, longest: int) -> DataFrame:
-    """(words, w1, w2, …, f) of the phrases of 2 to ``longest`` words that occur ``least`` times."""
+def _narrow(words: DataFrame, sent) -> int:
+    """The least number of bits of an id, in whole bytes, that tells the words that the filter lets through apart."""
+    through = checkpointed(words.select("id").mapInArrow(partial(_let_through, sent=sent), "id bigint"))
+    bits = max(32, -(-2 * through.count().bit_length() // 8) * 8)
+    while bits < 64:
+        narrow = F.col("id").bitwiseAND(F.lit((1 << bits) - 1))
+        if through.groupBy(narrow.alias("narrow")).count().where("count > 1").isEmpty():
+            return bits
+        bits += 8
+    return 64
+
+
+def phrase_counts(docs: DataFrame, words: DataFrame, seed: int, least: int, longest: int) -> tuple[DataFrame, int]:
+    """(words, w1, w2, …, f) of the phrases of 2 to ``longest`` words that occur ``least`` times, and the
+    bits of the ids they are made of."""
     spark = docs.sparkSession
     often = words.where(F.col("f") >= least).select("id")
     total, frequent = words.agg(F.coalesce(F.sum("f"), F.lit(0)), F.count_if(F.col("f") >= least)).first()
-    bits = 1 << min(_SLICE_BITS.bit_length() - 1, max(10, (12 * frequent // _SLICES).bit_length()))
+    slice_bits = 1 << min(_SLICE_BITS.bit_length() - 1, max(10, (12 * frequent // _SLICES).bit_length()))
     top = F.shiftrightunsigned("id", 56).cast("int").alias("slice")
     made = often.select(top, "id").groupBy("slice").applyInArrow(
-        lambda key, rows: _bloom_slice(key, rows, bits), "slice int, held binary"
+        lambda key, rows: _bloom_slice(key, rows, slice_bits), "slice int, held binary"
     )
-    held = bytearray(_SLICES * bits // 8)
+    size = slice_bits // 8
+    held = bytearray(_SLICES * size)
     for row in made.toLocalIterator():  # as many rows as slices, 32 MB together at most
-        held[row.slice * bits // 8 : (row.slice + 1) * bits // 8] = row.held
-    shards = total // SHARD_WORDS + 1
+        held[row.slice * size : (row.slice + 1) * size] = row.held
     sent = spark.sparkContext.broadcast(bytes(held))
+    bits = _narrow(words, sent)
+    shards = total // SHARD_WORDS + 1
     filled = docs.mapInArrow(
         partial(_filled, seed=seed, longest=longest, shards=shards, bits=bits, sent=sent, limit=BUFFER), "words int, shard int, filter binary"
     )
     columns = ", ".join(f"w{i} bigint" for i in range(1, longest + 1))
     merged = filled.groupBy("shard").applyInArrow(
-        lambda key, rows: _merged(key, rows, longest, least), f"words int, f bigint, {columns}"
+        lambda key, rows: _merged(key, rows, longest, least, bits), f"words int, f bigint, {columns}"
     )
-    return checkpointed(merged)
+    return checkpointed(merged), bits
 
 
 def _of(first: int, last: int) -> Column:
@@ -391,8 +423,10 @@ def collocations(
     """
     source = docs.select(F.coalesce(F.col(lang_col), F.lit(UNKNOWN)).alias("lang"), F.col(text_col).alias("text"))
     words, seed = word_counts(source)
-    counted = phrase_counts(source, words, seed, least, longest)
+    counted, bits = phrase_counts(source, words, seed, least, longest)
     often = words.where(F.col("f") >= least)
+    if bits < 64:
+        often = often.withColumn("id", F.col("id").bitwiseAND(F.lit((1 << bits) - 1)))
     tables = {1: often.select(F.struct(F.col("id").alias("k0")).alias("key"), "f")}
     for n in range(2, longest + 1):
         ids = [f"w{i}" for i in range(1, n + 1)]

@@ -96,31 +96,43 @@ def test_passes_don_t_change_words(monkeypatch):
         assert all((a == b).all() for a, b in zip(whole, phrases._word_ids(some, langs, 3)))
 
 
-@pytest.mark.parametrize("words", [2, 3, 5])
-def test_permutation_is_undone(words):
+@pytest.mark.parametrize("words, bits", [(2, 64), (3, 40), (5, 48)])
+def test_permutation_is_undone(words, bits):
     rng = np.random.default_rng(1)
-    columns = [rng.integers(0, 1 << 63, 1000).astype(U64) for _ in range(words)]
-    permuted = phrases._permuted(columns)
-    assert all((a == b).all() for a, b in zip(phrases._restored(permuted), columns))
-    same_head = phrases._permuted([columns[0][:1].repeat(1000), *columns[1:]])
-    assert len(np.unique(same_head[0] >> U64(48))) > 900  # a common first word doesn't crowd a shard
+    columns = [rng.integers(0, 1 << 63, 1000).astype(U64) >> U64(64 - bits) for _ in range(words)]
+    permuted = phrases._permuted(columns, bits)
+    assert all((c >> U64(bits - 1) <= U64(1)).all() for c in permuted)
+    assert all((a == b).all() for a, b in zip(phrases._restored(permuted, bits), columns))
+    same_head = phrases._permuted([columns[0][:1].repeat(1000), *columns[1:]], bits)
+    assert len(np.unique(same_head[0] >> U64(bits - 16))) > 900  # a common first word doesn't crowd a shard
 
 
 @pytest.mark.parametrize("n, top", [(0, 1), (1, 1 << 63), (2, 3), (1000, 1 << 63), (1000, 1 << 20), (700, 1 << 11), (5, (1 << 64) - 1)])
 def test_filters_are_lossless(n, top):
     rng = np.random.default_rng(n)
+    bits = 40 if top <= 1 << 40 else 64
     head = np.sort(rng.integers(0, top, n, dtype=U64, endpoint=True))
-    others = [rng.integers(0, 1 << 63, n).astype(U64) for _ in range(2)]
+    others = [rng.integers(0, 1 << 63, n).astype(U64) >> U64(64 - bits) for _ in range(2)]
     counts = rng.choice([1, 2, 254, 255, 256, 1 << 40], n).astype(np.int64)
-    columns, back = phrases.filter_entries(phrases.filter_bytes([head, *others], counts), 3)
+    columns, back = phrases.filter_entries(phrases.filter_bytes([head, *others], counts, bits), 3)
     assert all((a == b).all() for a, b in zip(columns, [head, *others]))
     assert (back == counts).all()
 
 
 def test_filters_take_less_than_their_phrases():
-    head = np.sort(np.random.default_rng(2).integers(0, 1 << 63, 20_000).astype(U64)) >> U64(6)
-    packed = phrases.filter_bytes([head, head], np.ones(20_000, dtype=np.int64))
-    assert len(packed) < 20_000 * 15.5  # 16 bytes and a counter of 8 each otherwise
+    head = np.sort(np.random.default_rng(2).integers(0, 1 << 63, 20_000).astype(U64)) >> U64(24)
+    packed = phrases.filter_bytes([head, head], np.ones(20_000, dtype=np.int64), 40)
+    assert len(packed) < 20_000 * 9.5  # two ids of 5 bytes and a counter of 8 each otherwise
+
+
+def test_ids_are_as_wide_as_they_must_be(spark):
+    class Sent:
+        value = b"\xff" * 256
+
+    ids = [5, 5 + (1 << 32), 5 + (1 << 40), 9]
+    for some, bits in (([5, 9], 32), (ids[:2] + ids[3:], 40), (ids, 48), ([5, 5 + (1 << 60)], 64)):
+        words = spark.createDataFrame([(i,) for i in some], "id bigint")
+        assert phrases._narrow(words, spark.sparkContext.broadcast(Sent.value)) == bits
 
 
 def test_phrases_that_share_64_bits_stay_apart():
