@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,53 +30,120 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     system.delete(found, True)
 
 
+#: The file that names the folder a table is read from.
+CURRENT = "_current"
+
+
 @dataclass(frozen=True)
 class Warehouse:
-    """Tables kept as ``<root>/<layer>/<name>``; ``root`` must be shared by all executors."""
+    """Tables kept under ``<root>/<layer>/<name>``; ``root`` must be shared by all executors.
+
+    Each write makes a folder of its own beside the earlier ones, and the file ``_current`` names the
+    one to read. A table is switched by replacing that file, so readers see the old table or the new
+    one, whatever happens to the writer. The table before stays for queries that still read it; older
+    ones are deleted."""
 
     spark: SparkSession
     root: str
 
-    def path(self, layer: str, name: str) -> str:
+    def _folder(self, layer: str, name: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{name}"
 
+    def _versions(self, layer: str, name: str) -> list[str]:
+        """The folders of a table that is or was current, the current one first."""
+        pointer, system = _path(self.spark, f"{self._folder(layer, name)}/{CURRENT}")
+        if not system.exists(pointer):
+            return []
+        stream = system.open(pointer)
+        try:
+            return bytes(stream.readAllBytes()).decode().split()
+        finally:
+            stream.close()
+
+    def exists(self, layer: str, name: str) -> bool:
+        return bool(self._versions(layer, name))
+
+    def path(self, layer: str, name: str) -> str:
+        """The folder that holds a table now."""
+        found = self._versions(layer, name)
+        if not found:
+            raise FileNotFoundError(f"no table {layer}/{name} in {self.root}")
+        return f"{self._folder(layer, name)}/{found[0]}"
+
     def read(self, layer: str, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(layer, name))
 
     def write(self, layer: str, name: str, df: DataFrame) -> DataFrame:
-        """Replace a table and return it as read back, with its lineage cut. The new table is written
-        beside the old one and takes its place when it is complete; a failed write leaves the old."""
-        beside = self.path(layer, f"_new_{name}_{uuid.uuid4().hex}")
-        df.write.parquet(beside)
-        target, system = _path(self.spark, self.path(layer, name))
-        system.delete(target, True)
-        if not system.rename(_path(self.spark, beside)[0], target):
-            raise OSError(f"could not move {beside} to {target}")
-        self.spark.catalog.refreshByPath(self.path(layer, name))
+        """Replace a table and return it as read back, with its lineage cut."""
+        version = self.new_version()
+        df.write.parquet(f"{self._folder(layer, name)}/{version}")
+        self.switch(layer, name, version)
         return self.read(layer, name)
 
+    @staticmethod
+    def new_version() -> str:
+        return f"table-{uuid.uuid4().hex}"
+
+    def switch(self, layer: str, name: str, version: str) -> None:
+        """Make a completely written folder the current one."""
+        before = self._versions(layer, name)
+        folder = self._folder(layer, name)
+        beside, system = _path(self.spark, f"{folder}/{CURRENT}-{uuid.uuid4().hex}")
+        stream = system.create(beside, True)
+        stream.write("\n".join([version, *before[:1]]).encode())
+        stream.close()
+        jvm = self.spark._jvm
+        replace = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+        options = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        options[0] = replace
+        conf = self.spark._jsparkSession.sessionState().newHadoopConf()
+        pointer = _path(self.spark, f"{folder}/{CURRENT}")[0]
+        files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(system.makeQualified(pointer).toUri(), conf)
+        files.rename(system.makeQualified(beside), system.makeQualified(pointer), options)
+        for old in before[1:]:
+            delete_folder(self.spark, f"{folder}/{old}")
+
     def save_as_table(self, layer: str, name: str, df: DataFrame) -> DataFrame:
         """Replace a table and register it in the session catalog as ``<layer>_<name>``."""
         table = f"{layer}_{name}"
-        df.write.mode("overwrite").option("path", self.path(layer, name)).saveAsTable(table)
+        df.write.mode("overwrite").option("path", f"{self._folder(layer, name)}/catalog").saveAsTable(table)
         return self.spark.table(table)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A folder that all executors share: ``spark.checkpoint.dir``, or without that the session's warehouse."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+
+
 @contextmanager
 def scratch_warehouse(spark: SparkSession) -> Iterator[Warehouse]:
-    """A fresh folder for intermediate tables, deleted at the end.
-
-    It lies under ``spark.checkpoint.dir``, or without that under the session's warehouse; all
-    executors share either. Writing a table there cuts its lineage and survives lost executors.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    house = Warehouse(spark, f"{shared.rstrip('/')}/tables-{uuid.uuid4().hex}")
+    """A fresh shared folder for intermediate tables, deleted at the end. Writing a table there cuts its
+    lineage and survives lost executors."""
+    house = Warehouse(spark, f"{shared_folder(spark)}/tables-{uuid.uuid4().hex}")
     try:
         yield house
     finally:
         delete_folder(spark, house.root)
 
 
+def session_warehouse(spark: SparkSession) -> Warehouse:
+    """A fresh shared folder for tables that lazy results read, deleted when the program ends."""
+    house = Warehouse(spark, f"{shared_folder(spark)}/tables-{uuid.uuid4().hex}")
+    found, system = _path(spark, house.root)
+
+    def delete() -> None:
+        with suppress(Exception):  # the JVM may be gone
+            system.delete(found, True)
+
+    atexit.register(delete)
+    return house
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The same rows, read from a table of the session, with their lineage cut."""
+    return session_warehouse(df.sparkSession).write("any", "rows", df)
+
+
 def kept_rows(df: DataFrame) -> DataFrame:
     """The same few rows, apart from the tables they came from: for results of checks and reports,
     which have a row for each declared check or column."""

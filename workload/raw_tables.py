@@ -308,7 +308,8 @@ RAW_SQL: dict[str, str] = {
 
 
 def given(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return balanced(spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet"))
+    tasks = spark.sparkContext.defaultParallelism
+    return balanced(spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet"), min_tasks=tasks)
 
 
 class RawTables(Mapping[str, DataFrame]):
