@@ -13,10 +13,11 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldspark.functions.dates import date_shape, mixed_date
+from fieldspark.operators.ranks import global_rank
 
 SKETCH_ACCURACY = 10_000
 QUARTILES = (0.25, 0.5, 0.75)
@@ -63,9 +64,10 @@ def cardinalities(df: DataFrame, columns: Sequence[str], exact: bool = True) ->
 
 def top_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """All values of the columns with their rows and their rank in the column, the most frequent
-    first, ties by value (nulls last). Ranks are made of counts, not of rows."""
-    order = Window.partitionBy("column_name").orderBy(F.desc("row_count"), F.asc_nulls_last("value"))
-    return value_counts(df, columns).withColumn("value_rank", F.row_number().over(order))
+    first, ties by value (nulls last). Ranks are made of counts, not of rows, and a column with very
+    many values is ranked by many tasks."""
+    order = [F.desc("row_count"), F.asc_nulls_last("value")]
+    return global_rank(value_counts(df, columns), ["column_name"], order, "value_rank")
 
 
 def _numbers(df: DataFrame, column: str) -> DataFrame:

@@ -12,6 +12,7 @@ from fieldspark.functions.metrics import distinct_when, rate, sorted_text
 from fieldspark.operators import checks as ck
 from fieldspark.operators import profile
 from fieldspark.operators.assignment import primary_assignment
+from fieldspark.operators.frequent import frequent_values
 from fieldspark.operators.keys import highest_per_key, key_set
 from fieldspark.plans import kpis, marts, quality
 from fieldspark.plans.entities import ENTITIES, ROUTE_PREFIX, Settings
@@ -295,7 +296,10 @@ def _date_columns(raw: DataFrame) -> list[str]:
 _over_raw("profile_nulls", "visits", profile.null_counts)
 _over_raw("profile_cardinality", "visits", lambda raw: profile.cardinalities(raw, raw.columns))
 _over_raw("profile_distribution", "visits", lambda raw: profile.value_counts(raw, raw.columns))
-_over_raw("profile_top_values", "responses", lambda raw: profile.top_values(raw, ["question_id", "question_type"]))
+_over_raw("profile_top_values", "responses", lambda raw: profile.top_values(
+    raw, ["question_id", "question_type"]
+).withColumn("value_rank", F.col("value_rank").cast("int")))
+_over_raw("profile_frequent_values", "responses", lambda raw: frequent_values(raw, raw.columns, 20))
 _over_raw("profile_dates", "campaigns", lambda raw: profile.date_profile(raw, _date_columns(raw)))
 
 
