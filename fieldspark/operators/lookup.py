@@ -38,11 +38,12 @@ def fits_broadcast(frames: Sequence[DataFrame]) -> bool:
     return size <= conf.autoBroadcastJoinThreshold()
 
 
-def hot_keys(keys: DataFrame, column: str) -> DataFrame:
-    """Keys with more than their share of rows, and into how many salts each is divided."""
+def hot_keys(keys: DataFrame, column: str, parts: int | None = None) -> DataFrame:
+    """Keys with more than their share of rows, and into how many salts each is divided. The share is that
+    of one of ``parts``, by default of a shuffle partition."""
     counts = keys.groupBy(F.col(column).alias(_HOT)).agg(F.count(F.lit(1)).alias("n"))
     if HOT_ROWS is None:
-        parts = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        parts = parts or int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         limit = F.ceil(counts.select(F.sum("n")).scalar() / parts)
     else:
         limit = F.lit(HOT_ROWS)

@@ -25,6 +25,7 @@ from fieldspark.plans.quality import (
     staging_model,
 )
 from fieldspark.plans.staging import raw_keys, stage, stage_clients
+from fieldspark.sources.buckets import bucket_count, read_bucketed, write_bucketed
 from fieldspark.sources.raw_csv import export_csv, read_raw
 from fieldspark.sources.tables import Warehouse
 
@@ -87,8 +88,31 @@ def read_staging(house: Warehouse) -> dict[str, DataFrame]:
     return {name: house.read("staging", staging_model(name)) for name in ENTITIES}
 
 
-def build_marts(house: Warehouse, tables: Mapping[str, DataFrame]) -> None:
-    _write_together(house, "marts", {mart_model(n): partial(mart, tables) for n, mart in MARTS.items()})
+FACTS = ("visits", "responses")
+
+
+def build_facts(house: Warehouse, tables: Mapping[str, DataFrame], buckets: int | None = None) -> None:
+    """Write visits and responses in the same buckets of visits, by default as many as their size asks
+    for, and the sides that visits look up."""
+    count = buckets or max(bucket_count(tables[n]) for n in FACTS)
+    for name in FACTS:
+        write_bucketed(house, "facts", name, tables[name], "visit_id", count)
+    parts = marts.response_parts(tables)
+    _write_together(house, "facts", {n: partial(parts.__getitem__, n) for n in parts})
+
+
+def responses_from_facts(house: Warehouse, tables: Mapping[str, DataFrame]) -> DataFrame:
+    """The response mart from the tables of ``build_facts``."""
+    visits, responses = (read_bucketed(house, "facts", n) for n in FACTS)
+    parts = {n: house.read("facts", n) for n in ("campaign_owners", "route_workers")}
+    return marts.bucketed_visit_responses(tables, visits, responses, parts)
+
+
+def build_marts(house: Warehouse, tables: Mapping[str, DataFrame], bucketed: bool = False) -> None:
+    made = {mart_model(n): partial(mart, tables) for n, mart in MARTS.items()}
+    if bucketed:
+        made[mart_model("visit_responses")] = partial(responses_from_facts, house, tables)
+    _write_together(house, "marts", made)
 
 
 def build_kpis(house: Warehouse, tables: Mapping[str, DataFrame], settings: Settings) -> None:
@@ -135,9 +159,11 @@ def check(house: Warehouse, tables: Mapping[str, DataFrame], layer: str = "all")
 def run(
     spark: SparkSession, raw_dir: str, warehouse: str, layer: str = "all",
     settings: Settings = Settings(), export_dir: str | None = None, multi_line: bool = False,
+    buckets: int | None = None,
 ) -> None:
     """Build one layer, run the checks, or do everything. In a full run the checks of a layer come
-    before what builds on it: errors stop the run there, warnings do not."""
+    before what builds on it: errors stop the run there, warnings do not. With ``buckets`` (0: as
+    many as their size asks for) the facts are bucketed by visit before the marts."""
     house, full = Warehouse(spark, warehouse), layer == "all"
     if full or layer == "staging":
         build_staging(RawFiles(spark, raw_dir, multi_line), house, settings)
@@ -147,7 +173,9 @@ def run(
     if full:
         check(house, tables, "staging")
     if full or layer == "marts":
-        build_marts(house, tables)
+        if buckets is not None:
+            build_facts(house, tables, buckets)
+        build_marts(house, tables, buckets is not None)
         if export_dir:
             for name in map(mart_model, MARTS):
                 export_csv(house.read("marts", name), f"{export_dir}/{name}")
@@ -170,12 +198,13 @@ def main() -> None:
     parser.add_argument("--id-type", choices=["int", "bigint"], default="int")
     parser.add_argument("--lenient-ids", action="store_true", help="make bad ids null instead of failing")
     parser.add_argument("--multi-line", action="store_true", help="fields may hold line breaks")
+    parser.add_argument("--buckets", type=int, help="bucket the facts by visit; 0 chooses the number by their size")
     parser.add_argument("--export", help="folder for CSV copies of the marts")
     args = parser.parse_args()
     conf = SparkConf().setIfMissing("spark.app.name", "fieldspark").setIfMissing("spark.ui.enabled", "false")
     spark = SparkSession.builder.config(conf=conf).getOrCreate()
     settings = Settings(as_of=args.as_of, id_type=args.id_type, strict_ids=not args.lenient_ids)
-    run(spark, args.raw, args.warehouse, args.select, settings, args.export, args.multi_line)
+    run(spark, args.raw, args.warehouse, args.select, settings, args.export, args.multi_line, args.buckets)
 
 
 if __name__ == "__main__":

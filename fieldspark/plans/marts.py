@@ -16,6 +16,7 @@ from fieldspark.functions.metrics import DONE_STATUSES, INCIDENT, NOT_VISITED, r
 from fieldspark.operators.assignment import distinct_assignments, primary_assignment
 from fieldspark.operators.lookup import lookup
 from fieldspark.plans.describe import described
+from fieldspark.sources.buckets import BucketedTable
 
 Tables = Mapping[str, DataFrame]
 
@@ -224,17 +225,24 @@ def _route_workers(t: Tables) -> DataFrame:
     )
 
 
-def visit_details(t: Tables) -> DataFrame:
-    """Visits with campaign, project, client and primary worker, keyed by ``detail_visit_id``."""
+def response_parts(t: Tables) -> dict[str, DataFrame]:
+    """The joined sides that visits look up. Written, they have a known size and are made once."""
+    return {"campaign_owners": _campaign_owners(t), "route_workers": _route_workers(t)}
+
+
+def visit_details(t: Tables, parts: Tables | None = None) -> DataFrame:
+    """Visits with campaign, project, client and primary worker, keyed by ``detail_visit_id``. With
+    ``parts`` (written ``response_parts``) nothing but the visits is left to join."""
     visits = t["visits"].select(
         F.col("visit_id").alias("detail_visit_id"), "campaign_id",
         F.col("project_code").alias("visit_project_code"), "intervention_point_id", "route_id",
         "visit_date", "visit_time", "visit_status", "visit_type", "is_client_billable",
     )
     spread = {"hot_from": t["visits"], "spread_by": ["detail_visit_id"]}
+    owners, workers = (parts["campaign_owners"], parts["route_workers"]) if parts else (_campaign_owners(t), _route_workers(t))
     df = lookup(
-        visits, _campaign_owners(t), "campaign_id", "owner_campaign_id",
-        sized_by=[t["campaigns"], t["projects"], t["clients"]], **spread,
+        visits, owners, "campaign_id", "owner_campaign_id",
+        sized_by=None if parts else [t["campaigns"], t["projects"], t["clients"]], **spread,
     ).withColumn("any_project_code", F.coalesce("campaign_project_code", "visit_project_code"))
     df = lookup(
         df, _projects_by_code(t["projects"]), "any_project_code", "by_code_key",
@@ -245,8 +253,8 @@ def visit_details(t: Tables) -> DataFrame:
         hot_from=df, spread_by=["detail_visit_id"],
     )
     df = lookup(
-        df, _route_workers(t), "route_id", "worker_route_id",
-        sized_by=[t["route_employee"], t["workers"]], **spread,
+        df, workers, "route_id", "worker_route_id",
+        sized_by=None if parts else [t["route_employee"], t["workers"]], **spread,
     )
     return df.select(
         "detail_visit_id",
@@ -262,9 +270,9 @@ def visit_details(t: Tables) -> DataFrame:
     )
 
 
-def visit_responses(t: Tables) -> DataFrame:
-    """One row per answer with its visit, question, owner and primary worker."""
-    answers = t["responses"].select(
+def _asked(t: Tables, responses: DataFrame) -> DataFrame:
+    """Answers with the attributes of their question."""
+    answers = responses.select(
         "answer_id", "visit_id", "question_id", F.col("question_type").alias("own_question_type"),
         "answer", "expected_answer", "fk_visit_id_valid", "fk_question_id_valid", "created_at",
         "updated_at_sys",
@@ -275,16 +283,38 @@ def visit_responses(t: Tables) -> DataFrame:
         question_order="question_order", question_is_highlighted="question_is_highlighted",
         image_associated="image_associated",
     )
-    spread = {"hot_from": t["responses"], "spread_by": ["answer_id"]}
-    visit_tables = ("visits", "campaigns", "projects", "clients", "route_employee", "workers")
-    asked = lookup(answers, questions, "question_id", "question_key", **spread)
-    full = lookup(
-        asked, visit_details(t), "visit_id", "detail_visit_id",
-        sized_by=[t[n] for n in visit_tables], **spread,
-    )
+    return lookup(answers, questions, "question_id", "question_key", hot_from=responses, spread_by=["answer_id"])
+
+
+def _as_mart(full: DataFrame) -> DataFrame:
     return full.withColumns(
         {
             "question_type": F.coalesce("own_question_type", "master_question_type"),
             "workers_assigned_count": F.coalesce("workers_assigned_count", F.lit(0)),
         }
     ).select(*described(VISIT_RESPONSES, RESPONSE_COMMENTS))
+
+
+def visit_responses(t: Tables) -> DataFrame:
+    """One row per answer with its visit, question, owner and primary worker."""
+    visit_tables = ("visits", "campaigns", "projects", "clients", "route_employee", "workers")
+    full = lookup(
+        _asked(t, t["responses"]), visit_details(t), "visit_id", "detail_visit_id",
+        sized_by=[t[n] for n in visit_tables], hot_from=t["responses"], spread_by=["answer_id"],
+    )
+    return _as_mart(full)
+
+
+def bucketed_visit_responses(t: Tables, visits: BucketedTable, responses: BucketedTable, parts: Tables) -> DataFrame:
+    """The same mart from facts bucketed by visit: answers meet their visits bucket by bucket, without a
+    shuffle of either. Answers of hot visits, fewer visits than buckets, meet these visits by a broadcast;
+    answers without a visit meet none. Where a dimension is too large to broadcast, its lookup shuffles
+    the side that looks it up, and nothing else."""
+    if (visits.key, responses.key) != ("visit_id", "visit_id") or visits.buckets != responses.buckets:
+        raise ValueError("visits and responses must share the buckets of visit_id")
+    details = visit_details({**t, "visits": visits.even}, parts)
+    on = F.col("visit_id") == F.col("detail_visit_id")
+    even = _asked(t, responses.even).join(details.hint("merge"), on, "left")
+    of_hot = visits.even.join(F.broadcast(responses.hot_keys), "visit_id", "left_semi")
+    hot = _asked(t, responses.hot).join(F.broadcast(visit_details({**t, "visits": of_hot}, parts)), on, "left")
+    return _as_mart(even.unionByName(hot))

@@ -76,7 +76,7 @@ class Warehouse:
     def write(self, layer: str, name: str, df: DataFrame) -> DataFrame:
         """Replace a table and return it as read back, with its lineage cut."""
         version = self.new_version()
-        df.write.parquet(f"{self._folder(layer, name)}/{version}")
+        df.write.parquet(self.version_path(layer, name, version))
         self.switch(layer, name, version)
         return self.read(layer, name)
 
@@ -84,6 +84,9 @@ class Warehouse:
     def new_version() -> str:
         return f"table-{uuid.uuid4().hex}"
 
+    def version_path(self, layer: str, name: str, version: str) -> str:
+        return f"{self._folder(layer, name)}/{version}"
+
     def switch(self, layer: str, name: str, version: str) -> None:
         """Make a completely written folder the current one."""
         before = self._versions(layer, name)

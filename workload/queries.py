@@ -16,10 +16,10 @@ from fieldspark.operators.frequent import frequent_values
 from fieldspark.operators.keys import highest_per_key, key_set
 from fieldspark.plans import kpis, marts, quality
 from fieldspark.plans.entities import ENTITIES, ROUTE_PREFIX, Settings
-from fieldspark.plans.job import MARTS, build_marts, build_staging, staging_checks
+from fieldspark.plans.job import MARTS, build_facts, build_marts, build_staging, responses_from_facts, staging_checks
 from fieldspark.plans.quality import mart_model
 from fieldspark.plans.staging import StagedTables, cleaned_latest, stage
-from fieldspark.sources.tables import Warehouse, kept_rows, scratch_warehouse
+from fieldspark.sources.tables import Warehouse, kept_rows, scratch_warehouse, session_warehouse
 from workload.oracle import AS_OF
 from workload.raw_tables import RawTables, given, raw_table
 
@@ -198,6 +198,16 @@ for _name in ENTITIES:
 _over_staged("mart_campaign_performance", marts.campaign_performance)
 _over_staged("mart_visit_responses", marts.visit_responses)
 
+
+@_query
+def mart_visit_responses_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The response mart from facts bucketed by visit."""
+    house = session_warehouse(spark)
+    tables = _written(house, spark, sf_dir, ENTITIES)
+    build_facts(house, tables, buckets=16)
+    return responses_from_facts(house, tables)
+
+
 # --- KPIs -------------------------------------------------------------------------------
 
 
