@@ -382,25 +382,41 @@ def _of(first: int, last: int) -> Column:
     return F.struct(*[F.col(f"w{i}").alias(f"k{i - first}") for i in range(first, last + 1)])
 
 
-def _cut_scores(phrases: DataFrame, tables: dict[int, DataFrame], n: int) -> DataFrame:
-    """The phrases with the counts of both parts and the score of their lowest-scoring cut."""
-    a = F.col("a").cast("decimal(18,0)")
-    cuts = []
-    for k in range(1, n):
-        for side, first, last in (("l", 1, k), ("r", k + 1, n)):
-            name, size = f"{side}{k}", last - first + 1
-            part = tables[size].select(F.col("key").alias(f"key_{name}"), F.col("f").alias(name))
-            keyed = phrases.withColumn("part", _of(first, last))
-            base = tables[n].select(_of(first, last).alias("part"))
+def _with_parts(phrases: DataFrame, counted: DataFrame, often: DataFrame, longest: int) -> DataFrame:
+    """Phrases with ``f_i_j``, the count of their words i to j where a cut needs it, with their words
+    and the language. Each part is looked up for phrases of all lengths at once."""
+    spread = ["words", *[f"w{i}" for i in range(1, longest + 1)]]
+    for size in range(1, longest):
+        for i in range(1, longest - size + 2):
+            j = i + size - 1
+            if size == 1:
+                needed, lang = F.col("words") >= j, ["lang"] if i == 1 else []
+                part = often.select(F.struct(F.col("id").alias("k0")).alias("whole"), F.col("f").alias(f"f_{i}_{j}"), F.col("word").alias(f"word{i}"), *lang)
+            else:
+                at_end = F.lit(True) if i == 1 else F.col("words") == j
+                needed = (F.col("words") > size) & (F.col("words") >= j) & at_end
+                part = counted.where(F.col("words") == size).select(_of(1, size).alias("whole"), F.col("f").alias(f"f_{i}_{j}"))
+            key = F.when(needed, _of(i, j)).alias("part")
             phrases = lookup(
-                keyed, part, "part", f"key_{name}", how="inner", hot_from=base, spread_by=[f"w{i}" for i in range(1, n + 1)]
+                phrases.select("*", key), part, "part", "whole", hot_from=counted.select(key).where("part IS NOT NULL"), spread_by=spread
             ).drop("part")
-        both = F.col(f"l{k}").cast("decimal(18,0)") * F.col(f"r{k}").cast("decimal(18,0)")
-        phrases = phrases.withColumn(f"top{k}", F.lit(1_000_000).cast("decimal(7,0)") * a * a).withColumn(f"both{k}", both)
-        score = F.expr(f"top{k} div both{k}")
-        cuts.append(F.struct(score.alias("score"), F.lit(k).alias("k"), F.col(f"l{k}").alias("l"), F.col(f"r{k}").alias("r")))
-    best = F.array_min(F.array(*cuts))
-    return phrases.withColumn("best", best).drop(*[f"{c}{k}" for k in range(1, n) for c in ("l", "r", "top", "both")])
+        phrases = checkpointed(phrases)
+    return phrases
+
+
+def _lowest_cut(longest: int) -> Column:
+    """(score, k, l, r) of the lowest-scoring cut of a phrase, ties to the first."""
+    wide = "decimal(18,0)"
+    cuts = []
+    for k in range(1, longest):
+        right = f"CASE words {' '.join(f'WHEN {n} THEN f_{k + 1}_{n}' for n in range(k + 1, longest + 1))} END"
+        score = (
+            f"CAST(1000000 AS decimal(7,0)) * CAST(a AS {wide}) * CAST(a AS {wide}) "
+            f"DIV (CAST(f_1_{k} AS {wide}) * CAST({right} AS {wide}))"
+        )
+        cut = F.struct(F.expr(score).alias("score"), F.lit(k).alias("k"), F.col(f"f_1_{k}").alias("l"), F.expr(right).alias("r"))
+        cuts.append(F.when(F.col("words") > k, cut))
+    return F.array_min(F.array(*cuts))
 
 
 def collocations(
@@ -427,32 +443,21 @@ def collocations(
     often = words.where(F.col("f") >= least)
     if bits < 64:
         often = often.withColumn("id", F.col("id").bitwiseAND(F.lit((1 << bits) - 1)))
-    tables = {1: often.select(F.struct(F.col("id").alias("k0")).alias("key"), "f")}
-    for n in range(2, longest + 1):
-        ids = [f"w{i}" for i in range(1, n + 1)]
-        tables[n] = counted.where(F.col("words") == n).select(*ids, "f", _of(1, n).alias("key"))
-    named = []
-    for n in range(2, longest + 1):
-        phrases = tables[n].withColumnRenamed("f", "a")
-        inside = [
-            tables[m].select(_of(i, i + n - 1).alias("inner"), "f")
+    candidates = [counted.where(F.col("words") == n).withColumnRenamed("f", "a") for n in range(2, longest + 1)]
+    for n in range(2, longest):
+        longer = reduce(DataFrame.unionByName, [
+            counted.where(F.col("words") == m).select(_of(i, i + n - 1).alias("inner"), "f")
             for m in range(n + 1, longest + 1) for i in range(1, m - n + 2)
-        ]
-        if inside:
-            within = reduce(DataFrame.unionByName, inside).groupBy("inner").agg(F.max("f").alias("longer"))
-            phrases = phrases.join(within, F.col("key") == F.col("inner"), "left")
-            phrases = phrases.where(F.col("longer").isNull() | (F.col("longer") * 100 < F.col("a") * absorbed_percent)).drop("inner", "longer")
-        phrases = _cut_scores(phrases.drop("key"), tables, n)
-        for i in range(1, n + 1):
-            lang = ["lang"] if i == 1 else []
-            spelled = often.select(F.col("id").alias(f"id{i}"), F.col("word").alias(f"word{i}"), *lang)
-            phrases = lookup(
-                phrases, spelled, f"w{i}", f"id{i}", how="inner", hot_from=tables[n], spread_by=[f"w{j}" for j in range(1, n + 1)]
-            )
-        phrase = F.concat_ws(" ", *[f"word{i}" for i in range(1, n + 1)])
-        named.append(phrases.select("lang", phrase.alias("phrase"), "a", "best.l", "best.r", "best.score"))
+        ]).groupBy("inner").agg(F.max("f").alias("longer"))
+        found = candidates[n - 2].join(longer, _of(1, n) == F.col("inner"), "left")
+        alone = F.col("longer").isNull() | (F.col("longer") * 100 < F.col("a") * absorbed_percent)
+        candidates[n - 2] = found.where(alone).drop("inner", "longer")
+    phrases = checkpointed(reduce(DataFrame.unionByName, candidates))
+    phrases = _with_parts(phrases, counted, often, longest).withColumn("best", _lowest_cut(longest))
+    phrase = F.concat_ws(" ", *[f"word{i}" for i in range(1, longest + 1)])
+    scored = phrases.select("lang", phrase.alias("phrase"), "a", "best.l", "best.r", "best.score")
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-    ranked = reduce(DataFrame.unionByName, named).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_language)
+    ranked = scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_language)
     sizes = words.groupBy("lang").agg(F.sum("f").alias("n"))
     return ranked.join(sizes, "lang").select(
         "lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score"
