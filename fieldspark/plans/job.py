@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from fieldspark.operators.checks import Check, enforce, run_checks
 from fieldspark.plans import kpis, marts
 from fieldspark.plans.entities import ENTITIES, Settings
+from fieldspark.plans.increments import StagingStore
 from fieldspark.plans.quality import (
     DOMAIN_CHECKS, MART_CHECKS, OUTLIER_CHECKS, STAGING_CHECKS, mart_model, quality_report, share_checks,
     staging_model,
@@ -84,7 +85,21 @@ def build_staging(
     return staged
 
 
-def read_staging(house: Warehouse) -> dict[str, DataFrame]:
+def present(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """The raw tables whose files are there: an increment brings some."""
+    found = {}
+    for name in ENTITIES:
+        try:
+            found[name] = raw[name]
+        except FileNotFoundError:
+            continue
+    return found
+
+
+def read_staging(house: Warehouse, settings: Settings | None = None) -> dict[str, DataFrame]:
+    """The staged tables; with ``settings`` those of the store that merges new rows."""
+    if settings is not None:
+        return StagingStore(house, settings).tables()
     return {name: house.read("staging", staging_model(name)) for name in ENTITIES}
 
 
@@ -159,17 +174,22 @@ def check(house: Warehouse, tables: Mapping[str, DataFrame], layer: str = "all")
 def run(
     spark: SparkSession, raw_dir: str, warehouse: str, layer: str = "all",
     settings: Settings = Settings(), export_dir: str | None = None, multi_line: bool = False,
-    buckets: int | None = None,
+    buckets: int | None = None, merge: bool = False,
 ) -> None:
     """Build one layer, run the checks, or do everything. In a full run the checks of a layer come
     before what builds on it: errors stop the run there, warnings do not. With ``buckets`` (0: as
-    many as their size asks for) the facts are bucketed by visit before the marts."""
+    many as their size asks for) the facts are bucketed by visit before the marts. With ``merge`` the
+    raw files hold new rows only, which are merged into the stored ones."""
     house, full = Warehouse(spark, warehouse), layer == "all"
     if full or layer == "staging":
-        build_staging(RawFiles(spark, raw_dir, multi_line), house, settings)
+        raw = RawFiles(spark, raw_dir, multi_line)
+        if merge:
+            StagingStore(house, settings).merge(present(raw))
+        else:
+            build_staging(raw, house, settings)
         if not full:
             return
-    tables = read_staging(house)
+    tables = read_staging(house, settings if merge else None)
     if full:
         check(house, tables, "staging")
     if full or layer == "marts":
@@ -198,13 +218,14 @@ def main() -> None:
     parser.add_argument("--id-type", choices=["int", "bigint"], default="int")
     parser.add_argument("--lenient-ids", action="store_true", help="make bad ids null instead of failing")
     parser.add_argument("--multi-line", action="store_true", help="fields may hold line breaks")
+    parser.add_argument("--merge", action="store_true", help="the raw files hold new rows; use the store they are merged into")
     parser.add_argument("--buckets", type=int, help="bucket the facts by visit; 0 chooses the number by their size")
     parser.add_argument("--export", help="folder for CSV copies of the marts")
     args = parser.parse_args()
     conf = SparkConf().setIfMissing("spark.app.name", "fieldspark").setIfMissing("spark.ui.enabled", "false")
     spark = SparkSession.builder.config(conf=conf).getOrCreate()
     settings = Settings(as_of=args.as_of, id_type=args.id_type, strict_ids=not args.lenient_ids)
-    run(spark, args.raw, args.warehouse, args.select, settings, args.export, args.multi_line, args.buckets)
+    run(spark, args.raw, args.warehouse, args.select, settings, args.export, args.multi_line, args.buckets, args.merge)
 
 
 if __name__ == "__main__":

@@ -22,22 +22,33 @@ from fieldspark.operators.lookup import lookup
 from fieldspark.plans.describe import described
 from fieldspark.plans.entities import CLIENTS, ENTITIES, Entity, Settings
 
-_VERSION = "_version"
+VERSION = "_version"
 
 
-def cleaned_latest(raw: DataFrame, entity: Entity, settings: Settings) -> DataFrame:
-    """Cleaned columns, latest version per key. The version is parsed once, as a timestamp;
-    the staged date follows from it."""
-    version = mixed_timestamp(F.col(entity.version)).alias(_VERSION)
+def versions(raw: DataFrame, entity: Entity, settings: Settings) -> DataFrame:
+    """Cleaned columns of every raw row. The version is parsed once, as a timestamp; the staged date
+    follows from it."""
+    version = mixed_timestamp(F.col(entity.version)).alias(VERSION)
     columns = [c.build(settings) for c in entity.cleaned if c.name != entity.version]
-    latest = keep_latest(raw.select(*columns, version), entity.key, _VERSION)
+    return raw.select(*columns, version)
+
+
+def dated(latest: DataFrame, entity: Entity) -> DataFrame:
+    """The rows with the staged date in place of their version."""
+    names = {c.name for c in entity.cleaned}
+    flags = [c for c in latest.columns if c != VERSION and c not in names]
     return latest.select(
-        *[F.col(_VERSION).cast("date").alias(c.name) if c.name == entity.version else c.name
-          for c in entity.cleaned]
+        *[F.col(VERSION).cast("date").alias(c.name) if c.name == entity.version else c.name for c in entity.cleaned], *flags
     )
 
 
-def _finish(df: DataFrame, entity: Entity, settings: Settings) -> DataFrame:
+def cleaned_latest(raw: DataFrame, entity: Entity, settings: Settings) -> DataFrame:
+    """Cleaned columns, latest version per key."""
+    return dated(keep_latest(versions(raw, entity, settings), entity.key, VERSION), entity)
+
+
+def finished(df: DataFrame, entity: Entity, settings: Settings) -> DataFrame:
+    """The staged columns in order, with what follows from the others and the day."""
     added = entity.derived(settings)
     complete = df.withColumns(added) if added else df
     return complete.select(*described(entity.output, entity.comments()))
@@ -65,7 +76,7 @@ def stage(
             df, ref.fk, parents[ref.parent], ENTITIES[ref.parent].key, ref.flag,
             null_fk=ref.null_fk, hot_from=latest, spread_by=[entity.key],
         )
-    return _finish(df, entity, settings)
+    return finished(df, entity, settings)
 
 
 def stage_clients(
@@ -81,7 +92,7 @@ def stage_clients(
         "client_code",
     )
     coded = lookup(clients, codes, "client_id", "_client_id")
-    return _finish(coded, CLIENTS, settings)
+    return finished(coded, CLIENTS, settings)
 
 
 class StagedTables(Mapping[str, DataFrame]):

@@ -30,6 +30,14 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     system.delete(found, True)
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """The names of the folders in a folder."""
+    found, system = _path(spark, path)
+    if not system.exists(found):
+        return []
+    return sorted(s.getPath().getName() for s in system.listStatus(found) if s.isDirectory())
+
+
 #: The file that names the folder a table is read from.
 CURRENT = "_current"
 

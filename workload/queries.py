@@ -16,6 +16,7 @@ from fieldspark.operators.frequent import frequent_values
 from fieldspark.operators.keys import highest_per_key, key_set
 from fieldspark.plans import kpis, marts, quality
 from fieldspark.plans.entities import ENTITIES, ROUTE_PREFIX, Settings
+from fieldspark.plans.increments import merged
 from fieldspark.plans.job import MARTS, build_facts, build_marts, build_staging, responses_from_facts, staging_checks
 from fieldspark.plans.quality import mart_model
 from fieldspark.plans.staging import StagedTables, cleaned_latest, stage
@@ -208,6 +209,24 @@ def mart_visit_responses_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame
     return responses_from_facts(house, tables)
 
 
+def _with_parents(name: str) -> set[str]:
+    return {name}.union(*[_with_parents(ref.parent) for ref in ENTITIES[name].references])
+
+
+def _over_increments(name: str) -> None:
+    """A staging table after merging the rows created before a day, then the others."""
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        raw, made = RawTables(spark, sf_dir), F.coalesce(F.col("created_at") < "1997-06-01", F.lit(False))
+        needed = _with_parents(name) | ({"projects"} if name == "clients" else set())
+        parts = [{n: raw[n].where(p) for n in needed} for p in (made, ~made)]
+        return merged(session_warehouse(spark), parts, SETTINGS, buckets=8).read(name)
+
+    REGISTRY[f"stg_{name}_incremental"] = query
+
+
+for _name in ("clients", "visits", "responses"):
+    _over_increments(_name)
+
 # --- KPIs -------------------------------------------------------------------------------
 
 
