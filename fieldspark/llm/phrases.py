@@ -42,6 +42,8 @@ UNKNOWN = "und"
 BUFFER = 1 << 20
 #: Words counted for each shard; a shard holds at most twice as many phrases.
 SHARD_WORDS = 1 << 20
+#: Parts of a language's phrases that are ranked apart before the best of each meet.
+HANDS = 32
 #: Slices of the Bloom filter, and the most bits of one.
 _SLICES, _SLICE_BITS = 256, 1 << 20
 _PROBES = 4
@@ -456,8 +458,12 @@ def collocations(
     phrases = _with_parts(phrases, counted, often, longest).withColumn("best", _lowest_cut(longest))
     phrase = F.concat_ws(" ", *[f"word{i}" for i in range(1, longest + 1)])
     scored = phrases.select("lang", phrase.alias("phrase"), "a", "best.l", "best.r", "best.score")
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-    ranked = scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_language)
+    best_first = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    dealt = scored.withColumn("hand", F.pmod(F.xxhash64("phrase"), F.lit(HANDS)))
+    for groups in (["lang", "hand"], ["lang"]):  # so a language never sends more than its hands' best to one task
+        place = F.row_number().over(Window.partitionBy(*groups).orderBy(*best_first))
+        dealt = dealt.withColumn("rank", place).where(F.col("rank") <= per_language)
+    ranked = dealt.drop("hand")
     sizes = words.groupBy("lang").agg(F.sum("f").alias("n"))
     return ranked.join(sizes, "lang").select(
         "lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score"
