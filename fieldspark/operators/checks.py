@@ -31,6 +31,15 @@ class Check:
 
     name = "check"
 
+    def failing_values(self, tables: Mapping[str, DataFrame]) -> DataFrame | None:
+        """The failing values as text, ``key``, each with its ``row_count``; None for rules about a
+        whole column."""
+        return None
+
+
+def _counted(values: DataFrame, key: Column) -> DataFrame:
+    return values.groupBy(key.cast("string").alias("key")).agg(F.count(F.lit(1)).alias("row_count"))
+
 
 class RowCheck(Check):
     """A rule that an aggregate over the model's rows can count."""
@@ -55,6 +64,10 @@ class NotNull(RowCheck):
     def failing(self, table):
         return F.count_if(F.col(self.column).isNull())
 
+    def failing_values(self, tables):
+        missing = F.col(self.column).isNull()
+        return _counted(tables[self.model].where(missing), F.lit(None))
+
 
 @dataclass(frozen=True, kw_only=True)
 class Unique(TableCheck):
@@ -67,6 +80,10 @@ class Unique(TableCheck):
         repeated = F.col(self.column).isNotNull() & (F.col("n") > 1)
         return counts.agg(F.count_if(repeated).alias("failures"))
 
+    def failing_values(self, tables):
+        present = tables[self.model].where(F.col(self.column).isNotNull())
+        return _counted(present, F.col(self.column)).where("row_count > 1")
+
 
 @dataclass(frozen=True, kw_only=True)
 class Relationships(TableCheck):
@@ -77,7 +94,8 @@ class Relationships(TableCheck):
 
     name = "relationships"
 
-    def failures(self, tables):
+    def _orphans(self, tables: Mapping[str, DataFrame]) -> DataFrame:
+        """Keys without a parent, each with its rows, counted before the join."""
         child = (
             tables[self.model]
             .where(F.col(self.column).isNotNull())
@@ -85,8 +103,13 @@ class Relationships(TableCheck):
             .agg(F.count(F.lit(1)).alias("n"))
         )
         parent = tables[self.parent].select(F.col(self.parent_column).alias("_parent"))
-        orphans = child.join(parent, F.col("_child") == F.col("_parent"), "left_anti")
-        return orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("failures"))
+        return child.join(parent, F.col("_child") == F.col("_parent"), "left_anti")
+
+    def failures(self, tables):
+        return self._orphans(tables).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("failures"))
+
+    def failing_values(self, tables):
+        return self._orphans(tables).select(F.col("_child").cast("string").alias("key"), F.col("n").alias("row_count"))
 
 
 @dataclass(frozen=True, kw_only=True)
@@ -101,6 +124,9 @@ class AcceptedValues(TableCheck):
         seen = tables[self.model].select(self.column).distinct()
         return seen.agg(F.count_if(~F.col(self.column).isin(*self.values)).alias("failures"))
 
+    def failing_values(self, tables):
+        return _counted(tables[self.model].where(~F.col(self.column).isin(*self.values)), F.col(self.column))
+
 
 @dataclass(frozen=True, kw_only=True)
 class MaxInvalidShare(RowCheck):
@@ -127,6 +153,10 @@ class OrderedDates(RowCheck):
     def failing(self, table):
         return F.count_if(F.col(self.column) > F.col(self.end_column))
 
+    def failing_values(self, tables):
+        inverted = tables[self.model].where(F.col(self.column) > F.col(self.end_column))
+        return _counted(inverted, F.concat_ws(" > ", self.column, self.end_column))
+
 
 @dataclass(frozen=True, kw_only=True)
 class NoOutliers(RowCheck):
@@ -137,6 +167,10 @@ class NoOutliers(RowCheck):
     def failing(self, table):
         return F.count_if(is_outlier(table, self.column))
 
+    def failing_values(self, tables):
+        table = tables[self.model]
+        return _counted(table.where(is_outlier(table, self.column)), F.col(self.column))
+
 
 def _described(check: Check, failures: Column) -> Column:
     failures = failures.cast("bigint")
@@ -171,6 +205,18 @@ def run_checks(tables: Mapping[str, DataFrame], checks: Iterable[Check]) -> Data
     return reduce(DataFrame.unionByName, parts)
 
 
+def failing_rows(tables: Mapping[str, DataFrame], checks: Iterable[Check]) -> DataFrame | None:
+    """What fails, not only how often: a row (check_name, model, column_name, key, row_count) for each
+    value of a column that fails a check. Values are counted before they are joined or moved."""
+    parts = []
+    for check in checks:
+        values = check.failing_values(tables)
+        if values is not None:
+            named = [F.lit(v).alias(n) for n, v in (("check_name", check.name), ("model", check.model), ("column_name", check.column))]
+            parts.append(values.select(*named, "key", "row_count"))
+    return reduce(DataFrame.unionByName, parts) if parts else None
+
+
 class ChecksFailed(Exception):
     """Raised when a check of error severity has failures."""
 

@@ -10,14 +10,18 @@ real table sizes. Tables that do not need each other are written at the same tim
 from __future__ import annotations
 
 import argparse
+import uuid
 from collections.abc import Callable, Collection, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime, timezone
 from functools import cache, partial
 
 from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fieldspark.operators.checks import Check, enforce, run_checks
+from fieldspark.operators import history
+from fieldspark.operators.checks import Check, enforce, failing_rows, run_checks
 from fieldspark.plans import kpis, marts
 from fieldspark.plans.entities import ENTITIES, Settings
 from fieldspark.plans.increments import StagingStore
@@ -159,14 +163,24 @@ def profile(house: Warehouse, tables: Mapping[str, DataFrame]) -> DataFrame:
     return house.write("profile", "quality_report", quality_report(models, staging_checks()))
 
 
-def check(house: Warehouse, tables: Mapping[str, DataFrame], layer: str = "all") -> DataFrame:
-    """Run the declared checks on staging, marts or both and keep the results; raise on errors."""
+def check(
+    house: Warehouse, tables: Mapping[str, DataFrame], layer: str = "all", run_id: str | None = None
+) -> DataFrame:
+    """Run the declared checks on staging, marts or both and keep the results, their history and
+    changes, and the values that failed; raise on errors."""
     models = {staging_model(n): df for n, df in tables.items()}
     checks = [] if layer == "marts" else staging_checks()
     if layer != "staging":
         models |= {mart_model(n): house.read("marts", mart_model(n)) for n in MARTS}
         checks += MART_CHECKS
     results = house.write("checks", f"results_{layer}", run_checks(models, checks))
+    now = datetime.now(timezone.utc).replace(tzinfo=None)
+    log = house.append("checks", "history", history.of_run(results, run_id or uuid.uuid4().hex, now.isoformat(" ")))
+    house.write("checks", f"changes_{layer}", history.changes(log).where(F.col("model").isin(*models)))
+    failed = {(r.check_name, r.model, r.column_name) for r in results.where("failures > 0").collect()}  # one row a check
+    found = failing_rows(models, [c for c in checks if (c.name, c.model, c.column) in failed])
+    if found is not None:
+        house.write("checks", f"failures_{layer}", found, partition_by=["check_name"])
     enforce(results)
     return results
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import atexit
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager, suppress
 from dataclasses import dataclass
 
@@ -81,13 +81,19 @@ class Warehouse:
     def read(self, layer: str, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(layer, name))
 
-    def write(self, layer: str, name: str, df: DataFrame) -> DataFrame:
+    def write(self, layer: str, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
         """Replace a table and return it as read back, with its lineage cut."""
         version = self.new_version()
-        df.write.parquet(self.version_path(layer, name, version))
+        df.write.partitionBy(*partition_by).parquet(self.version_path(layer, name, version))
         self.switch(layer, name, version)
         return self.read(layer, name)
 
+    def append(self, layer: str, name: str, df: DataFrame) -> DataFrame:
+        """Add rows to a table that only grows, and return all of it. Its files are never replaced."""
+        path = self.version_path(layer, name, "log")
+        df.write.mode("append").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     @staticmethod
     def new_version() -> str:
         return f"table-{uuid.uuid4().hex}"

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from fieldspark.functions import casts, dates, text
 from fieldspark.functions.metrics import distinct_when, rate, sorted_text
 from fieldspark.operators import checks as ck
-from fieldspark.operators import profile
+from fieldspark.operators import history, profile
 from fieldspark.operators.assignment import primary_assignment
 from fieldspark.operators.frequent import frequent_values
 from fieldspark.operators.keys import highest_per_key, key_set
@@ -312,6 +312,33 @@ def check_raw_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     ])
 
 
+def _raw_checks() -> list[ck.Check]:
+    return [
+        ck.NotNull(model="raw_visits", column="route_id"),
+        ck.Unique(model="raw_visits", column="visit_id"),
+        ck.Unique(model="raw_responses", column="answer_id", severity=ck.WARN),
+        ck.Relationships(model="raw_responses", column="visit_id", parent="raw_visits", parent_column="visit_id"),
+    ]
+
+
+@_query
+def check_failing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every value that fails a check on raw tables, with its rows."""
+    tables = {f"raw_{n}": raw_table(spark, sf_dir, n) for n in ("visits", "responses")}
+    return ck.failing_rows(tables, _raw_checks())
+
+
+@_query
+def check_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checks on the raw tables as they were on a day, and on all of them, held against each other."""
+    house = session_warehouse(spark)
+    tables = {f"raw_{n}": raw_table(spark, sf_dir, n) for n in ("visits", "responses")}
+    then = {n: df.where("created_at < '1997-06-01'") for n, df in tables.items()}
+    for run_id, ran_at, some in (("one", "1997-06-01 00:00:00", then), ("two", "1998-12-31 00:00:00", tables)):
+        log = house.append("checks", "history", history.of_run(ck.run_checks(some, _raw_checks()), run_id, ran_at))
+    return history.changes(log)
+
+
 @_query
 def check_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     declared = [ck.NoOutliers(model="events", column="value", severity=ck.WARN)]
