@@ -13,6 +13,7 @@ from fieldspark.operators import checks as ck
 from fieldspark.operators import history, profile
 from fieldspark.operators.assignment import primary_assignment
 from fieldspark.operators.frequent import frequent_values
+from fieldspark.operators.group_quantiles import group_outliers, group_quantiles
 from fieldspark.operators.keys import highest_per_key, key_set
 from fieldspark.plans import kpis, marts, quality
 from fieldspark.plans.entities import ENTITIES, ROUTE_PREFIX, Settings
@@ -370,6 +371,20 @@ def profile_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.outliers(given(spark, sf_dir, "events"), "value").select("event_id", "event_type", "value")
 
 
+@_query
+def profile_group_quartiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quartiles of prices by supplier, and of all rows of the open line status as one hot group."""
+    lines = given(spark, sf_dir, "lineitem")
+    keyed = lines.withColumn("supplier", F.when(F.col("l_linestatus") != "O", F.col("l_suppkey")))
+    return group_quantiles(keyed, "supplier", "l_extendedprice")
+
+
+@_query
+def profile_group_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events whose value is an outlier among those of its type."""
+    return group_outliers(given(spark, sf_dir, "events"), "event_type", "value").select("event_id", "event_type", "value")
+
+
 @_query
 def profile_inverted_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     campaigns = stage("campaigns", raw_table(spark, sf_dir, "campaigns"), settings=SETTINGS)
