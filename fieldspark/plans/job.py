@@ -14,7 +14,7 @@ import uuid
 from collections.abc import Callable, Collection, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
-from functools import cache, partial
+from functools import cache, partial, reduce
 
 from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +22,9 @@ from pyspark.sql import functions as F
 
 from fieldspark.operators import history
 from fieldspark.operators.checks import Check, enforce, failing_rows, run_checks
+from fieldspark.operators.frequent import frequent_values
 from fieldspark.plans import kpis, marts
+from fieldspark.plans.describe import data_dictionary
 from fieldspark.plans.entities import ENTITIES, Settings
 from fieldspark.plans.increments import StagingStore
 from fieldspark.plans.quality import (
@@ -31,12 +33,14 @@ from fieldspark.plans.quality import (
 )
 from fieldspark.plans.staging import raw_keys, stage, stage_clients
 from fieldspark.sources.buckets import bucket_count, read_bucketed, write_bucketed
-from fieldspark.sources.raw_csv import export_csv, read_raw
+from fieldspark.sources.raw_csv import export_csv, export_one_csv, read_raw, read_with_quarantine
 from fieldspark.sources.tables import Warehouse
 
 LAYERS = ("staging", "marts", "kpis", "checks", "checks-staging", "checks-marts", "profile", "all")
 MAX_INVALID_SHARE = 0.1
 PARALLEL_WRITES = 4
+#: Values that the profile lists of each column.
+TOP_VALUES = 10
 MARTS = {
     "campaign_performance": marts.campaign_performance,
     "visit_responses": marts.visit_responses,
@@ -44,10 +48,19 @@ MARTS = {
 
 
 class RawFiles(Mapping[str, DataFrame]):
-    """The raw CSV tables of a folder, read when first used."""
+    """The raw CSV tables of a folder, read when first used. With ``quarantine`` (a warehouse) malformed
+    lines are kept there, up to ``max_malformed`` of a table."""
 
-    def __init__(self, spark: SparkSession, folder: str, multi_line: bool = False) -> None:
-        self._read = cache(lambda name: read_raw(spark, folder, name, multi_line))
+    def __init__(
+        self, spark: SparkSession, folder: str, multi_line: bool = False, min_tasks: int | None = None,
+        quarantine: Warehouse | None = None, max_malformed: float = 0.01,
+    ) -> None:
+        def read(name: str) -> DataFrame:
+            if quarantine:
+                return read_with_quarantine(quarantine, folder, name, max_malformed, multi_line, min_tasks)
+            return read_raw(spark, folder, name, multi_line, min_tasks)
+
+        self._read = cache(read)
 
     def __getitem__(self, name: str) -> DataFrame:
         return self._read(name)
@@ -157,10 +170,22 @@ def staging_checks() -> list[Check]:
     return [*STAGING_CHECKS, *DOMAIN_CHECKS, *share_checks(MAX_INVALID_SHARE), *OUTLIER_CHECKS]
 
 
-def profile(house: Warehouse, tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Write the quality report of all staging tables."""
+def profile(house: Warehouse, tables: Mapping[str, DataFrame], exact: bool = False) -> DataFrame:
+    """Write the quality report of all staging tables, and the most frequent values of their columns."""
     models = {staging_model(n): df for n, df in tables.items()}
-    return house.write("profile", "quality_report", quality_report(models, staging_checks()))
+    top = [
+        frequent_values(df, df.columns, TOP_VALUES).select(F.lit(m).alias("model"), "*") for m, df in models.items()
+    ]
+    house.write("profile", "frequent_values", reduce(DataFrame.unionByName, top))
+    return house.write("profile", "quality_report", quality_report(models, staging_checks(), exact))
+
+
+def register(house: Warehouse) -> DataFrame:
+    """Declare staging and marts in the catalog with their descriptions, and write the data dictionary."""
+    about = {("staging", staging_model(n)): e.about for n, e in ENTITIES.items()}
+    about |= {("marts", mart_model(n)): (MARTS[n].__doc__ or "").split("\n")[0] for n in MARTS}
+    names = [house.register(layer, name, text) for (layer, name), text in about.items() if house.exists(layer, name)]
+    return house.write("catalog", "data_dictionary", data_dictionary(house.spark, names))
 
 
 def check(
@@ -188,21 +213,28 @@ def check(
 def run(
     spark: SparkSession, raw_dir: str, warehouse: str, layer: str = "all",
     settings: Settings = Settings(), export_dir: str | None = None, multi_line: bool = False,
-    buckets: int | None = None, merge: bool = False,
+    buckets: int | None = None, merge: bool = False, min_tasks: int | None = None,
+    max_malformed: float | None = None, exact: bool = False, one_file: bool = False, catalog: bool = False,
 ) -> None:
     """Build one layer, run the checks, or do everything. In a full run the checks of a layer come
     before what builds on it: errors stop the run there, warnings do not. With ``buckets`` (0: as
     many as their size asks for) the facts are bucketed by visit before the marts. With ``merge`` the
-    raw files hold new rows only, which are merged into the stored ones."""
+    raw files hold new rows only, which are merged into the stored ones. ``min_tasks`` spreads raw files
+    that can't be split. With ``max_malformed`` malformed lines go to quarantine, up to that share of a
+    table. ``exact`` profiles count distinct values instead of estimating them. ``one_file``
+    exports one CSV file a mart. ``catalog`` declares the tables with their descriptions at the end."""
     house, full = Warehouse(spark, warehouse), layer == "all"
     if full or layer == "staging":
-        raw = RawFiles(spark, raw_dir, multi_line)
+        quarantine = None if max_malformed is None else house
+        raw = RawFiles(spark, raw_dir, multi_line, min_tasks, quarantine, max_malformed or 0.0)
         if merge:
             StagingStore(house, settings).merge(present(raw))
         else:
             build_staging(raw, house, settings)
-        if not full:
-            return
+    if layer == "staging":
+        if catalog:
+            register(house)
+        return
     tables = read_staging(house, settings if merge else None)
     if full:
         check(house, tables, "staging")
@@ -212,15 +244,18 @@ def run(
         build_marts(house, tables, buckets is not None)
         if export_dir:
             for name in map(mart_model, MARTS):
-                export_csv(house.read("marts", name), f"{export_dir}/{name}")
+                export = export_one_csv if one_file else export_csv
+                export(house.read("marts", name), f"{export_dir}/{name}{'.csv' if one_file else ''}")
     if full:
         check(house, tables, "marts")
     if full or layer == "kpis":
         build_kpis(house, tables, settings)
     if full or layer == "profile":
-        profile(house, tables)
+        profile(house, tables, exact)
     if layer.startswith("checks"):
         check(house, tables, layer.removeprefix("checks").lstrip("-") or "all")
+    if catalog:
+        register(house)
 
 
 def main() -> None:
@@ -232,6 +267,11 @@ def main() -> None:
     parser.add_argument("--id-type", choices=["int", "bigint"], default="int")
     parser.add_argument("--lenient-ids", action="store_true", help="make bad ids null instead of failing")
     parser.add_argument("--multi-line", action="store_true", help="fields may hold line breaks")
+    parser.add_argument("--one-file", action="store_true", help="export one CSV file for each mart")
+    parser.add_argument("--min-tasks", type=int, help="spread raw files that cannot be split over as many tasks")
+    parser.add_argument("--max-malformed", type=float, help="share of malformed lines that go to quarantine; more, or without it any, stop the read")
+    parser.add_argument("--exact", action="store_true", help="count distinct values in the profile instead of estimating them")
+    parser.add_argument("--catalog", action="store_true", help="declare the tables with their descriptions in the catalog")
     parser.add_argument("--merge", action="store_true", help="the raw files hold new rows; use the store they are merged into")
     parser.add_argument("--buckets", type=int, help="bucket the facts by visit; 0 chooses the number by their size")
     parser.add_argument("--export", help="folder for CSV copies of the marts")
@@ -239,7 +279,10 @@ def main() -> None:
     conf = SparkConf().setIfMissing("spark.app.name", "fieldspark").setIfMissing("spark.ui.enabled", "false")
     spark = SparkSession.builder.config(conf=conf).getOrCreate()
     settings = Settings(as_of=args.as_of, id_type=args.id_type, strict_ids=not args.lenient_ids)
-    run(spark, args.raw, args.warehouse, args.select, settings, args.export, args.multi_line, args.buckets, args.merge)
+    run(
+        spark, args.raw, args.warehouse, args.select, settings, args.export, args.multi_line, args.buckets, args.merge,
+        args.min_tasks, args.max_malformed, args.exact, args.one_file, args.catalog,
+    )
 
 
 if __name__ == "__main__":

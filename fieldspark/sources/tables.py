@@ -19,20 +19,20 @@ def balanced(df: DataFrame, min_tasks: int | None = None) -> DataFrame:
     return df.repartition(min_tasks)
 
 
-def _path(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
     """A Hadoop path and its file system."""
     found = spark._jvm.org.apache.hadoop.fs.Path(path)
     return found, found.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
 
 
 def delete_folder(spark: SparkSession, path: str) -> None:
-    found, system = _path(spark, path)
+    found, system = hadoop_path(spark, path)
     system.delete(found, True)
 
 
 def folders(spark: SparkSession, path: str) -> list[str]:
     """The names of the folders in a folder."""
-    found, system = _path(spark, path)
+    found, system = hadoop_path(spark, path)
     if not system.exists(found):
         return []
     return sorted(s.getPath().getName() for s in system.listStatus(found) if s.isDirectory())
@@ -59,7 +59,7 @@ class Warehouse:
 
     def _versions(self, layer: str, name: str) -> list[str]:
         """The folders of a table that is or was current, the current one first."""
-        pointer, system = _path(self.spark, f"{self._folder(layer, name)}/{CURRENT}")
+        pointer, system = hadoop_path(self.spark, f"{self._folder(layer, name)}/{CURRENT}")
         if not system.exists(pointer):
             return []
         stream = system.open(pointer)
@@ -105,7 +105,7 @@ class Warehouse:
         """Make a completely written folder the current one."""
         before = self._versions(layer, name)
         folder = self._folder(layer, name)
-        beside, system = _path(self.spark, f"{folder}/{CURRENT}-{uuid.uuid4().hex}")
+        beside, system = hadoop_path(self.spark, f"{folder}/{CURRENT}-{uuid.uuid4().hex}")
         stream = system.create(beside, True)
         stream.write("\n".join([version, *before[:1]]).encode())
         stream.close()
@@ -114,12 +114,21 @@ class Warehouse:
         options = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
         options[0] = replace
         conf = self.spark._jsparkSession.sessionState().newHadoopConf()
-        pointer = _path(self.spark, f"{folder}/{CURRENT}")[0]
+        pointer = hadoop_path(self.spark, f"{folder}/{CURRENT}")[0]
         files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(system.makeQualified(pointer).toUri(), conf)
         files.rename(system.makeQualified(beside), system.makeQualified(pointer), options)
         for old in before[1:]:
             delete_folder(self.spark, f"{folder}/{old}")
 
+    def register(self, layer: str, name: str, about: str) -> str:
+        """Declare the table as it is now in the session catalog, as ``<layer>_<name>``, described by
+        ``about`` and its columns by the comments they carry. To be repeated after each write."""
+        table = f"{layer}_{name}"
+        self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        path = self.path(layer, name)
+        self.spark.catalog.createTable(table, path, "parquet", self.spark.read.parquet(path).schema, about)
+        return table
+
     def save_as_table(self, layer: str, name: str, df: DataFrame) -> DataFrame:
         """Replace a table and register it in the session catalog as ``<layer>_<name>``."""
         table = f"{layer}_{name}"
@@ -146,7 +155,7 @@ def scratch_warehouse(spark: SparkSession) -> Iterator[Warehouse]:
 def session_warehouse(spark: SparkSession) -> Warehouse:
     """A fresh shared folder for tables that lazy results read, deleted when the program ends."""
     house = Warehouse(spark, f"{shared_folder(spark)}/tables-{uuid.uuid4().hex}")
-    found, system = _path(spark, house.root)
+    found, system = hadoop_path(spark, house.root)
 
     def delete() -> None:
         with suppress(Exception):  # the JVM may be gone

@@ -15,7 +15,7 @@ from fieldspark.operators.assignment import primary_assignment
 from fieldspark.operators.frequent import frequent_values
 from fieldspark.operators.group_quantiles import group_outliers, group_quantiles
 from fieldspark.operators.keys import highest_per_key, key_set
-from fieldspark.plans import kpis, marts, quality
+from fieldspark.plans import describe, kpis, marts, quality
 from fieldspark.plans.entities import ENTITIES, ROUTE_PREFIX, Settings
 from fieldspark.plans.increments import merged
 from fieldspark.plans.job import MARTS, build_facts, build_marts, build_staging, responses_from_facts, staging_checks
@@ -360,6 +360,15 @@ _over_raw("profile_frequent_values", "responses", lambda raw: frequent_values(ra
 _over_raw("profile_dates", "campaigns", lambda raw: profile.date_profile(raw, _date_columns(raw)))
 
 
+@_query
+def data_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Descriptions of the staging tables as the catalog has them, with rows and nulls of each column."""
+    house = session_warehouse(spark)
+    _written(house, spark, sf_dir, ENTITIES)
+    names = [house.register("staging", quality.staging_model(n), e.about) for n, e in ENTITIES.items()]
+    return describe.data_dictionary(spark, names)
+
+
 @_query
 def profile_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     summary = profile.quantiles(given(spark, sf_dir, "lineitem"), "l_extendedprice")
