@@ -12,6 +12,7 @@ domain: every pass replays the earlier residuals for its rows and sums a few num
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -170,22 +171,30 @@ def fit_classifier(
 
 @dataclass
 class Rates:
-    """Rates as a function of probabilities: the residuals of all steps, replayed."""
+    """Rates as a function of probabilities: the residuals of all steps, replayed. ``distance`` bounds how
+    far they are from the solution (root of the token-weighted mean square), ``converged`` says whether that is
+    within the tolerance asked for, and ``reached`` are the tokens of each domain, as shares of the corpus."""
 
     weights: np.ndarray
     ridge: float
     residuals: list[np.ndarray]
+    distance: float = 0.0
+    converged: bool = True
+    reached: np.ndarray | None = None
 
-    def of(self, share: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The rates of rows of probabilities after all steps, and the point the next step starts
-        from (with Nesterov's momentum)."""
+    def of(self, share: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The rates of rows of probabilities after all steps, the point the next step starts from (with
+        Nesterov's momentum, as it is best for a problem this convex), and by how much the last step moved."""
         rate = ahead = np.ones(len(share))
+        moved = np.zeros(len(share))
+        root = np.sqrt(self.ridge / (1 + self.ridge))
         for t, residual in enumerate(self.residuals):
             slope = share @ (self.weights * residual) + self.ridge * (ahead - 1)
             step = np.maximum(0, ahead - slope / (1 + self.ridge))
-            ahead = np.maximum(0, step + t / (t + 3) * (step - rate))
+            moved = step - ahead
+            ahead = np.maximum(0, step + min(t / (t + 3), (1 - root) / (1 + root)) * (step - rate))
             rate = step
-        return rate, ahead
+        return rate, ahead, moved
 
 
 def posteriors(docs: DataFrame, classifier: Classifier, text_col: str = "text", rates: Rates | None = None) -> DataFrame:
@@ -220,14 +229,15 @@ def _shares(column: pa.Array, width: int) -> np.ndarray:
 
 
 def fit_rates(
-    judged: DataFrame, targets: list[float], *, ridge: float = 0.01, steps: int = 60, tolerance: float = 1e-5, rows_per_task: int = 500_000
+    judged: DataFrame, targets: list[float], *, ridge: float = 0.01, steps: int = 1_000, tolerance: float = 1e-3, rows_per_task: int = 500_000
 ) -> Rates:
     """Projected-gradient least squares for (``n_tokens``, ``posterior``).
 
     Minimises half the sum over domains of (tokens - target)^2 / present tokens, with ``ridge``
     times the token-weighted (rate - 1)^2, all relative to the corpus, over rates of at least 0.
-    ``targets`` are the wanted tokens of each domain as shares of the corpus. Ends after ``steps`` passes, or when no residual moves by
-    more than ``tolerance``. A pass brings one row of numbers to the driver.
+    ``targets`` are the wanted tokens of each domain as shares of the corpus. Ends when the projected
+    gradient proves the rates to be within ``tolerance`` of the solution (``Rates.distance``). Should ``steps`` passes
+    not do, a warning says so and the rates are marked. A pass brings one row of numbers to the driver.
     """
     width = len(targets)
     kept = checkpointed(judged.where("n_tokens > 0").select(F.col("n_tokens").cast("double").alias("n"), "posterior"))
@@ -235,37 +245,57 @@ def fit_rates(
     kept = kept.coalesce(max(kept.sparkSession.sparkContext.defaultParallelism, count // rows_per_task))
     rates = Rates(np.zeros(width), ridge, [])
 
-    def total() -> np.ndarray:
+    def total() -> tuple[np.ndarray, float]:
         held = rates
 
         def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 if batch.num_rows:
                     n, share = batch.column(0).to_numpy(), _shares(batch.column(1), width)
-                    found = (n * held.of(share)[1]) @ share
-                    yield pa.record_batch({"k": pa.array(range(width), pa.int32()), "s": pa.array(found)})
+                    _, ahead, moved = held.of(share)
+                    found = [*((n * ahead) @ share), n @ moved**2]
+                    yield pa.record_batch({"k": pa.array(range(width + 1), pa.int32()), "s": pa.array(found)})
 
         rows = kept.mapInArrow(sums, "k int, s double").groupBy("k").agg(F.sum("s").alias("s")).collect()
-        found = np.zeros(width)
+        found = np.zeros(width + 1)
         for row in rows:
             found[row["k"]] = row["s"]
-        return found
+        return found[:width], found[width]
 
-    present = total()
+    present, _ = total()
     corpus = present.sum()
     if corpus <= 0:
         return rates
     rates.weights = np.divide(corpus, present, out=np.zeros(width), where=present > 0)
     wanted = np.array(targets)
-    now = present
+    now, rates.converged = present, False
     for _ in range(steps):
         rates.residuals.append(now / corpus - wanted)
-        if len(rates.residuals) > 2 and np.abs(rates.residuals[-1] - rates.residuals[-2]).max() < tolerance:
+        now, moved = total()
+        # a step of length s from a point is no further than s * (steepest / flattest slope) from the solution
+        rates.distance = float(np.sqrt(moved / corpus)) * (1 + ridge) / max(ridge, 1e-9)
+        if rates.distance <= tolerance:
+            rates.converged = True
             break
-        now = total()
+    rates.reached = now / corpus
+    if not rates.converged:
+        warnings.warn(f"rates may be {rates.distance:.2g} off the solution after {steps} steps", stacklevel=2)
     return rates
 
 
+def reached_totals(mixed: DataFrame, targets: dict[str, float]) -> DataFrame:
+    """(domain, wanted, reached) of a mixture: the expected tokens of each domain as shares of the corpus. What the
+    documents can't reach, or what ``ridge`` holds back, shows as a difference."""
+    shares = [
+        F.struct(
+            F.lit(d).alias("domain"), F.lit(float(targets[d])).alias("wanted"),
+            (F.sum(F.col("rate") * F.col("n_tokens") * F.col(f"p_{d}")) / F.sum("n_tokens")).alias("reached"),
+        )
+        for d in sorted(targets)
+    ]
+    return mixed.agg(F.array(*shares).alias("s")).select(F.explode("s").alias("s")).select("s.*")
+
+
 def mix(
     docs: DataFrame,
     labelled: DataFrame,

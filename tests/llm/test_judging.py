@@ -283,3 +283,39 @@ def test_mixing_takes_awkward_rows(spark):
     assert mixing.mix(docs.limit(0), docs.select("text", F.lit("good").alias("domain")), {"good": 1.0}).collect() == []
     unlabelled = mixing.mix(docs, docs.select("text", F.lit(None).cast("string").alias("domain")), {"good": 0.5, "poor": 0.5}).collect()
     assert {r.p_good for r in unlabelled} == {0.5}
+
+
+@pytest.mark.parametrize("ridge", [0.05, 0.01])
+def test_rates_are_as_near_the_solution_as_they_say(spark, ridge):
+    rng = np.random.default_rng(2)
+    share = rng.dirichlet([0.4, 0.4, 0.4], 80)
+    n = rng.integers(1, 50, 80)
+    judged = spark.createDataFrame([(int(a), [float(x) for x in b]) for a, b in zip(n, share)], "n_tokens bigint, posterior array<double>")
+    wanted = np.array([0.9, 0.2, 0.0])
+    found = mixing.fit_rates(judged, wanted.tolist(), ridge=ridge, tolerance=1e-4)
+    rates = found.of(share)[0]
+    weight, mass = n / n.sum(), (n / n.sum()) @ share
+    plain = np.ones(80)
+    for _ in range(40_000):
+        slope = share @ ((((weight * plain) @ share) - wanted) / mass) + ridge * (plain - 1)
+        plain = np.maximum(0, plain - 0.5 * slope)
+    assert found.converged and found.distance <= 1e-4
+    assert np.sqrt(weight @ (rates - plain) ** 2) <= 1e-4
+    assert np.abs(rates - plain).max() <= 1e-4 / np.sqrt(weight.min())
+    assert np.abs(found.reached - (weight * rates) @ share).max() < 1e-3
+    with pytest.warns(UserWarning, match="off the solution"):
+        assert not mixing.fit_rates(judged, wanted.tolist(), ridge=ridge, steps=3).converged
+
+
+def test_reached_totals_are_those_of_the_mixture(spark):
+    """The given tables, and what their mixture comes to."""
+    from fieldspark.llm.queries import TARGETS, op2_source_mixing
+
+    sf = "/root/testdata/sf0.001"
+    mixed = op2_source_mixing(spark, sf).toPandas()
+    found = {r.domain: r for r in mixing.reached_totals(spark.createDataFrame(mixed), TARGETS).collect()}
+    for d, target in TARGETS.items():
+        share = (mixed.rate * mixed.n_tokens * mixed[f"p_{d}"]).sum() / mixed.n_tokens.sum()
+        assert abs(found[d].reached - share) < 1e-9 and found[d].wanted == target
+        assert abs(share - target) < 0.1
+    assert found["toxic"].reached < (mixed.n_tokens * mixed.p_toxic).sum() / mixed.n_tokens.sum()
