@@ -15,6 +15,7 @@ from fieldspark.operators.assignment import primary_assignment
 from fieldspark.operators.frequent import frequent_values
 from fieldspark.operators.group_quantiles import group_outliers, group_quantiles
 from fieldspark.operators.keys import highest_per_key, key_set
+from fieldspark.operators.profile_state import ProfileState
 from fieldspark.plans import describe, kpis, marts, quality
 from fieldspark.plans.entities import ENTITIES, ROUTE_PREFIX, Settings
 from fieldspark.plans.increments import merged
@@ -394,6 +395,22 @@ def profile_group_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return group_outliers(given(spark, sf_dir, "events"), "event_type", "value").select("event_id", "event_type", "value")
 
 
+@_query
+def profile_merged_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report of orders by month, of which those up to a day were taken in first, and whether its
+    estimates of different values are within their error."""
+    columns = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority"]
+    orders = given(spark, sf_dir, "orders").withColumn("month", F.date_format("o_orderdate", "yyyy-MM"))
+    state = ProfileState(session_warehouse(spark), "orders")
+    state.add(orders.where("o_orderdate < '1995-01-01'"), "month", columns)
+    state.add(orders, "month", columns)
+    exact = profile.cardinalities(orders, columns)
+    near = F.abs(F.col("distinct_values") - F.col("distinct_count")) <= F.col("distinct_error") * F.col("distinct_count")
+    return state.report().join(exact, "column_name").select(
+        "column_name", "parts", "row_count", "null_count", "least", "most", near.alias("distinct_within_error")
+    )
+
+
 @_query
 def profile_inverted_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     campaigns = stage("campaigns", raw_table(spark, sf_dir, "campaigns"), settings=SETTINGS)
