@@ -15,7 +15,7 @@ table adaptive execution splits skewed partitions.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +26,9 @@ from fieldspark.sources.estimates import UNKNOWN, estimated_bytes
 HOT_ROWS: int | None = None
 NULL_SALTS = 1 << 20
 
+#: A column of ``hot_from`` that says how many rows each of its rows stands for.
+ROWS = "_rows_of_key"
+
 _HOT, _SALTS, _SALT, _REF_SALT = "_hot_key", "_hot_salts", "_salt", "_ref_salt"
 
 
@@ -41,7 +44,8 @@ def fits_broadcast(frames: Sequence[DataFrame]) -> bool:
 def hot_keys(keys: DataFrame, column: str, parts: int | None = None) -> DataFrame:
     """Keys with more than their share of rows, and into how many salts each is divided. The share is that
     of one of ``parts``, by default of a shuffle partition."""
-    counts = keys.groupBy(F.col(column).alias(_HOT)).agg(F.count(F.lit(1)).alias("n"))
+    rows = F.sum(ROWS) if ROWS in keys.columns else F.count(F.lit(1))
+    counts = keys.groupBy(F.col(column).alias(_HOT)).agg(rows.alias("n"))
     if HOT_ROWS is None:
         parts = parts or int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         limit = F.ceil(counts.select(F.sum("n")).scalar() / parts)
@@ -80,7 +84,7 @@ def lookup(
     *,
     how: str = "left",
     sized_by: Sequence[DataFrame] | None = None,
-    hot_from: DataFrame | None = None,
+    hot_from: DataFrame | Callable[[], DataFrame] | None = None,
     spread_by: Sequence[str] = (),
     keep_key: bool = False,
 ) -> DataFrame:
@@ -88,8 +92,9 @@ def lookup(
 
     The two sides must not share column names. ``sized_by`` gives the tables ``right`` is
     made of, when it is itself a join. ``hot_from`` is a
-    table with the values of ``fk`` (stored, or one whose shuffle the plan can reuse); its hot
-    keys are split by a hash of the ``spread_by`` columns, which tell the rows of a key apart.
+    table with the values of ``fk`` (stored, or one whose shuffle the plan can reuse), or a function that
+    makes it when it is needed; with a column ``ROWS`` its rows stand for as many. Its hot keys are split
+    by a hash of the ``spread_by`` columns, which tell the rows of a key apart.
     """
     small = fits_broadcast([right] if sized_by is None else sized_by)
     if small and sized_by is None:
@@ -97,5 +102,5 @@ def lookup(
     elif small or hot_from is None:
         joined = left.join(right, F.col(fk) == F.col(key), how)
     else:
-        joined = _spread(left, right, fk, key, how, spread_by, hot_from)
+        joined = _spread(left, right, fk, key, how, spread_by, hot_from() if callable(hot_from) else hot_from)
     return joined if keep_key else joined.drop(key)

@@ -72,7 +72,7 @@ class RawFiles(Mapping[str, DataFrame]):
         return len(ENTITIES)
 
 
-def _write_together(
+def write_together(
     house: Warehouse, layer: str, tables: Mapping[str, Callable[[], DataFrame]]
 ) -> dict[str, DataFrame]:
     """Plan and write independent tables at the same time; their Spark jobs share the executors."""
@@ -97,7 +97,7 @@ def build_staging(
 
     while waiting := [n for n in ENTITIES if n in names and n not in staged]:
         ready = [n for n in waiting if not any(ref.parent in waiting for ref in ENTITIES[n].references)]
-        written = _write_together(house, layer, {staging_model(n): partial(make, n) for n in ready})
+        written = write_together(house, layer, {staging_model(n): partial(make, n) for n in ready})
         staged |= {n: written[staging_model(n)] for n in ready}
     return staged
 
@@ -130,7 +130,7 @@ def build_facts(house: Warehouse, tables: Mapping[str, DataFrame], buckets: int
     for name in FACTS:
         write_bucketed(house, "facts", name, tables[name], "visit_id", count)
     parts = marts.response_parts(tables)
-    _write_together(house, "facts", {n: partial(parts.__getitem__, n) for n in parts})
+    write_together(house, "facts", {n: partial(parts.__getitem__, n) for n in parts})
 
 
 def responses_from_facts(house: Warehouse, tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -144,7 +144,7 @@ def build_marts(house: Warehouse, tables: Mapping[str, DataFrame], bucketed: boo
     made = {mart_model(n): partial(mart, tables) for n, mart in MARTS.items()}
     if bucketed:
         made[mart_model("visit_responses")] = partial(responses_from_facts, house, tables)
-    _write_together(house, "marts", made)
+    write_together(house, "marts", made)
 
 
 def build_kpis(house: Warehouse, tables: Mapping[str, DataFrame], settings: Settings) -> None:
@@ -153,7 +153,7 @@ def build_kpis(house: Warehouse, tables: Mapping[str, DataFrame], settings: Sett
         "kpis", "worker_status",
         kpis.worker_status(tables["visits"], tables["route_employee"], tables["workers"]),
     )
-    _write_together(house, "kpis", {
+    write_together(house, "kpis", {
         "portfolio_totals": partial(kpis.portfolio_totals, performance),
         "state_totals": partial(kpis.state_totals, performance, settings.as_of),
         "active_campaigns": partial(kpis.active_campaigns, performance, settings.as_of),

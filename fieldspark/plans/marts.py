@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from fieldspark.functions.metrics import DONE_STATUSES, INCIDENT, NOT_VISITED, rate, sorted_text
 from fieldspark.operators.assignment import distinct_assignments, primary_assignment
-from fieldspark.operators.lookup import lookup
+from fieldspark.operators.lookup import ROWS, lookup
 from fieldspark.plans.describe import described
 from fieldspark.sources.buckets import BucketedTable
 
@@ -152,13 +152,22 @@ def campaign_performance(t: Tables) -> DataFrame:
         owned, _projects_by_code(t["projects"]), "project_code", "by_code_key",
         hot_from=t["campaigns"], spread_by=["campaign_id"],
     ).withColumn("project_client_id", _project_client_id())
+
+    def client_weights() -> DataFrame:
+        """Campaigns of each client, from counts by project: the joins above are not run again."""
+        counted = t["campaigns"].groupBy("project_id", "project_code").agg(F.count(F.lit(1)).alias(ROWS))
+        by_id, by_code = _projects_by_id(t["projects"]), _projects_by_code(t["projects"])
+        weighed = counted.join(by_id, F.col("project_id") == F.col("by_id_project_id"), "left")
+        weighed = weighed.join(by_code, F.col("project_code") == F.col("by_code_key"), "left")
+        return weighed.select(_project_client_id().alias("project_client_id"), ROWS)
+
     owned = lookup(
         owned, _clients_by_id(t["clients"]), "project_client_id", "client_by_id",
-        hot_from=owned, spread_by=["campaign_id"],
+        hot_from=client_weights, spread_by=["campaign_id"],
     ).withColumnRenamed("client_code", "campaign_client_code")
     owned = lookup(
         owned, _clients_by_code(t["clients"]), "campaign_client_code", "client_by_code_key",
-        hot_from=owned, spread_by=["campaign_id"],
+        hot_from=t["campaigns"].select(F.col("client_code").alias("campaign_client_code")), spread_by=["campaign_id"],
     )
 
     # Both uses of the routes ask for the same rows, so a lazy plan shares their shuffle.
@@ -244,13 +253,25 @@ def visit_details(t: Tables, parts: Tables | None = None) -> DataFrame:
         visits, owners, "campaign_id", "owner_campaign_id",
         sized_by=None if parts else [t["campaigns"], t["projects"], t["clients"]], **spread,
     ).withColumn("any_project_code", F.coalesce("campaign_project_code", "visit_project_code"))
+
+    def project_weights() -> DataFrame:
+        """Visits of each project code, from counts by campaign: visits are not joined again to count."""
+        counted = t["visits"].groupBy("campaign_id", "project_code").agg(F.count(F.lit(1)).alias(ROWS))
+        weighed = counted.join(owners, F.col("campaign_id") == F.col("owner_campaign_id"), "left")
+        return weighed.withColumn("any_project_code", F.coalesce("campaign_project_code", "project_code"))
+
+    def client_weights() -> DataFrame:
+        by_code = _projects_by_code(t["projects"])
+        weighed = project_weights().join(by_code, F.col("any_project_code") == F.col("by_code_key"), "left")
+        return weighed.select(_project_client_id().alias("project_client_id"), ROWS)
+
     df = lookup(
         df, _projects_by_code(t["projects"]), "any_project_code", "by_code_key",
-        hot_from=df, spread_by=["detail_visit_id"],
+        hot_from=lambda: project_weights().select("any_project_code", ROWS), spread_by=["detail_visit_id"],
     ).withColumn("project_client_id", _project_client_id())
     df = lookup(
         df, _clients_by_id(t["clients"]), "project_client_id", "client_by_id",
-        hot_from=df, spread_by=["detail_visit_id"],
+        hot_from=client_weights, spread_by=["detail_visit_id"],
     )
     df = lookup(
         df, workers, "route_id", "worker_route_id",
