@@ -13,13 +13,13 @@ domain: every pass replays the earlier residuals for its rows and sums a few num
 from __future__ import annotations
 
 import warnings
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldspark.llm.common import U64, checkpointed, passes, range_hashes, slices, text_bytes, word_spans
@@ -29,6 +29,7 @@ _SYMBOL, _SHAPE = U64(0x5BD1E995A3C59AC3), U64(0xC2B2AE3D27D4EB4F)
 _SPACES = np.zeros(256, dtype=bool)
 _SPACES[[0x20, *range(0x09, 0x0E)]] = True
 _FILTER_BITS = 20
+_EVEN = "_even_share"
 _TENTHS = 10
 
 
@@ -283,6 +284,17 @@ def fit_rates(
     return rates
 
 
+def _rated(spark: SparkSession, rates: Rates) -> Callable[[Column], Column]:
+    """A function from probabilities to their rate."""
+    shared, width = spark.sparkContext.broadcast(rates), len(rates.weights)
+
+    @F.arrow_udf("double")
+    def rated(column: pa.Array) -> pa.Array:
+        return pa.array(shared.value.of(_shares(column, width))[0])
+
+    return lambda posterior: rated(posterior)
+
+
 def reached_totals(mixed: DataFrame, targets: dict[str, float]) -> DataFrame:
     """(domain, wanted, reached) of a mixture: the expected tokens of each domain as shares of the corpus. What the
     documents can't reach, or what ``ridge`` holds back, shows as a difference."""
@@ -302,6 +314,7 @@ def mix(
     targets: dict[str, float],
     id_col: str = "doc_id",
     text_col: str = "text",
+    keep_text: bool = True,
     **fitting: float,
 ) -> DataFrame:
     """All columns of ``docs`` with ``n_tokens``, ``p_<domain>`` for each domain, ``rate`` (how often the document
@@ -311,17 +324,26 @@ def mix(
     ``labelled`` has (text, domain); ``targets`` gives each domain's tokens as a share of the corpus's.
     A domain that no document can belong to cannot be reached and is passed over. A null or empty
     text has no tokens; its rate follows from the probabilities of an empty text and weighs nothing.
+    Without ``keep_text`` the text is left out of the result, and read once: probabilities are written. With
+    it they are found again from the text when rates are given, as writing texts would take more room.
     Repeated rows get equal rates. An empty table gives an empty result; without labels all domains
     are equally likely.
     """
     domains = sorted(targets)
     classifier = fit_classifier(labelled, domains)
-    judged = posteriors(docs.select(text_col), classifier, text_col)
-    rates = fit_rates(judged.select("n_tokens", "posterior"), [targets[d] for d in domains], **fitting)
-    found = posteriors(docs, classifier, text_col, rates)
-    even = F.pmod(F.xxhash64(id_col, text_col), F.lit(1 << 30)) / (1 << 30)
-    own = [c for c in docs.columns if c not in {"n_tokens", "rate", "copies", *(f"p_{d}" for d in domains)}]
+    wanted = [targets[d] for d in domains]
+    docs = docs.withColumn(_EVEN, F.pmod(F.xxhash64(id_col, text_col), F.lit(1 << 30)) / (1 << 30))
+    if keep_text:
+        judged = posteriors(docs.select(text_col), classifier, text_col)
+        rates = fit_rates(judged.select("n_tokens", "posterior"), wanted, **fitting)
+        found = posteriors(docs, classifier, text_col, rates)
+    else:
+        judged = checkpointed(posteriors(docs, classifier, text_col).drop(text_col, "rate"))
+        rates = fit_rates(judged.select("n_tokens", "posterior"), wanted, **fitting)
+        found = judged.withColumn("rate", _rated(docs.sparkSession, rates)(F.col("posterior")))
+    made = {"n_tokens", "posterior", "rate", "copies", _EVEN, *(f"p_{d}" for d in domains)}
+    own = [c for c in found.columns if c not in made]
     return found.select(
         *own, "n_tokens", *(F.col("posterior")[i].alias(f"p_{d}") for i, d in enumerate(domains)), "rate",
-        F.floor(F.col("rate") + even).alias("copies"),
+        F.floor(F.col("rate") + F.col(_EVEN)).alias("copies"),
     )

@@ -45,7 +45,7 @@ def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     documents = table(spark, sf_dir, "documents")
     labelled = labelled_domains(documents, table(spark, sf_dir, "labels"))
-    return mixing.mix(documents.select("doc_id", "text"), labelled, TARGETS).drop("text")
+    return mixing.mix(documents.select("doc_id", "text"), labelled, TARGETS, keep_text=False)
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

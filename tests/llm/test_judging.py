@@ -319,3 +319,12 @@ def test_reached_totals_are_those_of_the_mixture(spark):
         assert abs(found[d].reached - share) < 1e-9 and found[d].wanted == target
         assert abs(share - target) < 0.1
     assert found["toxic"].reached < (mixed.n_tokens * mixed.p_toxic).sum() / mixed.n_tokens.sum()
+
+
+def test_mixing_without_texts_gives_the_same(spark):
+    docs = documents(spark).withColumn("posterior", F.lit("theirs"))
+    labelled = docs.select("text", F.when(F.length("text") > 300, "good").otherwise("poor").alias("domain"))
+    with_text, without = (mixing.mix(docs, labelled, {"good": 0.7, "poor": 0.3}, keep_text=k) for k in (True, False))
+    assert without.columns == [c for c in with_text.columns if c != "text"]
+    as_rows = lambda df: sorted(str([round(v, 9) if isinstance(v, float) else v for v in r]) for r in df.drop("text").collect())
+    assert as_rows(with_text) == as_rows(without)

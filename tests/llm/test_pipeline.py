@@ -5,7 +5,7 @@ import random
 import corpus_pipeline
 from pyspark.sql import functions as F
 
-from tests.llm.corpus import sentence
+from tests.llm.corpus import documents, sentence
 
 
 def small_corpus(spark, folder):
@@ -46,3 +46,16 @@ def test_stages_take_effect_and_keep_clean_documents(spark, tmp_path):
     assert {"rate", "copies", "p_toxic", *columns} <= set(docs.columns) and len(rows) == len(kept["benchmark_decontamination"])
     whole = corpus_pipeline.run(spark, str(tmp_path))
     assert {r.doc_id for r in whole.collect()} == kept["source_mixing"]
+
+
+def test_stages_take_awkward_rows_and_empty_tables(spark, tmp_path):
+    small_corpus(spark, str(tmp_path))
+    awkward = documents(spark).withColumn("lang", F.lit("xx"))
+    for name, stage in corpus_pipeline.STAGES:
+        found = stage(spark, awkward, str(tmp_path))
+        assert set(awkward.columns) <= set(found.columns) or name == "source_mixing"
+        ids = [r.doc_id for r in found.select("doc_id").collect()]
+        given = [r.doc_id for r in awkward.select("doc_id").collect()]
+        assert ids and all(ids.count(i) <= given.count(i) for i in set(ids))  # nulls and repeats are never multiplied
+        empty = stage(spark, awkward.limit(0), str(tmp_path))
+        assert empty.columns == found.columns and empty.collect() == []
