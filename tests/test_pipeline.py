@@ -252,6 +252,14 @@ def test_quoted_line_breaks_need_multi_line(spark, tmp_path):
     assert read_raw(spark, str(tmp_path), "clients", multi_line=True).first().client_name == "a\nb"
 
 
+def test_without_a_day_it_is_today(spark, tmp_path):
+    raw = read_raw(spark, write_raw(tmp_path), "campaigns")
+    today = Settings(as_of=str(dt.datetime.now(dt.timezone.utc).date()))
+    now, then = (by_key(stage("campaigns", raw, settings=s), "campaign_id") for s in (Settings(), today))
+    assert {k: v.campaign_status for k, v in now.items()} == {k: v.campaign_status for k, v in then.items()}
+    assert any(v.campaign_status for v in now.values())
+
+
 def test_wide_ids(spark, tmp_path):
     big = CSV["workers"] + "5000000000,Eva,True,,,,1,2020-01-01,2025-01-01\n"
     raw = read_raw(spark, write_raw(tmp_path, {"workers": big}), "workers")
