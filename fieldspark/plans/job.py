@@ -34,7 +34,7 @@ from fieldspark.plans.quality import (
 from fieldspark.plans.staging import raw_keys, stage, stage_clients
 from fieldspark.sources.buckets import bucket_count, read_bucketed, write_bucketed
 from fieldspark.sources.raw_csv import export_csv, export_one_csv, read_raw, read_with_quarantine
-from fieldspark.sources.tables import Warehouse
+from fieldspark.sources.tables import Warehouse, set_for_wide_tables
 
 LAYERS = ("staging", "marts", "kpis", "checks", "checks-staging", "checks-marts", "profile", "all")
 MAX_INVALID_SHARE = 0.1
@@ -223,6 +223,7 @@ def run(
     that can't be split. With ``max_malformed`` malformed lines go to quarantine, up to that share of a
     table. ``exact`` profiles count distinct values instead of estimating them. ``one_file``
     exports one CSV file a mart. ``catalog`` declares the tables with their descriptions at the end."""
+    set_for_wide_tables(spark)
     house, full = Warehouse(spark, warehouse), layer == "all"
     if full or layer == "staging":
         quarantine = None if max_malformed is None else house

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import math
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager, suppress
@@ -10,13 +11,34 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fieldspark.sources.estimates import UNKNOWN, estimated_bytes
 
-def balanced(df: DataFrame, min_tasks: int | None = None) -> DataFrame:
+#: Settings of a session that still has Spark's defaults: name, default, value.
+#: - Operators are fused into one method only up to the size that the JVM compiles. The rules of a table of
+#:   many columns make longer ones, which run interpreted, about half as fast.
+#: - A task reads 4 MB of a table's files: its cells, as text, are more than ten times as many bytes.
+WIDE_TABLES = (
+    ("spark.sql.codegen.hugeMethodLimit", "65535", "8000"),
+    ("spark.sql.files.maxPartitionBytes", "134217728b", "4m"),
+)
+
+
+def set_for_wide_tables(spark: SparkSession) -> None:
+    """Settings for tables of many computed columns; what the session has set otherwise stays."""
+    for name, default, value in WIDE_TABLES:
+        if spark.conf.get(name) == default:
+            spark.conf.set(name, value)
+
+
+def balanced(df: DataFrame, min_tasks: int | None = None, task_bytes: int | None = None) -> DataFrame:
     """Redistribute a scan that gives fewer tasks than ``min_tasks``, as files that cannot be split
-    do (compressed text, one Parquet row group). Without the argument a scan stays as it is."""
+    do (compressed text, one Parquet row group). Without the argument a scan stays as it is. With
+    ``task_bytes`` a scan that is redistributed gives a task for as many bytes of its files, so that
+    tasks don't grow with the table."""
     if min_tasks is None or df.rdd.getNumPartitions() >= min_tasks:
         return df
-    return df.repartition(min_tasks)
+    size = estimated_bytes(df) if task_bytes else UNKNOWN
+    return df.repartition(min_tasks if size >= UNKNOWN else max(min_tasks, math.ceil(size / task_bytes)))
 
 
 def hadoop_path(spark: SparkSession, path: str):

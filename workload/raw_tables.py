@@ -15,10 +15,12 @@ from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldspark.sources.tables import balanced
+from fieldspark.sources.tables import balanced, set_for_wide_tables
 
 GIVEN_TABLES = ("customer", "supplier", "part", "orders", "lineitem", "events")
 ORPHAN = 1_000_000_000  # added to a key to make it point nowhere
+#: Bytes of a file that make a task where a scan is redistributed: the cells of raw rows are more than ten times as many.
+TASK_BYTES = 4 << 20
 
 
 def _iso(date: str) -> str:
@@ -309,13 +311,14 @@ RAW_SQL: dict[str, str] = {
 
 def given(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     tasks = spark.sparkContext.defaultParallelism
-    return balanced(spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet"), min_tasks=tasks)
+    return balanced(spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet"), min_tasks=tasks, task_bytes=TASK_BYTES)
 
 
 class RawTables(Mapping[str, DataFrame]):
     """The raw tables of a data folder as lazy Spark plans, made when first used."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        set_for_wide_tables(spark)
         self._spark, self._sf_dir = spark, sf_dir
         self._given: dict[str, DataFrame] = {}
         self._made: dict[str, DataFrame] = {}
