@@ -61,6 +61,21 @@ def _over_staged(name: str, fn: Callable[[Mapping[str, DataFrame]], DataFrame])
     REGISTRY[name] = lambda spark, sf_dir: fn(_staged(spark, sf_dir))
 
 
+def _written(house: Warehouse, spark: SparkSession, sf_dir: str, names: Iterable[str]) -> dict[str, DataFrame]:
+    """Staging tables written once, as in the job, for what reads them many times."""
+    return build_staging(RawTables(spark, sf_dir), house, SETTINGS, list(names))
+
+
+def _over_written(name: str, needed: Iterable[str], fn: Callable[[Mapping[str, DataFrame]], DataFrame]) -> None:
+    """A query on staging tables that it reads several times each."""
+    REGISTRY[name] = lambda spark, sf_dir: fn(_written(session_warehouse(spark), spark, sf_dir, needed))
+
+
+# Staging tables that the marts read.
+PERFORMANCE = ("clients", "projects", "campaigns", "workers", "routes", "route_employee", "visits")
+ANSWERS = ("clients", "projects", "campaigns", "questions", "workers", "route_employee", "visits", "responses")
+
+
 # --- column functions -------------------------------------------------------------------
 
 _over_raw("clean_text", "pos", lambda raw: raw.select(
@@ -191,7 +206,7 @@ def union_and_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _over_staged("primary_assignment", lambda t: primary_assignment(t["route_employee"]))
-_over_staged("dual_path_lookup", lambda t: marts.campaign_performance(t).select(
+_over_written("dual_path_lookup", PERFORMANCE, lambda t: marts.campaign_performance(t).select(
     "campaign_id", "project_id", "project_name", "client_id", "client_name"
 ))
 _over_staged("bridge_workers", lambda t: marts.worker_lists(t["routes"], t["route_employee"], t["workers"]))
@@ -201,8 +216,8 @@ _over_staged("route_counts", lambda t: marts.route_counts(t["routes"], t["visits
 
 for _name in ENTITIES:
     _over_staged(f"stg_{_name}", lambda t, name=_name: t[name])
-_over_staged("mart_campaign_performance", marts.campaign_performance)
-_over_staged("mart_visit_responses", marts.visit_responses)
+_over_written("mart_campaign_performance", PERFORMANCE, marts.campaign_performance)
+_over_written("mart_visit_responses", ANSWERS, marts.visit_responses)
 
 
 @_query
@@ -236,7 +251,7 @@ for _name in ("clients", "visits", "responses"):
 
 
 def _over_performance(name: str, fn: Callable[[DataFrame], DataFrame]) -> None:
-    _over_staged(name, lambda t: fn(marts.campaign_performance(t)))
+    _over_written(name, PERFORMANCE, lambda t: fn(marts.campaign_performance(t)))
 
 
 def _over_worker_status(name: str, fn: Callable[[DataFrame], DataFrame]) -> None:
@@ -261,11 +276,6 @@ def _models(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     return {quality.staging_model(n): tables[n] for n in tables}
 
 
-def _written(house: Warehouse, spark: SparkSession, sf_dir: str, names: Iterable[str]) -> dict[str, DataFrame]:
-    """Staging tables written to the scratch folder, for checks that read them many times."""
-    return build_staging(RawTables(spark, sf_dir), house, SETTINGS, list(names))
-
-
 def _of_type(kind: type) -> list[ck.Check]:
     return [c for c in quality.STAGING_CHECKS if isinstance(c, kind)]
 
