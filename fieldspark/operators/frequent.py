@@ -4,17 +4,20 @@ A first pass keeps a frequent-items sketch for each column in every task; sketch
 are shuffled. A second pass counts the sketches' candidates alone, and combines before the shuffle.
 A value that is no candidate has fewer rows than the sketch may be wrong by, so the top of a column is
 exact if the last count in it is above that. Where it isn't, as values are all about equally rare, the
-column is read again with a larger sketch, and in the end all its values are counted.
+column is read again with a larger sketch, unless the values found are too rare for that one too. In the
+end all values of the columns left are counted, in one pass over all of them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fieldspark.operators.profile import value_counts
+
 #: Items that a sketch tracks, in one pass after the other.
 TRACKED = (1 << 10, 1 << 14)
 #: Share of the rows, times the items tracked, that bounds the rows of a value that isn't reported: a
@@ -54,27 +57,37 @@ def _counted(df: DataFrame, candidates: list[tuple[str, str]]) -> dict[str, list
     return {c: sorted(v, key=lambda x: (-x[1], x[0].encode())) for c, v in found.items()}
 
 
+def _all_counted(df: DataFrame, columns: Sequence[str], k: int) -> list[tuple]:
+    """The top of columns from the counts of all their values: each task passes on ``k`` values a column."""
+    best = Window.partitionBy("column_name").orderBy(F.desc("row_count"), F.asc("value"))
+    counts = value_counts(df, columns).where("value IS NOT NULL")
+    top = counts.withColumn("value_rank", F.row_number().over(best)).where(F.col("value_rank") <= k)
+    return [(r.column_name, r.value, r.row_count, r.value_rank) for r in top.collect()]
+
+
 def frequent_values(df: DataFrame, columns: Sequence[str], k: int, tracked: Sequence[int] = TRACKED) -> DataFrame:
     """The ``k`` most frequent non-null values of each column as text: rows (column_name, value, row_count,
     value_rank), exact, ties by value. The driver gets the candidates, as many as are tracked."""
     result: list[tuple] = []
-    open_columns = list(columns)
-    for size in tracked:
-        if not open_columns:
+    sketched, counted_whole = list(columns), []
+    sizes = [max(size, 2 * k) for size in tracked]
+    for i, size in enumerate(sizes):
+        if not sketched:
             break
-        rows, candidates = _candidates(df, open_columns, max(size, 2 * k))
+        rows, candidates = _candidates(df, sketched, size)
         counted = _counted(df, candidates) if candidates else {}
-        settled = []
-        for c in open_columns:
+        again = []
+        for c in sketched:
             best = counted.get(c, [])
-            left_out = _LEFT_OUT * rows[c] / max(size, 2 * k)
             complete = sum(n for _, n in best) == rows[c]  # no other values are there
-            if complete or (len(best) >= k and best[k - 1][1] > left_out):
-                settled.append(c)
-                result += [(c, value, n, i) for i, (value, n) in enumerate(best[:k], 1)]
-        open_columns = [c for c in open_columns if c not in settled]
-    for c in open_columns:
-        values = df.groupBy(F.col(c).cast("string").alias("value")).agg(F.count(F.lit(1)).alias("n")).where("value IS NOT NULL")
-        top = values.orderBy(F.desc("n"), F.asc("value")).limit(k)
-        result += [(c, r.value, r.n, i) for i, r in enumerate(top.collect(), 1)]
+            last = best[k - 1][1] if len(best) >= k else 0
+            if complete or last > _LEFT_OUT * rows[c] / size:
+                result += [(c, value, n, j) for j, (value, n) in enumerate(best[:k], 1)]
+            elif any(last > _LEFT_OUT * rows[c] / larger for larger in sizes[i + 1:]):
+                again.append(c)
+            else:
+                counted_whole.append(c)
+        sketched = again
+    if rest := counted_whole + sketched:
+        result += _all_counted(df, rest, k)
     return df.sparkSession.createDataFrame(result, _RESULT)
