@@ -21,6 +21,17 @@ def ident(col: Column, id_type: str = "int", strict: bool = True) -> Column:
     return F.when(text.isNotNull() & number.isNull(), bad).otherwise(number)
 
 
+def misread(col: Column, id_type: str = "int") -> Column:
+    """The text that ``ident`` cannot read as a number of that type; null where it can."""
+    return F.when(ident(col, id_type, strict=False).isNull(), col.cast("string"))
+
+
+def number_or_error(number: Column, bad: Column, id_type: str = "int") -> Column:
+    """The number, or an error where there is a bad text in its place."""
+    error = F.raise_error(F.concat(F.lit("not a whole number: "), bad)).cast(id_type)
+    return F.when(bad.isNotNull(), error).otherwise(number)
+
+
 def optional_ident(col: Column, id_type: str = "int", strict: bool = True) -> Column:
     """An id that may be blank: blank becomes null before the cast."""
     return ident(cleaned_text(col), id_type, strict)
