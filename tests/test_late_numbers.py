@@ -53,7 +53,9 @@ def large_codes(spark, tmp_path_factory):
     return folder
 
 
-@pytest.mark.parametrize("name", ["check_not_null", "stg_visits_incremental", "stg_responses_incremental"])
+@pytest.mark.parametrize("name", [
+    "check_not_null", "stg_visits_incremental", "stg_responses_incremental", "check_marts", "mart_visit_responses_bucketed",
+])
 def test_large_postal_codes_stop_no_query_that_does_without_them(spark, large_codes, name):
     df = REGISTRY[name](spark, large_codes)
     assert df.count() > 0
