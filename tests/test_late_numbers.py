@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import duckdb
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -73,6 +74,26 @@ def test_large_postal_codes_stop_what_reads_them(spark, large_codes, name):
         REGISTRY[name](spark, large_codes).collect()
 
 
+def test_postal_codes_of_32_bits_are_those_of_the_sql(spark, tmp_path):
+    schema, rows = TABLES["customer"]
+    largest = 2**31 - 1 - 8000  # the nation key of the largest postal code
+    near = [(k, name, largest - 4 + k, balance, segment) for k, name, _, balance, segment in rows]
+    for kind in ("int", "bigint"):
+        folder = tmp_path / kind
+        folder.mkdir()
+        table = spark.createDataFrame(near, schema.replace("c_nationkey bigint", f"c_nationkey {kind}"))
+        pq.write_table(table.toArrow(), str(folder / "customer.parquet"))
+        df = REGISTRY["stg_pos"](spark, str(folder))
+        assert max(r.intervention_point_postal_code for r in df.collect()) == 2**31 - 1
+        assert differences(df, connect(str(folder)), ORACLE_SQL["stg_pos"]) == []
+
+
+@pytest.mark.parametrize("name", ["stg_pos", "quality_report", "data_dictionary"])
+def test_large_postal_codes_stop_the_sql_of_what_reads_them(large_codes, name):
+    with pytest.raises(duckdb.ConversionException, match="to INT32"):
+        connect(large_codes).execute(ORACLE_SQL[name]).fetchall()
+
+
 def pos(spark, *rows):
     """Raw points of sale: key, postal code and day."""
     df = spark.createDataFrame(rows, "intervention_point_id string, intervention_point_postal_code string, updated_at string")
