@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from fieldspark.operators import checks as ck
 from fieldspark.plans.entities import ENTITIES, Settings
 from fieldspark.plans.increments import StagingStore
+from fieldspark.plans.quality import staging_model
 from fieldspark.plans.staging import stage
-from fieldspark.sources.tables import Warehouse
+from fieldspark.sources.tables import Warehouse, folders
+from workload import queries
 from workload.compare import connect, differences
 from workload.oracle import ORACLE_SQL
 from workload.queries import REGISTRY
@@ -63,6 +65,13 @@ def test_large_postal_codes_stop_no_query_that_does_without_them(spark, large_co
     assert differences(df, connect(large_codes), ORACLE_SQL[name]) == []
 
 
+def test_the_bucketed_mart_stages_only_what_it_reads(spark, large_codes, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "session_warehouse", lambda spark: Warehouse(spark, str(tmp_path)))
+    queries.mart_visit_responses_bucketed(spark, large_codes)
+    assert set(folders(spark, f"{tmp_path}/staging")) == {staging_model(n) for n in queries.ANSWERS}
+    assert "pos" not in queries.ANSWERS
+
+
 def test_unique_keys_are_checked_without_the_codes(spark, large_codes):
     found = {r.model: r.failures for r in REGISTRY["check_unique"](spark, large_codes).collect()}
     assert len(found) == len(ENTITIES) and set(found.values()) == {0}
