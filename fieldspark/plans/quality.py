@@ -133,7 +133,9 @@ def profile_model(df: DataFrame, exact: bool = False) -> DataFrame:
             cells[c]["outliers"] = F.col(f"outliers__{c}")
     cells |= {c: {"first_date": F.col(f"least__{c}"), "last_date": F.col(f"most__{c}")} for c in dates}
     if exact:
-        per_value = value_counts(df, df.columns).groupBy("column_name")
+        # Values are told apart by their text; zeros of both signs are one value.
+        zeros = {c: F.col(c) + F.lit(0).cast(k) for c, k in kinds.items() if k in ("float", "double")}
+        per_value = value_counts(df.withColumns(zeros) if zeros else df, df.columns).groupBy("column_name")
         distinct = per_value.agg(
             F.count("value").alias("distinct_count"), F.max(F.when(F.col("value").isNotNull(), F.col("row_count"))).alias("top_rows")
         )
